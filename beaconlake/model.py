@@ -6,7 +6,8 @@ the model, because results and stored tables depend on it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -122,40 +123,42 @@ def family_of(table: str) -> Family:
     return next(f for f in FAMILIES if f.table == table)
 
 
-@dataclass(frozen=True)
 class NetworkTables:
     """The ten tables every report and check reads, as lazy DataFrames.
 
-    `all_events`, when given, is one DataFrame holding the rows of all five event
-    tables (envelope and lineage columns plus `table_name`). A source that keeps the
-    families in one place sets it so that stacked reads scan the data once; otherwise
-    the five tables are unioned.
+    `load(name)` builds a table when it is first asked for. `stack`, when given, builds
+    one DataFrame with the rows of all five event tables (envelope and lineage columns
+    plus `table_name`): a source that keeps the families in one place passes it so that
+    stacked reads scan the data once. Otherwise the five tables are unioned.
     """
 
-    connectivity_events: DataFrame
-    throughput_events: DataFrame
-    device_health_events: DataFrame
-    connectivity_state_events: DataFrame
-    infrastructure_events: DataFrame
-    rejected_events: DataFrame
-    sites: DataFrame
-    devices: DataFrame
-    device_dependencies: DataFrame
-    census_block_groups: DataFrame
-    all_events: DataFrame | None = None
+    def __init__(
+        self, load: Callable[[str], DataFrame], stack: Callable[[], DataFrame] | None = None
+    ) -> None:
+        self._load, self._stack = load, stack
+        self._loaded: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("__") or name not in ALL_TABLES:
+            raise AttributeError(name)
+        return self.table(name)
 
     def table(self, name: str) -> DataFrame:
         if name not in ALL_TABLES:
             raise ValueError(f"unknown table {name!r}; known: {', '.join(ALL_TABLES)}")
-        return getattr(self, name)
+        if name not in self._loaded:
+            self._loaded[name] = self._load(name)
+        return self._loaded[name]
 
-    def with_tables(self, **tables: DataFrame) -> NetworkTables:
-        return replace(self, **tables)
+    @classmethod
+    def of(cls, **tables: DataFrame) -> NetworkTables:
+        """Tables given directly; the ones left out cannot be read."""
+        return cls(lambda name: tables[name])
 
     def stacked(self, *columns: str) -> DataFrame:
         """Rows of the five event tables with `table_name` and the wanted columns."""
-        if self.all_events is not None:
-            return self.all_events.select("table_name", *columns)
+        if self._stack is not None:
+            return self._stack().select("table_name", *columns)
         parts = [
             self.table(t).select(F.lit(t).alias("table_name"), *columns) for t in EVENT_TABLES
         ]

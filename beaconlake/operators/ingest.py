@@ -6,12 +6,12 @@ partition, offset, timestamp), batch or streaming.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import ENVELOPE, IDENTIFIER, PAYLOADS
+from ..contracts import IDENTIFIER, PAYLOADS
 from ..functions.contract_rules import (
-    PREFIX, SQL_TYPES, contract_violation, payload_fields, variant_struct,
+    PREFIX, contract_violation, payload_fields, quoted, surely_valid, typed_document,
 )
 from ..model import FAMILIES, MEASURE_DDL, REJECTED_DDL, event_schema, family_of, schema_of
 
@@ -26,37 +26,20 @@ TOPIC_ROUTES = {
 }
 
 
-def _parsed(raw: DataFrame) -> DataFrame:
-    """Parse each value once and take envelope and payload apart into variants."""
-    text = F.col("value").cast("string")
-    readable = (F.length("value") > 0) & F.is_valid_utf8(text)
-    fields = payload_fields()
-    parsed = raw.withColumn("_json", F.try_parse_json(F.when(readable, text)))
-    opened = parsed.withColumns({
-        "_doc": F.try_variant_get("_json", "$", variant_struct(list(ENVELOPE))),
-        "_keys": F.map_keys(F.try_variant_get("_json", "$", "map<string, variant>")),
-    })
-    opened = opened.withColumns({
-        "_body": F.try_variant_get("_doc.payload", "$", variant_struct(fields)),
-        "_body_keys": F.map_keys(F.try_variant_get("_doc.payload", "$", "map<string, variant>")),
-    })
-    typed = {}
-    for prefix, owner, members in (("e", "_doc", ENVELOPE), ("p", "_body", fields)):
-        for f in members:
-            if f.type != "object":
-                variant = F.col(f"{owner}.{f.name}")
-                typed[f"_{prefix}k_{f.name}"] = F.schema_of_variant(variant)
-                typed[f"_{prefix}v_{f.name}"] = F.try_variant_get(
-                    variant, "$", SQL_TYPES[f.type])
-    return opened.withColumns(typed)
-
-
-def _values(prefix: str, owner: str, fields) -> dict[str, tuple[Column, Column, Column]]:
-    return {
-        f.name: (F.col(f"{owner}.{f.name}"), F.col(f"_{prefix}k_{f.name}"),
-                 F.col(f"_{prefix}v_{f.name}"))
-        for f in fields if f.type != "object"
-    }
+def _once(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add computed columns so that they are computed once per row.
+
+    Later filters and projections on a plain projection are merged into it, which would
+    repeat the JSON parse for every rule that looks at it. A one-element generator keeps
+    them apart.
+    """
+    members = ", ".join(f"'{name}', {sql}" for name, sql in columns.items())
+    return df.selectExpr("*", f"inline(array(named_struct({members})))")
+
+
+def _by_topic(attribute: str) -> str:
+    cases = " ".join(f"WHEN '{f.topic}' THEN '{getattr(f, attribute)}'" for f in FAMILIES)
+    return f"CASE topic {cases} END"
 
 
 def classify(raw: DataFrame) -> DataFrame:
@@ -67,64 +50,68 @@ def classify(raw: DataFrame) -> DataFrame:
     type, contract, topic, event type of the topic, timestamp. JSON objects with
     duplicate keys or NaN count as invalid JSON.
     """
-    parsed = _parsed(raw)
-    event_type = F.col("_ev_event_type")
-    envelope = _values("e", "_doc", ENVELOPE)
-    envelope["payload"] = (F.col("_doc.payload"), F.col("_body_keys"), F.col("_body_keys"))
-    problem = contract_violation(
-        event_type, envelope, _values("p", "_body", payload_fields()),
-        F.col("_keys"), F.col("_body_keys"),
-    )
-    text = F.col("value").cast("string")
-    expected = F.coalesce(*[F.when(F.col("topic") == f.topic, f.event_type) for f in FAMILIES])
-    table = F.coalesce(*[F.when(F.col("topic") == f.topic, f.table) for f in FAMILIES])
-    measured = F.try_to_timestamp("_ev_event_timestamp", F.lit(TIMESTAMP_FORMAT))
-    number = F.try_variant_get("_doc.sequence_number", "$", "bigint")
-    known = (F.col("_ek_event_type") == "STRING") & event_type.isin(*PAYLOADS)
-    reason = (
-        F.when(F.col("value").isNull() | (F.length("value") == 0), "Empty Kafka value")
-        .when(~F.is_valid_utf8(text), "Invalid JSON: not valid UTF-8")
-        .when(F.col("_json").isNull(), "Invalid JSON: malformed document")
-        .when(F.col("_keys").isNull(), "Invalid JSON: expected an object")
-        .when(~F.coalesce(known, F.lit(False)), F.concat(
-            F.lit("Unknown or missing event_type: '"), F.coalesce(event_type, F.lit("None")),
-            F.lit("'")))
-        .when(F.col("_problem").isNotNull(), F.concat(F.lit(PREFIX), F.col("_problem")))
-        .when(F.col("_table").isNull(), F.concat(F.lit("Unmapped topic: "), F.col("topic")))
-        .when(event_type != expected, F.concat(
-            F.lit("event_type '"), event_type, F.lit("' not allowed on topic "), F.col("topic"),
-            F.lit(" (expected '"), expected, F.lit("')")))
-        .when(F.col("event_timestamp").isNull(), F.concat(
-            F.lit("Cannot map to "), F.col("_table"), F.lit(": no such date "),
-            F.col("_ev_event_timestamp")))
-        .when(F.col("sequence_number").isNull(), F.concat(
-            F.lit("Cannot map to "), F.col("_table"), F.lit(": sequence_number out of range")))
-    )
-    checked = parsed.withColumns({
-        "_problem": problem, "_table": table, "event_timestamp": measured,
-        "sequence_number": number,
-    }).withColumn("rejection_reason", reason)
-    key = F.make_valid_utf8(F.col("key").cast("string"))
-    return checked.select(
-        F.when(F.col("rejection_reason").isNull(), F.col("_table")).alias("target_table"),
+    readable = "IF(length(value) > 0 AND is_valid_utf8(string(value)), string(value), NULL)"
+    parsed = _once(raw, {"_json": f"try_parse_json({readable})"})
+    opened = _once(parsed, {
+        "_doc": f"try_variant_get(_json, '$', '{typed_document()}')",
+        "_shape": "schema_of_variant(_json)",
+    })
+    dated = _once(opened, {
+        "event_timestamp":
+            f"try_to_timestamp(_doc.event_timestamp, {quoted(TIMESTAMP_FORMAT)})",
+    })
+    sound = f"""{surely_valid('_shape', '_doc')}
+        AND _doc.event_type = {_by_topic('event_type')}
+        AND event_timestamp IS NOT NULL AND _doc.sequence_number IS NOT NULL"""
+    # The lambda keeps the long explanation out of the generated code of sound records.
+    explained = f"IF({sound}, NULL, transform(array(0), x -> {_explanation()})[0])"
+    reasoned = _once(
+        dated.selectExpr("*", f"{explained} AS _reason"), {"rejection_reason": "_reason"})
+    return reasoned.selectExpr(
+        f"IF(rejection_reason IS NULL, {_by_topic('table')}, NULL) AS target_table",
         "rejection_reason",
-        F.col("_ev_schema_version").cast("int").alias("schema_version"),
-        *[F.col(f"_ev_{c}").alias(c) for c in ("event_id", "event_type")],
+        "int(_doc.schema_version) AS schema_version",
+        "_doc.event_id AS event_id", "_doc.event_type AS event_type",
         "event_timestamp",
-        F.col("_ev_device_session_id").alias("device_session_id"),
-        "sequence_number",
-        *[F.col(f"_ev_{c}").alias(c) for c in ("site_id", "device_id")],
-        F.col("topic").alias("_kafka_topic"),
-        F.col("partition").alias("_kafka_partition"),
-        F.col("offset").alias("_kafka_offset"),
-        F.col("timestamp").alias("_kafka_timestamp"),
-        *[F.col(f"_pv_{f.name}").alias(f.name) for f in payload_fields()],
-        F.when(F.length("key") > 0, key).alias("_kafka_key"),
-        F.current_timestamp().alias("_processed_at"),
-        F.col("value").alias("raw_value"),
+        "_doc.device_session_id AS device_session_id",
+        "_doc.sequence_number AS sequence_number",
+        "_doc.site_id AS site_id", "_doc.device_id AS device_id",
+        "topic AS _kafka_topic", "partition AS _kafka_partition", "offset AS _kafka_offset",
+        "timestamp AS _kafka_timestamp",
+        *[f"_doc.payload.{f.name} AS {f.name}" for f in payload_fields()],
+        "IF(length(key) > 0, make_valid_utf8(string(key)), NULL) AS _kafka_key",
+        "current_timestamp() AS _processed_at",
+        "value AS raw_value",
     )
 
 
+def _explanation() -> str:
+    """Why a record is rejected, or NULL when it is sound after all."""
+    families = ", ".join(quoted(f) for f in PAYLOADS)
+    event_type = "try_variant_get(_json, '$.event_type', 'string')"
+    kind = "schema_of_variant(try_variant_get(_json, '$.event_type', 'variant'))"
+    return f"""CASE
+        WHEN value IS NULL OR length(value) = 0 THEN 'Empty Kafka value'
+        WHEN NOT is_valid_utf8(string(value)) THEN 'Invalid JSON: not valid UTF-8'
+        WHEN _json IS NULL THEN 'Invalid JSON: malformed document'
+        WHEN NOT startswith(_shape, 'OBJECT<') THEN 'Invalid JSON: expected an object'
+        WHEN NOT coalesce({kind} = 'STRING' AND {event_type} IN ({families}), false)
+            THEN concat("Unknown or missing event_type: '", coalesce({event_type}, 'None'), "'")
+        ELSE coalesce(
+            '{PREFIX}' || {contract_violation('_json', event_type)},
+            CASE WHEN {_by_topic('table')} IS NULL THEN concat('Unmapped topic: ', topic)
+                 WHEN {event_type} <> {_by_topic('event_type')} THEN concat(
+                    "event_type '", {event_type}, "' not allowed on topic ", topic,
+                    " (expected '", {_by_topic('event_type')}, "')")
+                 WHEN event_timestamp IS NULL THEN concat(
+                    'Cannot map to ', {_by_topic('table')}, ': no such date ',
+                    _doc.event_timestamp)
+                 WHEN _doc.sequence_number IS NULL THEN concat(
+                    'Cannot map to ', {_by_topic('table')}, ': sequence_number out of range')
+            END)
+        END"""
+
+
 def accepted_rows(classified: DataFrame, table: str) -> DataFrame:
     """The rows of one event table, in its stored schema."""
     return classified.where(F.col("target_table") == family_of(table).table).select(

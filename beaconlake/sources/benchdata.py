@@ -9,57 +9,81 @@ gaps, duplicates, rejects and inventory faults exist to be found.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ordered import with_row_number
 from ..model import (
-    ACCESS_ROLE, FAMILIES, IXP_ROLE, MEASURE_DDL, NETWORK_SITE_TYPE, Family, NetworkTables,
-    event_schema, schema_of,
+    EVENT_TABLES, FAMILIES, MEASURE_DDL, REFERENCE_TABLES, NetworkTables, event_schema, schema_of,
 )
 from ..operators.ingest import rejected
 
-# Which bench event type stands for which family.
-BENCH_TYPES = {
-    "click": "connectivity_metric",
-    "view": "throughput_test",
-    "purchase": "device_health",
-    "signup": "connectivity_state",
-    "error": "infrastructure_event",
-}
+# Which bench event type stands for which family (the order of model.FAMILIES).
+BENCH_TYPES = ("click", "view", "purchase", "signup", "error")
 MEASURES = [f.name for ddl in MEASURE_DDL.values() for f in schema_of(ddl)]
 IDS_PER_BUCKET = 1_000_000
-FAULT_CYCLE = 1009
+
+# 0 for a sound record, 1..21 for a broken one, 22 for one cut short (see `_spoil`).
+FAULT = """CASE WHEN event_id % 499 = 3 THEN 22
+    WHEN event_id % 1009 BETWEEN 1 AND 21 THEN int(event_id % 1009) ELSE 0 END"""
+HALF = "CASE WHEN day(ts) > 15 THEN 1 ELSE 0 END"
+# Lost on the way: event_id % 97 = 5. Sent again: % 400 = 7. Stored again: % 1000 = 13.
+COPIES = """filter(array(0, CASE WHEN event_id % 400 = 7 THEN 1 END,
+    CASE WHEN event_id % 1000 = 13 THEN 2 END), c -> c IS NOT NULL)"""
+INFRA = "event_type = 'error'"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def uuid_of(kind: str, number: Column) -> Column:
-    """A UUID-shaped text holding a number; the fourth group tells the kind of id."""
-    return F.concat(F.lit(f"00000000-0000-4000-{kind}-"), F.lpad(F.lower(F.hex(number)), 12, "0"))
-
-
-def _named(pattern: str, number: Column) -> Column:
-    return F.format_string(pattern, number)
-
-
-def _pick(number: Column, *values: str | None) -> Column:
-    """values[number], by CASE."""
-    chosen = F.when(number == 0, F.lit(values[0]))
-    for i, value in enumerate(values[1:], 1):
-        chosen = chosen.when(number == i, F.lit(value))
-    return chosen
-
-
-def fault_of(event_id: Column) -> Column:
-    """0 for a sound record, 1..21 for a broken one, 22 for a cut one (see `raw_records`)."""
-    place = event_id % FAULT_CYCLE
-    return (
-        F.when(event_id % 499 == 3, 22)
-        .when(place.between(1, 21), place.cast("int")).otherwise(0)
-    )
+def _by_type(*values: str) -> str:
+    cases = " ".join(f"WHEN '{t}' THEN {v}" for t, v in zip(BENCH_TYPES, values, strict=True))
+    return f"CASE event_type {cases} END"
+
+
+def _of_families(attribute: str) -> str:
+    return _by_type(*[f"'{getattr(f, attribute)}'" for f in FAMILIES])
+
+
+def _uuid(kind: str, number: str) -> str:
+    """UUID-shaped text holding a number; the fourth group tells the kind of id."""
+    return f"concat('00000000-0000-4000-{kind}-', lpad(lower(hex({number})), 12, '0'))"
+
+
+def _pick(number: str, *values: str) -> str:
+    cases = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {number} {cases} END"
+
+
+SIGNAL = "CASE WHEN event_id % 70 = 11 THEN -1 ELSE user_id % 4 END"  # -1: none sent
+STATE_NAMES = ("online", "degraded", "offline")
+MEASURE_SQL = {
+    "latency_ms": ("click", "value"),
+    "jitter_ms": ("click", "value / 10.0D"),
+    "packet_loss_pct": ("click", "value % 5.0D"),
+    "download_mbps": ("view", "value + 1.0D"),
+    "upload_mbps": ("view", "(value + 1.0D) / 4.0D"),
+    "cpu_pct": ("purchase", "value % 100.0D"),
+    "memory_pct": ("purchase", "(value * 2.0D) % 100.0D"),
+    "temperature_c": ("purchase", "value % 60.0D + 20.0D"),
+    "optical_rx_power_dbm": ("purchase", f"IF({SIGNAL} = 0, value % 30.0D - 30.0D, NULL)"),
+    "snr_db": ("purchase", f"IF({SIGNAL} = 1 OR event_id % 50 = 9, value % 60.0D, NULL)"),
+    "signal_strength_dbm": ("purchase", f"IF({SIGNAL} = 2, value % 100.0D - 120.0D, NULL)"),
+    "signal_quality_pct": ("purchase", f"IF({SIGNAL} = 3, value % 100.0D, NULL)"),
+    "previous_state": ("signup", _pick("(event_id div 3) % 3", *STATE_NAMES)),
+    "new_state": ("signup", _pick("event_id % 3", *STATE_NAMES)),
+    "reason": ("signup", _pick(
+        "event_id % 4", "upstream_congestion", "upstream_outage", "upstream_recovery",
+        "upstream_recovered")),
+    "incident_id": ("error", _uuid("a000", "router * 100000 + arrived_ms div 432000000")),
+    "event_kind": ("error", _pick(
+        "event_id % 4", "congestion_started", "outage_started", "recovery_started",
+        "recovered")),
+    "severity": ("error", _pick("event_id % 4", "warning", "critical", "warning", "info")),
+}
 
 
 def deliveries(events: DataFrame, sequenced: bool) -> DataFrame:
@@ -68,146 +92,92 @@ def deliveries(events: DataFrame, sequenced: bool) -> DataFrame:
     Numbering the sequence needs a pass over the whole stream, so it is only done when
     asked for; otherwise the column does not exist.
     """
-    half = F.when(F.dayofmonth("ts") > 15, 1).otherwise(0)
-    source = events.select("event_id", "ts", "user_id", "event_type", "value", half.alias("half"))
+    source = events.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value", f"{HALF} AS half")
     if sequenced:
         source = with_row_number(
             source, ["user_id", "event_type", "half"], "event_id",
             F.floor(F.col("event_id") / F.lit(IDS_PER_BUCKET)), "sequence_number",
         )
-    eid, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    kept = source.where(eid % 97 != 5)
-    copy = F.explode(F.filter(F.array(
-        F.lit(0), F.when(eid % 400 == 7, 1), F.when(eid % 1000 == 13, 2)
-    ), lambda c: c.isNotNull()))
-    copied = kept.withColumn("copy", copy)
-
-    is_type = {f: F.col("event_type") == t for t, f in BENCH_TYPES.items()}
-    infra = is_type["infrastructure_event"]
-    router = user % 25
-    arrived_ms = F.floor(F.timestamp_diff(
-        "MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")
-    ) / F.lit(1000))
-    measured_ms = arrived_ms - F.floor(value * F.lit(600000.0))
-    fault = fault_of(eid)
-    family = F.coalesce(*[F.when(is_type[f.event_type], F.lit(f.event_type)) for f in FAMILIES])
-    topic = F.coalesce(*[F.when(is_type[f.event_type], F.lit(f.topic)) for f in FAMILIES])
-    table = F.coalesce(*[F.when(is_type[f.event_type], F.lit(f.table)) for f in FAMILIES])
-    days = F.floor(arrived_ms / F.lit(86_400_000 * 5))
-    device = F.when(infra, _named("agg-%02d", router)).otherwise(_named("device-%04d", user))
-    site = F.when(infra, _named("network-site-agg-%02d", router)).otherwise(
-        _named("site-%04d", user))
-
-    def when_type(event_type: str, column: Column) -> Column:
-        return F.when(is_type[event_type], column)
-
-    signal = F.when(eid % 70 == 11, -1).otherwise(user % 4)  # -1: signal missing
-    extra_snr = eid % 50 == 9  # a second, wrong signal
-    measures = {
-        "latency_ms": when_type("connectivity_metric", value),
-        "jitter_ms": when_type("connectivity_metric", value / F.lit(10.0)),
-        "packet_loss_pct": when_type("connectivity_metric", value % F.lit(5.0)),
-        "download_mbps": when_type("throughput_test", value + F.lit(1.0)),
-        "upload_mbps": when_type("throughput_test", (value + F.lit(1.0)) / F.lit(4.0)),
-        "cpu_pct": when_type("device_health", value % F.lit(100.0)),
-        "memory_pct": when_type("device_health", (value * F.lit(2.0)) % F.lit(100.0)),
-        "temperature_c": when_type("device_health", value % F.lit(60.0) + F.lit(20.0)),
-        "optical_rx_power_dbm": F.when(
-            is_type["device_health"] & (signal == 0), value % F.lit(30.0) - F.lit(30.0)),
-        "snr_db": F.when(
-            is_type["device_health"] & ((signal == 1) | extra_snr), value % F.lit(60.0)),
-        "signal_strength_dbm": F.when(
-            is_type["device_health"] & (signal == 2), value % F.lit(100.0) - F.lit(120.0)),
-        "signal_quality_pct": F.when(
-            is_type["device_health"] & (signal == 3), value % F.lit(100.0)),
-        "previous_state": when_type("connectivity_state", _pick(
-            F.floor(eid / F.lit(3)) % 3, "online", "degraded", "offline")),
-        "new_state": when_type("connectivity_state", _pick(
-            eid % 3, "online", "degraded", "offline")),
-        "reason": when_type("connectivity_state", _pick(
-            eid % 4, "upstream_congestion", "upstream_outage", "upstream_recovery",
-            "upstream_recovered")),
-        "incident_id": F.when(infra, uuid_of("a000", router * F.lit(100_000) + days)),
-        "event_kind": F.when(infra, _pick(
-            eid % 4, "congestion_started", "outage_started", "recovery_started", "recovered")),
-        "severity": F.when(infra, _pick(eid % 4, "warning", "critical", "warning", "info")),
-    }
-    return copied.select(
-        fault.alias("fault"),
-        table.alias("table_name"),
-        F.lit(1).alias("schema_version"),
-        uuid_of("8000", eid).alias("event_id"),
-        family.alias("event_type"),
-        F.timestamp_millis(measured_ms).alias("event_timestamp"),
-        uuid_of("9000", user * F.lit(2) + F.col("half")).alias("device_session_id"),
-        *([F.col("sequence_number")] if sequenced else []),
-        site.alias("site_id"),
-        device.alias("device_id"),
-        topic.alias("_kafka_topic"),
-        (F.when(infra, router).otherwise(user) % 3).cast("int").alias("_kafka_partition"),
-        (eid * 2 + F.when(F.col("copy") == 1, 1).otherwise(0)).alias("_kafka_offset"),
-        F.timestamp_millis(arrived_ms).alias("_kafka_timestamp"),
-        *[measures[m].alias(m) for m in MEASURES],
-        device.alias("_kafka_key"),
-        F.timestamp_millis(arrived_ms + F.lit(250)).alias("_ingested_at"),
+    numbered = ["sequence_number"] if sequenced else []
+    copied = source.where("event_id % 97 <> 5").selectExpr(
+        "event_id", "user_id", "event_type", "value", "half", *numbered,
+        f"explode({COPIES}) AS copy", "user_id % 25 AS router",
+        "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) div 1000"
+        " AS arrived_ms",
+    )
+    device = f"IF({INFRA}, format_string('agg-%02d', router)," \
+             " format_string('device-%04d', user_id))"
+    return copied.selectExpr(
+        f"{FAULT} AS fault",
+        f"{_of_families('table')} AS table_name",
+        "1 AS schema_version",
+        f"{_uuid('8000', 'event_id')} AS event_id",
+        f"{_of_families('event_type')} AS event_type",
+        "timestamp_millis(arrived_ms - floor(value * 600000.0D)) AS event_timestamp",
+        f"{_uuid('9000', 'user_id * 2 + half')} AS device_session_id",
+        *numbered,
+        f"IF({INFRA}, format_string('network-site-agg-%02d', router),"
+        " format_string('site-%04d', user_id)) AS site_id",
+        f"{device} AS device_id",
+        f"{_of_families('topic')} AS _kafka_topic",
+        f"int(IF({INFRA}, router, user_id) % 3) AS _kafka_partition",
+        "event_id * 2 + IF(copy = 1, 1, 0) AS _kafka_offset",
+        "timestamp_millis(arrived_ms) AS _kafka_timestamp",
+        *[f"CASE WHEN event_type = '{t}' THEN {sql} END AS {name}"
+          for name, (t, sql) in MEASURE_SQL.items()],
+        f"{device} AS _kafka_key",
+        "timestamp_millis(arrived_ms + 250) AS _ingested_at",
     )
 
 
+# How a broken record differs from a sound one: fault number -> column -> SQL.
+FIRST_MEASURES = ("latency_ms", "download_mbps", "cpu_pct", "previous_state", "incident_id")
+OUT_OF_RANGE = {"latency_ms": "-1.0D", "download_mbps": "0.0D", "cpu_pct": "101.0D",
+                "new_state": "'rebooting'", "event_kind": "'exploded'"}
+STAMP = "date_format(event_timestamp, \"yyyy-MM-dd'T'HH:mm:ss{}'Z'\")"
+
+
 def raw_records(spark: SparkSession, sf_dir: str, only_faulty: bool = False) -> DataFrame:
     """The deliveries as broker records: JSON bytes with the faults built in."""
-    events = _table(spark, sf_dir, "events")
-    sent = deliveries(events, sequenced=not only_faulty)
+    sent = deliveries(_table(spark, sf_dir, "events"), sequenced=not only_faulty)
     if only_faulty:
-        # The sequence number is not looked at before a broken record is rejected.
+        # A broken record is rejected whatever its sequence number is.
         sent = sent.where("fault <> 0").withColumn("sequence_number", F.lit(1).cast("bigint"))
-    fault = F.col("fault")
-
-    def broken(n: int, column: Column, otherwise: Column) -> Column:
-        return F.when(fault == n, column).otherwise(otherwise)
-
-    first_of = {"connectivity_metric": "latency_ms", "throughput_test": "download_mbps",
-                "device_health": "cpu_pct", "connectivity_state": "previous_state",
-                "infrastructure_event": "incident_id"}
-    out_of_range = {"latency_ms": -1.0, "download_mbps": 0.0, "cpu_pct": 101.0,
-                    "new_state": "rebooting", "event_kind": "exploded"}
-    payload = []
-    for m in MEASURES:
-        column = F.col(m)
-        if m in first_of.values():
-            column = F.when(fault != 18, column)
-        if m in out_of_range:
-            column = F.when((fault == 20) & F.col(m).isNotNull(), F.lit(out_of_range[m])) \
-                .otherwise(column)
-        payload.append(column.alias(m))
-    payload.append(F.when(fault == 10, 1.0).alias("rtt_ms"))
-
-    stamp = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    stamp = broken(9, F.lit("2026-13-45T18:00:00.000Z"), stamp)
-    stamp = broken(13, F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'"), stamp)
-    event_type = F.when(fault == 5, "reboot").when(fault != 6, F.col("event_type"))
-    body = F.to_json(F.struct(
-        broken(15, F.lit(2), F.col("schema_version")).alias("schema_version"),
-        broken(16, F.lit("not-a-uuid"), F.col("event_id")).alias("event_id"),
-        event_type.alias("event_type"),
-        stamp.alias("event_timestamp"),
-        F.when(fault != 12, F.col("device_session_id")).alias("device_session_id"),
-        broken(14, F.lit(0).cast("bigint"), F.col("sequence_number")).alias("sequence_number"),
-        F.col("site_id"),
-        broken(17, F.lit("Device-1"), F.col("device_id")).alias("device_id"),
-        F.when(fault == 11, "central").alias("region"),
-        F.struct(*payload).alias("payload"),
-    ))
-    body = _spoil(body, fault)
-    next_topic = F.coalesce(*[
-        F.when(F.col("event_type") == f.event_type, F.lit(FAMILIES[(i + 1) % 5].topic))
-        for i, f in enumerate(FAMILIES)
-    ])
-    topic = F.when(fault == 7, next_topic).when(fault == 8, F.lit("network.unknown")) \
-        .otherwise(F.col("_kafka_topic"))
-    return sent.select(
+
+    def measure(name: str) -> str:
+        sql = name
+        if name in OUT_OF_RANGE:
+            sql = f"IF(fault = 20 AND {name} IS NOT NULL, {OUT_OF_RANGE[name]}, {sql})"
+        if name in FIRST_MEASURES:
+            sql = f"IF(fault = 18, NULL, {sql})"
+        return f"'{name}', {sql}"
+
+    payload = ", ".join([*map(measure, MEASURES), "'rtt_ms', IF(fault = 10, 1.0D, NULL)"])
+    body = f"""to_json(named_struct(
+        'schema_version', IF(fault = 15, 2, schema_version),
+        'event_id', IF(fault = 16, 'not-a-uuid', event_id),
+        'event_type', CASE fault WHEN 5 THEN 'reboot' WHEN 6 THEN NULL ELSE event_type END,
+        'event_timestamp', CASE fault WHEN 9 THEN '2026-13-45T18:00:00.000Z'
+            WHEN 13 THEN {STAMP.format('')} ELSE {STAMP.format('.SSS')} END,
+        'device_session_id', IF(fault = 12, NULL, device_session_id),
+        'sequence_number', IF(fault = 14, 0L, sequence_number),
+        'site_id', site_id,
+        'device_id', IF(fault = 17, 'Device-1', device_id),
+        'region', IF(fault = 11, 'central', NULL),
+        'payload', named_struct({payload})))"""
+    following = {f.event_type: FAMILIES[(i + 1) % 5].topic for i, f in enumerate(FAMILIES)}
+    astray = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in following.items())
+    lines = sent.selectExpr(
+        "fault", f"{body} AS body", "_kafka_key", "_kafka_partition", "_kafka_offset",
+        "_kafka_timestamp",
+        f"CASE fault WHEN 7 THEN CASE event_type {astray} END WHEN 8 THEN 'network.unknown'"
+        " ELSE _kafka_topic END AS topic",
+    )
+    return lines.select(
         F.encode("_kafka_key", "UTF-8").alias("key"),
-        body.alias("value"),
-        topic.alias("topic"),
+        _spoil(F.col("body"), F.col("fault")).alias("value"),
+        "topic",
         F.col("_kafka_partition").alias("partition"),
         F.col("_kafka_offset").alias("offset"),
         F.col("_kafka_timestamp").alias("timestamp"),
@@ -230,148 +200,159 @@ def _spoil(body: Column, fault: Column) -> Column:
         .otherwise(F.encode(text, "UTF-8"))
 
 
-def network_tables(spark: SparkSession, sf_dir: str, sequenced: bool = False) -> NetworkTables:
-    """All ten tables. Records that ingestion would reject are in `rejected_events`."""
+def network_tables(
+    spark: SparkSession, sf_dir: str, sequenced: bool = False
+) -> NetworkTables:
+    """The model's tables. Broken deliveries are not in the event tables; reading
+    `rejected_events` runs them through ingestion's own validation."""
     events = _table(spark, sf_dir, "events")
-    bench_type = {f: t for t, f in BENCH_TYPES.items()}
-
-    def family_table(family: Family) -> DataFrame:
-        rows = deliveries(events.where(F.col("event_type") == bench_type[family.event_type]),
-                          sequenced)
-        columns = [c for c in event_schema(family.table).names
-                   if sequenced or c != "sequence_number"]
-        return rows.where("fault = 0").select(*columns)
+    stored = inventory(spark, sf_dir)
+
+    def load(name: str) -> DataFrame:
+        if name in EVENT_TABLES:
+            bench_type = BENCH_TYPES[EVENT_TABLES.index(name)]
+            rows = deliveries(events.where(F.col("event_type") == bench_type), sequenced)
+            columns = [c for c in event_schema(name).names
+                       if sequenced or c != "sequence_number"]
+            return rows.where("fault = 0").select(*columns)
+        if name in REFERENCE_TABLES:
+            return stored[name]()
+        return rejected(raw_records(spark, sf_dir, only_faulty=True))
 
     return NetworkTables(
-        **{f.table: family_table(f) for f in FAMILIES},
-        rejected_events=rejected(raw_records(spark, sf_dir, only_faulty=True)),
-        **inventory(spark, sf_dir),
-        all_events=deliveries(events, sequenced).where("fault = 0").drop("fault", *MEASURES),
+        load, lambda: deliveries(events, sequenced).where("fault = 0").drop("fault", *MEASURES)
     )
 
 
-def inventory(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Sites, devices, dependencies and block groups. Customers with c_custkey % 40 = 9
-    have a site and a dependency but were left out of `devices`."""
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    customer = _table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment")
-    nation = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    ixp = region.agg(F.min("r_regionkey").alias("one"))
-    cust, nat, reg = F.col("c_custkey"), F.col("c_nationkey"), F.col("r_regionkey")
-
-    def geoid(n: Column) -> Column:
-        return F.concat(F.lit("05"), F.lpad(n.cast("string"), 10, "0"))
-
-    def site(site_id, lat, lon, region_name, n, urban_km, place_km, site_type, critical):
-        urban = n % 2 == 0
-        return [
-            site_id.alias("site_id"), lat.alias("latitude"), lon.alias("longitude"),
-            region_name.alias("region"), geoid(n).alias("block_group_geoid"),
-            urban.alias("inside_census_urban_area"),
-            F.when(urban, F.concat(F.lit("Area "), n.cast("string"))).alias("urban_area_name"),
-            F.when(urban, 0.0).otherwise(urban_km)
-            .alias("distance_to_nearest_urban_area_km"),
-            F.concat(F.lit("Place "), n.cast("string")).alias("nearest_census_place"),
-            place_km.alias("distance_to_nearest_place_km"),
-            site_type.alias("site_type"), critical.alias("critical_infrastructure"),
-        ]
-
-    zero, no = F.lit(0.0), F.lit(False)
-    facility = F.lit(NETWORK_SITE_TYPE)
-    service_sites = customer.join(nation, nat == F.col("n_nationkey")).select(*site(
-        _named("site-%04d", cust), F.lit(32.9) + (cust % 370) / F.lit(100.0),
-        F.lit(-94.7) + (cust % 52) / F.lit(10.0), F.col("r_name"), nat,
-        (cust % 80) + F.lit(0.5), (cust % 30) / F.lit(2.0),
-        F.when(cust % 25 == 0, "hospital").otherwise("residential"), cust % 25 == 0,
-    ))
-    n_key = F.col("n_nationkey")
-    agg_sites = nation.select(*site(
-        _named("network-site-agg-%02d", n_key), F.lit(33.0) + n_key / F.lit(10.0),
-        F.lit(-94.0) + n_key / F.lit(10.0), F.col("r_name"), n_key, F.lit(12.5), zero, facility,
-        no))
-    backhaul_sites = region.select(*site(
-        _named("network-site-backhaul-%02d", reg), F.lit(34.0) + reg / F.lit(10.0),
-        F.lit(-93.0) + reg / F.lit(10.0), F.col("r_name"), reg, F.lit(20.5), zero, facility, no))
-    ixp_site = ixp.select(*site(
-        F.lit("network-site-ixp-01"), F.lit(34.7), F.lit(-92.3), F.lit("central"), F.lit(0),
-        zero, zero, facility, no))
-
-    def device(device_id, site_id, provider_id, provider, technology, device_class, model, role,
-               down, up, deployed):
-        return [
-            device_id.alias("device_id"), site_id.alias("site_id"),
-            provider_id.alias("provider_id"), provider.alias("provider_name"),
-            technology.alias("technology"), device_class.alias("device_class"),
-            model.alias("device_model"), role.alias("infrastructure_role"),
-            down.cast("double").alias("advertised_download_mbps"),
-            up.cast("double").alias("advertised_upload_mbps"),
-            deployed.alias("deployment_date"),
-        ]
-
-    technology = _pick(cust % 4, "fiber", "coax", "fixed_wireless", "satellite")
-    plan = F.floor(cust / F.lit(4)) % 3
-    down = F.when(plan == 0, 100.0).when(plan == 1, 300.0).otherwise(1000.0)
-    none, text = F.lit(None), F.lit(None).cast("string")
-    start = F.lit("2020-01-01").cast("date")
-    access = customer.where(cust % 40 != 9).select(*device(
-        _named("device-%04d", cust), _named("site-%04d", cust),
-        F.lower("c_mktsegment"), F.col("c_mktsegment"), technology,
-        _pick(cust % 4, "ont", "cable_modem", "cpe", "terminal"),
-        F.concat(F.upper(technology), F.lit("-"), (cust % 3).cast("string")),
-        F.lit(ACCESS_ROLE), down, down / F.lit(10.0),
-        F.date_add(start, (cust % 1000).cast("int"))))
-
-    def router(rows: DataFrame, key: Column, name: str, role: str, provider: Column) -> DataFrame:
-        return rows.select(*device(
-            key, F.concat(F.lit("network-site-"), key), provider, provider, F.lit("fiber"),
-            F.lit(f"{role}_router"), F.lit(name), F.lit(role), none, none, start))
-
-    agg_key = _named("agg-%02d", n_key)
-    backhaul_key = _named("backhaul-%02d", reg)
-    routers = (
-        router(nation, agg_key, "RTR-EDGE-2000", "aggregation", F.lit("transit"))
-        .unionByName(router(region, backhaul_key, "RTR-HAUL-4000", "backhaul", F.lit("transit")))
-        .unionByName(router(ixp, F.lit("ixp-01"), "RTR-CORE-9000", IXP_ROLE, text))
-    )
+# Inventory: customers are access devices, nations aggregation routers, regions backhaul.
+# Customers with c_custkey % 40 = 9 have a site and an edge but were left out of `devices`.
+NATION_GEOID = "concat('05', lpad(string({0}), 10, '0'))"
+
+
+def _site(site_id, latitude, longitude, region, nation, urban_km, place_km, site_type,
+          critical) -> list[str]:
+    return [
+        f"{site_id} AS site_id", f"{latitude} AS latitude", f"{longitude} AS longitude",
+        f"{region} AS region", f"{NATION_GEOID.format(nation)} AS block_group_geoid",
+        f"{nation} % 2 = 0 AS inside_census_urban_area",
+        f"IF({nation} % 2 = 0, concat('Area ', {nation}), NULL) AS urban_area_name",
+        f"IF({nation} % 2 = 0, 0.0D, {urban_km}) AS distance_to_nearest_urban_area_km",
+        f"concat('Place ', {nation}) AS nearest_census_place",
+        f"{place_km} AS distance_to_nearest_place_km",
+        f"{site_type} AS site_type", f"{critical} AS critical_infrastructure",
+    ]
+
+
+def _router(device_id: str, model: str, role: str, provider: str) -> list[str]:
+    return [
+        f"{device_id} AS device_id", f"concat('network-site-', {device_id}) AS site_id",
+        f"{provider} AS provider_id", f"{provider} AS provider_name", "'fiber' AS technology",
+        f"'{role}_router' AS device_class", f"'{model}' AS device_model",
+        f"'{role}' AS infrastructure_role", "double(NULL) AS advertised_download_mbps",
+        "double(NULL) AS advertised_upload_mbps", "DATE '2020-01-01' AS deployment_date",
+    ]
+
+
+def _edge(low: str, high: str, kind: str) -> list[str]:
+    return [f"{low} AS downstream_device_id", f"{high} AS upstream_device_id",
+            f"'{kind}' AS dependency_type"]
+
+
+AGG, BACKHAUL = "format_string('agg-%02d', {})", "format_string('backhaul-%02d', {})"
+CUSTOMER = "format_string('{}-%04d', c_custkey)"
+TECHNOLOGY = _pick("c_custkey % 4", "fiber", "coax", "fixed_wireless", "satellite")
+PLAN = "CASE (c_custkey div 4) % 3 WHEN 0 THEN 100.0D WHEN 1 THEN 300.0D ELSE 1000.0D END"
+
+
+def inventory(spark: SparkSession, sf_dir: str) -> dict:
+    """Builders of sites, devices, dependencies and block groups."""
+    customer = _table(spark, sf_dir, "customer")
+    nation = _table(spark, sf_dir, "nation")
+    region = _table(spark, sf_dir, "region")
+
+    def union(*parts: DataFrame) -> DataFrame:
+        return reduce(DataFrame.unionByName, parts)
+
+    def ixp() -> DataFrame:
+        return region.agg(F.min("r_regionkey").alias("first"))
+
+    def regions() -> DataFrame:
+        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+
+    def sites() -> DataFrame:
+        facility = "'network_facility'"
+        return union(
+            customer.join(regions(), F.col("c_nationkey") == F.col("n_nationkey"))
+            .selectExpr(*_site(
+                CUSTOMER.format("site"), "32.9D + (c_custkey % 370) / 100.0D",
+                "-94.7D + (c_custkey % 52) / 10.0D", "r_name", "c_nationkey",
+                "(c_custkey % 80) + 0.5D", "(c_custkey % 30) / 2.0D",
+                "IF(c_custkey % 25 = 0, 'hospital', 'residential')", "c_custkey % 25 = 0")),
+            regions().selectExpr(*_site(
+                f"concat('network-site-', {AGG.format('n_nationkey')})",
+                "33.0D + n_nationkey / 10.0D", "-94.0D + n_nationkey / 10.0D", "r_name",
+                "n_nationkey", "12.5D", "0.0D", facility, "false")),
+            region.selectExpr(*_site(
+                f"concat('network-site-', {BACKHAUL.format('r_regionkey')})",
+                "34.0D + r_regionkey / 10.0D", "-93.0D + r_regionkey / 10.0D", "r_name",
+                "r_regionkey", "20.5D", "0.0D", facility, "false")),
+            ixp().selectExpr(*_site(
+                "'network-site-ixp-01'", "34.7D", "-92.3D", "'central'", "0", "0.0D", "0.0D",
+                facility, "false")),
+        )
 
-    def edge(rows: DataFrame, low: Column, high: Column, kind: str) -> DataFrame:
-        return rows.select(low.alias("downstream_device_id"), high.alias("upstream_device_id"),
-                           F.lit(kind).alias("dependency_type"))
+    def devices() -> DataFrame:
+        access = customer.where("c_custkey % 40 <> 9").selectExpr(
+            f"{CUSTOMER.format('device')} AS device_id", f"{CUSTOMER.format('site')} AS site_id",
+            "lower(c_mktsegment) AS provider_id", "c_mktsegment AS provider_name",
+            f"{TECHNOLOGY} AS technology",
+            _pick("c_custkey % 4", "ont", "cable_modem", "cpe", "terminal") + " AS device_class",
+            f"concat(upper({TECHNOLOGY}), '-', c_custkey % 3) AS device_model",
+            "'subscriber_edge' AS infrastructure_role",
+            f"{PLAN} AS advertised_download_mbps", f"{PLAN} / 10.0D AS advertised_upload_mbps",
+            "date_add(DATE '2020-01-01', int(c_custkey % 1000)) AS deployment_date")
+        return union(
+            access,
+            nation.selectExpr(*_router(
+                AGG.format("n_nationkey"), "RTR-EDGE-2000", "aggregation", "'transit'")),
+            region.selectExpr(*_router(
+                BACKHAUL.format("r_regionkey"), "RTR-HAUL-4000", "backhaul", "'transit'")),
+            ixp().selectExpr(*_router("'ixp-01'", "RTR-CORE-9000", "ixp", "string(NULL)")),
+        )
 
-    dependencies = (
-        edge(customer, _named("device-%04d", cust), _named("agg-%02d", nat),
-             "access_aggregation")
-        .unionByName(edge(nation, agg_key, _named("backhaul-%02d", F.col("n_regionkey")),
-                          "aggregation_backhaul"))
-        .unionByName(edge(region, backhaul_key, F.lit("ixp-01"), "backhaul_ixp"))
-    )
-    people = customer.groupBy("c_nationkey").agg((F.count(F.lit(1)) * 100).alias("population"))
-    area = (F.lit(1.0) + n_key).cast("double")
-    population = F.coalesce("population", F.lit(0)).cast("bigint")
-    census = nation.join(people, n_key == nat, "left").select(
-        geoid(n_key).alias("block_group_geoid"), population.alias("population"),
-        area.alias("land_area_sq_miles"),
-        (population / area).alias("population_density_per_sq_mile"),
-        (F.lit(33.0) + n_key / F.lit(10.0)).alias("internal_latitude"),
-        (F.lit(-94.0) + n_key / F.lit(10.0)).alias("internal_longitude"),
-    )
-    return {
-        "sites": service_sites.unionByName(agg_sites).unionByName(backhaul_sites)
-        .unionByName(ixp_site),
-        "devices": access.unionByName(routers),
-        "device_dependencies": dependencies,
-        "census_block_groups": census,
-    }
+    def dependencies() -> DataFrame:
+        return union(
+            customer.selectExpr(*_edge(
+                CUSTOMER.format("device"), AGG.format("c_nationkey"), "access_aggregation")),
+            nation.selectExpr(*_edge(
+                AGG.format("n_nationkey"), BACKHAUL.format("n_regionkey"),
+                "aggregation_backhaul")),
+            region.selectExpr(*_edge(
+                BACKHAUL.format("r_regionkey"), "'ixp-01'", "backhaul_ixp")),
+        )
+
+    def census() -> DataFrame:
+        people = customer.groupBy("c_nationkey").agg((F.count(F.lit(1)) * 100).alias("people"))
+        area = "(1.0D + n_nationkey)"
+        return nation.join(
+            people, F.col("n_nationkey") == F.col("c_nationkey"), "left"
+        ).selectExpr(
+            f"{NATION_GEOID.format('n_nationkey')} AS block_group_geoid",
+            "coalesce(people, 0L) AS population", f"{area} AS land_area_sq_miles",
+            f"coalesce(people, 0L) / {area} AS population_density_per_sq_mile",
+            "33.0D + n_nationkey / 10.0D AS internal_latitude",
+            "-94.0D + n_nationkey / 10.0D AS internal_longitude")
+
+    return {"sites": sites, "devices": devices, "device_dependencies": dependencies,
+            "census_block_groups": census}
 
 
 def device_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a device message (`device_topic`, `payload`), some misaddressed."""
-    level_of = {"click": "connectivity", "view": "throughput", "purchase": "health",
-                "signup": "state", "error": "infrastructure"}
-    level = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(v)) for t, v in level_of.items()])
-    site, device = _named("site-%04d", F.col("user_id")), _named("device-%04d", F.col("user_id"))
+    level = F.expr(_by_type(
+        "'connectivity'", "'throughput'", "'health'", "'state'", "'infrastructure'"))
+    site = F.format_string("site-%04d", "user_id")
+    device = F.format_string("device-%04d", "user_id")
     place = F.col("event_id") % 31
     topic = (
         F.when(place == 1, F.concat_ws("/", F.lit("network"), F.lit(""), device, level))
