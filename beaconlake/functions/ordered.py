@@ -89,3 +89,24 @@ def with_row_number(
         .withColumn(name, (F.col("_before") + F.col("_place")).cast("bigint"))
         .drop("_bucket", "_place", "_before")
     )
+
+
+def with_previous_value(
+    df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column, name: str
+) -> DataFrame:
+    """Add `lag(value)` per key as `name`. `bucket` must rise with `order`."""
+    cut = df.withColumn("_bucket", bucket)
+    inside = cut.withColumn(
+        "_inside", F.lag(value).over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
+    )
+    tails = cut.groupBy(*keys, "_bucket").agg(
+        F.max_by(F.col(value), F.struct(*order)).alias("_tail"))
+    carried = tails.select(
+        *keys, "_bucket",
+        F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carried"),
+    )
+    return (
+        inside.join(carried, [*keys, "_bucket"], "left")
+        .withColumn(name, F.coalesce("_inside", "_carried"))
+        .drop("_bucket", "_inside", "_carried")
+    )

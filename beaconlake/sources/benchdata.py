@@ -378,3 +378,67 @@ def offset_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         .otherwise(F.col("offset")))
     earliest = sent.groupBy(*keys).agg(oldest.alias("offset"))
     return committed, earliest
+
+
+def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(label, expected): the rows the inventory should have, counted at its source."""
+    def rows(name: str) -> DataFrame:
+        return _table(spark, sf_dir, name).agg(F.count(F.lit(1)).alias("n"))
+
+    c, n, r = (rows(t).scalar() for t in ("customer", "nation", "region"))
+    expected = {
+        "census_block_groups": n, "sites": c + n + r + 1, "devices": c + n + r + 1,
+        "device_dependencies": c + n + r, "access devices": c,
+        "infrastructure devices": n + r + 1, "service sites": c, "network sites": n + r + 1,
+    }
+    return spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("label"), v.alias("expected")) for k, v in expected.items()])))
+
+
+def delivered_inventory(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The inventory as a careless supplier would deliver it: every rule is broken by
+    some rows, picked by the number in their id."""
+    clean = {name: build() for name, build in inventory(spark, sf_dir).items()}
+
+    def numbered(table: str, column: str, prefix: str) -> DataFrame:
+        number = f"IF({column} LIKE '{prefix}-%', int(substring_index({column}, '-', -1)), NULL)"
+        return clean[table].withColumn("n", F.expr(number))
+
+    def changed(df: DataFrame, **sql: str) -> DataFrame:
+        return df.withColumns({c: F.expr(e) for c, e in sql.items()})
+
+    sites = changed(
+        numbered("sites", "site_id", "site"),
+        region="IF(n % 60 = 1, NULL, region)",
+        latitude="IF(n % 61 = 2, 45.0D, latitude)",
+        block_group_geoid="IF(n % 62 = 3, concat('06', substring(block_group_geoid, 3)),"
+                          " block_group_geoid)",
+        distance_to_nearest_place_km="IF(n % 63 = 4, -1.0D, distance_to_nearest_place_km)")
+    devices = changed(
+        numbered("devices", "device_id", "device"),
+        site_id="IF(n % 70 = 1, 'site-none', site_id)",
+        advertised_download_mbps="CASE WHEN n % 71 = 2 THEN NULL"
+                                 " WHEN device_id LIKE 'agg-%1' THEN 100.0D"
+                                 " ELSE advertised_download_mbps END",
+        provider_id="IF(n % 72 = 3, NULL, provider_id)",
+        technology="IF(n % 74 = 6, '', technology)")
+    second_ixp = clean["devices"].where("device_id = 'ixp-01'").withColumn(
+        "device_id", F.lit("ixp-02"))
+    edges = numbered("device_dependencies", "downstream_device_id", "device")
+    edges = changed(
+        edges.where("n IS NULL OR n % 80 <> 1"),
+        upstream_device_id="CASE WHEN n % 81 = 2 THEN 'agg-99'"
+                           " WHEN n % 83 = 4 THEN downstream_device_id"
+                           " ELSE upstream_device_id END",
+        dependency_type="IF(n % 82 = 3, 'aggregation_backhaul', dependency_type)")
+    ixp_edge = clean["device_dependencies"].where("downstream_device_id = 'backhaul-00'") \
+        .withColumn("downstream_device_id", F.lit("ixp-02"))
+    return {
+        "sites": sites.unionByName(sites.where("n % 64 = 5")).drop("n"),
+        "devices": devices.unionByName(devices.where("n % 73 = 5")).drop("n")
+        .unionByName(second_ixp),
+        "device_dependencies": edges.drop("n").unionByName(ixp_edge),
+        "census_block_groups": changed(
+            clean["census_block_groups"],
+            population="IF(int(substring(block_group_geoid, 3)) % 7 = 3, -5L, population)"),
+    }

@@ -264,6 +264,54 @@ CTES: dict[str, str] = {
                33.0::DOUBLE + n_nationkey / 10.0::DOUBLE AS internal_latitude,
                -94.0::DOUBLE + n_nationkey / 10.0::DOUBLE AS internal_longitude
         FROM nation LEFT JOIN people ON n_nationkey = c_nationkey""",
+    "manifest": """
+        SELECT unnest(['census_block_groups', 'sites', 'devices', 'device_dependencies',
+                       'access devices', 'infrastructure devices', 'service sites',
+                       'network sites']) AS label,
+               unnest([n, c + n + r + 1, c + n + r + 1, c + n + r, c, n + r + 1, c, n + r + 1])
+                   AS expected
+        FROM (SELECT (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM nation) AS n,
+                     (SELECT count(*) FROM region) AS r)""",
+    "numbered_sites": """
+        SELECT *, CASE WHEN site_id LIKE 'site-%' THEN substr(site_id, 6)::INT END AS n
+        FROM sites""",
+    "spoilt_sites": """
+        SELECT * REPLACE (
+            CASE WHEN n % 60 = 1 THEN NULL ELSE region END AS region,
+            CASE WHEN n % 61 = 2 THEN 45.0::DOUBLE ELSE latitude END AS latitude,
+            CASE WHEN n % 62 = 3 THEN '06' || substr(block_group_geoid, 3)
+                 ELSE block_group_geoid END AS block_group_geoid,
+            CASE WHEN n % 63 = 4 THEN -1.0::DOUBLE ELSE distance_to_nearest_place_km END
+                AS distance_to_nearest_place_km)
+        FROM numbered_sites""",
+    "d_sites": """
+        SELECT * FROM spoilt_sites UNION ALL SELECT * FROM spoilt_sites WHERE n % 64 = 5""",
+    "spoilt_devices": """
+        SELECT * REPLACE (
+            CASE WHEN n % 70 = 1 THEN 'site-none' ELSE site_id END AS site_id,
+            CASE WHEN n % 71 = 2 THEN NULL WHEN device_id LIKE 'agg-%1' THEN 100.0::DOUBLE
+                 ELSE advertised_download_mbps END AS advertised_download_mbps,
+            CASE WHEN n % 72 = 3 THEN NULL ELSE provider_id END AS provider_id,
+            CASE WHEN n % 74 = 6 THEN '' ELSE technology END AS technology)
+        FROM (SELECT *, CASE WHEN device_id LIKE 'device-%' THEN substr(device_id, 8)::INT END
+                  AS n FROM devices)""",
+    "d_devices": """
+        SELECT * FROM spoilt_devices UNION ALL SELECT * FROM spoilt_devices WHERE n % 73 = 5
+        UNION ALL SELECT * REPLACE ('ixp-02' AS device_id) FROM spoilt_devices
+        WHERE device_id = 'ixp-01'""",
+    "d_edges": """
+        SELECT downstream_device_id,
+               CASE WHEN n % 81 = 2 THEN 'agg-99' WHEN n % 83 = 4 THEN downstream_device_id
+                    ELSE upstream_device_id END AS upstream_device_id,
+               CASE WHEN n % 82 = 3 THEN 'aggregation_backhaul' ELSE dependency_type END
+                   AS dependency_type
+        FROM (SELECT *, CASE WHEN downstream_device_id LIKE 'device-%'
+                  THEN substr(downstream_device_id, 8)::INT END AS n FROM device_dependencies)
+        WHERE n IS NULL OR n % 80 <> 1
+        UNION ALL SELECT 'ixp-02', 'ixp-01', 'backhaul_ixp'""",
+    "d_census": """
+        SELECT * REPLACE (CASE WHEN substr(block_group_geoid, 3)::BIGINT % 7 = 3 THEN -5
+            ELSE population END AS population) FROM census_block_groups""",
 }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconlake.model import EVENT_TABLES, NetworkTables, newest
-from beaconlake.operators import ingest
+from beaconlake.operators import geography, ingest, quality, reference_rules
 from beaconlake.plans import accounting, exploring, incidents, performance
 from beaconlake.sources import benchdata
 
@@ -102,6 +102,72 @@ def skipped_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.skipped_offsets(committed, earliest)
 
 
+def _rule(rule) -> Query:
+    return lambda spark, sf_dir: rule(benchdata.delivered_inventory(spark, sf_dir))
+
+
+def ref_count_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reference_rules.count_mismatch(
+        benchdata.delivered_inventory(spark, sf_dir), benchdata.manifest_counts(spark, sf_dir))
+
+
+def ref_violation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reference_rules.summarised(reference_rules.violations(
+        benchdata.delivered_inventory(spark, sf_dir), benchdata.manifest_counts(spark, sf_dir)))
+
+
+def _probes(spark: SparkSession, sf_dir: str, category: str | None = None) -> list:
+    tables = benchdata.network_tables(spark, sf_dir)
+    probes = []
+    if category != "event":
+        expected = {r["label"]: r["expected"]
+                    for r in benchdata.manifest_counts(spark, sf_dir).collect()}
+        probes += quality.reference_probes(tables, expected)
+    if category != "reference":
+        now = newest(tables.stacked("_kafka_timestamp"), "_kafka_timestamp")
+        probes += quality.event_probes(tables, ALL_HISTORY, now)
+    return probes
+
+
+def _checks(category: str, *wanted: str) -> Query:
+    """Values of the checks whose name contains one of the texts."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        probes = [
+            quality.Probe(p.category, kept, p.build) for p in _probes(spark, sf_dir, category)
+            if (kept := tuple(c for c in p.checks if any(w in c for w in wanted)))
+        ]
+        return quality.values(probes)
+    return run
+
+
+def dq_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.findings(_probes(spark, sf_dir))
+    return quality.ordered_findings(found).drop("error")
+
+
+def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.summary(quality.findings(_probes(spark, sf_dir)))
+
+
+def _on_tables(build) -> Query:
+    return lambda spark, sf_dir: build(benchdata.network_tables(spark, sf_dir))
+
+
+def developed_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = geography.developed_score(benchdata.network_tables(spark, sf_dir))
+    return scores.withColumn("developed_score", F.round("developed_score", 9))
+
+
+def nearest_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = geography.nearest_devices(benchdata.network_tables(spark, sf_dir), "device-0000")
+    return near.withColumn("distance_km", F.round("distance_km", 6))
+
+
+def hash_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return geography.hash_bands(events, 42, "event_type", "user_id", "event_id")
+
+
 QUERIES: dict[str, Query] = {
     "technology_statistics": _report(performance.technology_statistics),
     "accepted_event_totals": accepted_event_totals,
@@ -125,4 +191,39 @@ QUERIES: dict[str, Query] = {
     **{f"typed_{t}": _typed(t) for t in EVENT_TABLES},
     "route_topics": route_topics,
     "skipped_offsets": skipped_offsets,
+    "ref_missing_required": _rule(reference_rules.missing_required),
+    "ref_duplicate_keys": _rule(reference_rules.duplicate_keys),
+    "ref_count_mismatch": ref_count_mismatch,
+    "ref_bad_geoid": _rule(reference_rules.bad_geoids),
+    "ref_out_of_bounds": _rule(reference_rules.out_of_bounds),
+    "ref_negative_values": _rule(reference_rules.negative_values),
+    "ref_orphans": _rule(reference_rules.orphans),
+    "ref_speed_rules": _rule(reference_rules.speed_rules),
+    "ref_site_device_count": _rule(reference_rules.site_device_count),
+    "ref_upstream_rules": _rule(reference_rules.upstream_rules),
+    "ref_unrooted_devices": _rule(reference_rules.unrooted_devices),
+    "ref_dependency_roles": _rule(reference_rules.dependency_roles),
+    "ref_violation_summary": ref_violation_summary,
+    "dq_row_counts": _checks("reference", "_row_count_"),
+    "dq_duplicate_keys": _checks("reference", "_duplicate_keys"),
+    "dq_orphans": _checks("reference", "_orphan_", "_without_upstream"),
+    "dq_unknown_devices": _checks("event", "events_from_unknown_devices"),
+    "dq_wrong_site": _checks("event", "events_with_wrong_site"),
+    "dq_replay_rows": _checks("event", "replay_duplicate_rows"),
+    "dq_duplicate_pct": _checks("event", "upstream_duplicate_pct"),
+    "dq_reject_pct": _checks("event", "reject_pct"),
+    "dq_freshness": _checks("event", "minutes_since_last_arrival", "stalled_beyond"),
+    "dq_clock_skew": _checks("event", "source_clock_skew_minutes"),
+    "dq_silent_devices": _checks("event", "silent_access_devices"),
+    "dq_findings": dq_findings,
+    "dq_summary": dq_summary,
+    "dq_technology_signal": _on_tables(quality.technology_signal),
+    "dq_transition_order": _on_tables(quality.transition_order),
+    "density_percentile": _on_tables(
+        lambda tables: geography.density_percentile(tables.census_block_groups)),
+    "developed_score": developed_score,
+    "nearest_devices": nearest_devices,
+    "eligible_cohorts": _on_tables(
+        lambda tables: geography.eligible_cohorts(tables, "agg-00", "device-0000")),
+    "hash_bands": hash_bands,
 }
