@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import banded, distance_km, stable_uniform
 from ..model import ACCESS_ROLE, NetworkTables
+from ..session import ensure_checkpoint_dir
 
 # Weights of the development score and the configured anomaly rates.
 DENSITY_WEIGHT, URBAN_WEIGHT, URBAN_SCALE_KM = 0.55, 0.45, 40.0
@@ -18,21 +19,20 @@ ANOMALY_RATES = {
 }
 # How large cohorts must be and how far apart.
 MIN_PROVIDER_GROUP, MIN_MODEL_PEERS, MIN_SEPARATION_KM = 25, 24, 150.0
-RANK_RANGES = 64
 
 
 def density_percentile(census: DataFrame) -> DataFrame:
     """Average rank / n of each block group's density; ties share their average rank.
 
-    Counts per distinct density are ranked inside `RANK_RANGES` equally filled value
-    ranges; only one row per range is summed in a single window.
+    Counts per distinct density are ranked inside value ranges that Spark cuts evenly;
+    only one row per range is summed in a single window. The ranged counts are
+    checkpointed, because their ranges must not be cut anew for each use.
     """
+    ensure_checkpoint_dir(census.sparkSession)
     sizes = census.groupBy(F.col("population_density_per_sq_mile").alias("density")).agg(
         F.count(F.lit(1)).alias("groups")).where(F.col("density").isNotNull())
-    cuts = [i / RANK_RANGES for i in range(1, RANK_RANGES)]
-    edges = sizes.agg(F.percentile_approx("density", cuts).alias("edges")).scalar()
-    ranged = sizes.withColumn(
-        "range", F.size(F.filter(edges, lambda e: e < F.col("density"))))
+    ranged = sizes.repartitionByRange("density").withColumn(
+        "range", F.spark_partition_id()).checkpoint()
     per_range = ranged.groupBy("range").agg(F.sum("groups").alias("in_range"))
     below = per_range.select("range", F.coalesce(F.sum("in_range").over(
         Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -40,7 +40,7 @@ def density_percentile(census: DataFrame) -> DataFrame:
     running = F.coalesce(F.sum("groups").over(
         Window.partitionBy("range").orderBy("density")
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = sizes.agg(F.sum("groups").alias("n")).scalar()
+    total = ranged.agg(F.sum("groups").alias("n")).scalar()
     placed = F.col("below") + F.col("before")
     ranks = ranged.withColumn("before", running).join(below, "range").select(
         "density",

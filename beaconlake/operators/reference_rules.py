@@ -254,7 +254,10 @@ def dependency_roles(tables: Tables) -> DataFrame:
 
 
 def violations(tables: Tables, manifest: DataFrame) -> DataFrame:
-    """Every violation of every rule."""
+    """Every violation of every rule. The tables are checkpointed first: a dozen rules
+    read them, and reading the source again for each would cost more than the rules."""
+    ensure_checkpoint_dir(manifest.sparkSession)
+    tables = {name: df.checkpoint() for name, df in tables.items()}
     return _union([
         missing_required(tables), duplicate_keys(tables), count_mismatch(tables, manifest),
         bad_geoids(tables), out_of_bounds(tables), negative_values(tables), orphans(tables),
@@ -265,8 +268,10 @@ def violations(tables: Tables, manifest: DataFrame) -> DataFrame:
 
 def summarised(found: DataFrame) -> DataFrame:
     """Per rule: distinct entities and the first five of them in order, as the loader
-    prints them. Only five rows per rule are ever put into a list."""
-    distinct = found.select("rule", "entity").distinct()
+    prints them. Only five rows per rule are ever put into a list. The violations are
+    checkpointed, so that the rules run once."""
+    ensure_checkpoint_dir(found.sparkSession)
+    distinct = found.select("rule", "entity").distinct().checkpoint()
     first = distinct.withColumn(
         "_place", F.row_number().over(Window.partitionBy("rule").orderBy("entity"))
     ).where(F.col("_place") <= EXAMPLES)

@@ -13,6 +13,8 @@ from beaconlake.operators import geography, ingest, quality, reference_rules
 from beaconlake.plans import accounting, exploring, incidents, performance
 from beaconlake.sources import benchdata
 
+from . import lake_queries
+
 Query = Callable[[SparkSession, str], DataFrame]
 ALL_HISTORY = timedelta(days=60)
 
@@ -226,4 +228,5 @@ QUERIES: dict[str, Query] = {
     "eligible_cohorts": _on_tables(
         lambda tables: geography.eligible_cohorts(tables, "agg-00", "device-0000")),
     "hash_bands": hash_bands,
+    **lake_queries.QUERIES,
 }
