@@ -35,7 +35,7 @@ def _writable(df: DataFrame) -> DataFrame:
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
         if kind in ("double", "float"):
-            plain = F.rtrim(F.lit("0"), F.format_string("%.12f", column))
+            plain = F.rtrim(F.format_string("%.12f", column), F.lit("0"))
             plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
             text = column.cast("string")
             column = F.when(text.contains("E"), plain).otherwise(text)

@@ -73,7 +73,7 @@ class Bundle:
             self.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
             .load(self.path(table))
             .select(F.lit(table).alias("table"), inside.alias("file"),
-                    F.rtrim(F.lit("\r"), line).alias("header"),
+                    F.rtrim(line, F.lit("\r")).alias("header"),
                     F.sha2("content", 256).alias("sha256"))
         )
 
@@ -131,12 +131,13 @@ def parse_check(bundle: Bundle, tables: Iterable[str] = tuple(FILES)) -> DataFra
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_unparsed")
             .csv(bundle.path(table))
         )
-        first = schema.names[0]
+        # Spark does not parse when only the corrupt-record column is asked for.
+        keyed = F.count(schema.names[0]).cast("string")
         bad = rows.agg(F.count_if(F.col("_unparsed").isNotNull()).alias("n"),
-                       F.count(first).alias("parsed")).where("n > 0")
-        parts.append(bad.select(F.lit("unreadable rows").alias("rule"),
-                                F.lit(table).alias("entity"), F.col("n").cast("string")
-                                .alias("detail")))
+                       F.concat(F.count_if(F.col("_unparsed").isNotNull()), F.lit(" rows, "),
+                                keyed, F.lit(" rows with a key")).alias("detail"))
+        parts.append(bad.where("n > 0").select(
+            F.lit("unreadable rows").alias("rule"), F.lit(table).alias("entity"), "detail"))
     return reduce(DataFrame.unionByName, parts)
 
 

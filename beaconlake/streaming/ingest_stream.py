@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..model import EVENT_TABLES, REJECT_TABLE
+from ..model import REJECT_TABLE
 from ..operators.ingest import accepted_rows, classify, rejected_rows
-from ..sources.lake import Lake
+from ..sources.lake import STREAMED_TABLES, Lake
 
 
 def route_batch(lake: Lake, raw: DataFrame, batch_id: str) -> None:
@@ -20,10 +21,18 @@ def route_batch(lake: Lake, raw: DataFrame, batch_id: str) -> None:
     half and retried leaves one copy even when a record now goes to another table.
     """
     classified = classify(raw).persist(StorageLevel.MEMORY_AND_DISK)
+
+    @inheritable_thread_target(raw.sparkSession)
+    def write(table: str) -> None:
+        rows = rejected_rows(classified) if table == REJECT_TABLE \
+            else accepted_rows(classified, table)
+        lake.write_batch(table, rows, batch_id)
+
+    # Six small jobs at once instead of in turn; any failure fails the batch.
     try:
-        for table in EVENT_TABLES:
-            lake.write_batch(table, accepted_rows(classified, table), batch_id)
-        lake.write_batch(REJECT_TABLE, rejected_rows(classified), batch_id)
+        with ThreadPoolExecutor(len(STREAMED_TABLES)) as writers:
+            for written in [writers.submit(write, t) for t in STREAMED_TABLES]:
+                written.result()
     finally:
         classified.unpersist()
 
