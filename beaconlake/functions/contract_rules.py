@@ -61,7 +61,7 @@ def violation(field: Field, at: Value, prefix: str = "") -> str:
         checks.append((f"{at.raw} IS NOT NULL AND NOT {has_json_type(field.type, at.kind)}",
                        f"{name} must be of type {field.type}"))
     if field.type == "integer":
-        checks.append((f"{at.value} <> floor({at.value})", f"{name} must be of type integer"))
+        checks.append((f"{at.value} % 1.0D <> 0", f"{name} must be of type integer"))
     if field.const is not None:
         checks.append((f"{at.value} <> {field.const}", f"{name} must be {field.const}"))
     if field.enum:

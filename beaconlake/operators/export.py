@@ -18,9 +18,9 @@ from ..sources import storage
 # doubled inside, NULL and empty text as an empty field, ISO timestamps in UTC).
 CSV_OPTIONS = {
     "header": "true", "encoding": "UTF-8", "lineSep": "\r\n", "quote": '"', "escape": '"',
-    "nullValue": "", "emptyValue": "", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "dateFormat": "yyyy-MM-dd",
+    "nullValue": "", "emptyValue": "", "dateFormat": "yyyy-MM-dd",
 }
+ISO = {"timestamp": ("yyyy-MM-dd'T'HH:mm:ss", "xxx"), "timestamp_ntz": ("yyyy-MM-dd'T'HH:mm:ss", "")}
 ROWS_PER_FILE = 1_000_000
 
 
@@ -30,7 +30,8 @@ def export_folder(out_root: str, name: str, run_id: str, attempt: int) -> str:
 
 
 def _writable(df: DataFrame) -> DataFrame:
-    """Doubles as plain decimals (no exponent), nested values as JSON."""
+    """Doubles as plain decimals (no exponent), timestamps in ISO form with a fraction only
+    where there is one, nested values as JSON."""
     columns = []
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
@@ -39,6 +40,11 @@ def _writable(df: DataFrame) -> DataFrame:
             plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
             text = column.cast("string")
             column = F.when(text.contains("E"), plain).otherwise(text)
+        elif kind in ISO:
+            seconds, zone = ISO[kind]
+            column = F.when(
+                F.date_format(column, "SSSSSS") == "000000", F.date_format(column, seconds + zone)
+            ).otherwise(F.date_format(column, f"{seconds}.SSSSSS{zone}"))
         elif kind.startswith(("array", "map", "struct")):
             column = F.to_json(column)
         columns.append(column.alias(name))

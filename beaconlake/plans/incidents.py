@@ -139,7 +139,8 @@ def incident_impact(
         F.col("device_id").alias("source_device_id"),
         F.col("infrastructure_role").alias("source_role"),
     )
-    changes = _state_changes(tables, incidents, downstream)
+    changes = _state_changes(
+        since(tables.connectivity_state_events, "event_timestamp", bound), incidents, downstream)
     return (
         incidents.join(sources, "source_device_id")
         .join(impact, "incident_id", "left")
@@ -163,9 +164,10 @@ def incident_impact(
 
 
 def _state_changes(
-    tables: NetworkTables, incidents: DataFrame, downstream: DataFrame
+    states: DataFrame, incidents: DataFrame, downstream: DataFrame
 ) -> DataFrame:
-    """Distinct downstream devices with a transition during each incident."""
+    """Distinct downstream devices with a transition during each incident. No incident
+    starts before the report's window, so neither do the transitions that count."""
     ends_at = F.coalesce("recovered_at", "started_at") + F.lit(RECOVERY_MARGIN)
     spans = incidents.select("incident_id", "started_at", ends_at.alias("ends_at"))
     # Every source of an incident id meets every span of that id.
@@ -177,8 +179,7 @@ def _state_changes(
         )))
     )
     transitions = (
-        tables.connectivity_state_events
-        .select(F.col("device_id").alias("access_device_id"), "event_timestamp")
+        states.select(F.col("device_id").alias("access_device_id"), "event_timestamp")
         .join(downstream.select("access_device_id", "source_device_id"), "access_device_id")
         .withColumn("hour", F.date_trunc("hour", "event_timestamp"))
     )

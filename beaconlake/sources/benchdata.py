@@ -48,6 +48,12 @@ def _of_families(attribute: str) -> str:
     return _by_type(*[f"'{getattr(f, attribute)}'" for f in FAMILIES])
 
 
+def _name(prefix: str, number: str, digits: int) -> str:
+    """Prefix and zero-padded number; longer numbers are kept whole."""
+    text = f"string({number})"
+    return f"concat('{prefix}-', lpad({text}, greatest({digits}, length({text})), '0'))"
+
+
 def _uuid(kind: str, number: str) -> str:
     """UUID-shaped text holding a number; the fourth group tells the kind of id."""
     return f"concat('00000000-0000-4000-{kind}-', lpad(lower(hex({number})), 12, '0'))"
@@ -106,8 +112,7 @@ def deliveries(events: DataFrame, sequenced: bool) -> DataFrame:
         "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) div 1000"
         " AS arrived_ms",
     )
-    device = f"IF({INFRA}, format_string('agg-%02d', router)," \
-             " format_string('device-%04d', user_id))"
+    device = f"IF({INFRA}, {_name('agg', 'router', 2)}, {_name('device', 'user_id', 4)})"
     return copied.selectExpr(
         f"{FAULT} AS fault",
         f"{_of_families('table')} AS table_name",
@@ -117,8 +122,8 @@ def deliveries(events: DataFrame, sequenced: bool) -> DataFrame:
         "timestamp_millis(arrived_ms - floor(value * 600000.0D)) AS event_timestamp",
         f"{_uuid('9000', 'user_id * 2 + half')} AS device_session_id",
         *numbered,
-        f"IF({INFRA}, format_string('network-site-agg-%02d', router),"
-        " format_string('site-%04d', user_id)) AS site_id",
+        f"IF({INFRA}, {_name('network-site-agg', 'router', 2)}, {_name('site', 'user_id', 4)})"
+        " AS site_id",
         f"{device} AS device_id",
         f"{_of_families('topic')} AS _kafka_topic",
         f"int(IF({INFRA}, router, user_id) % 3) AS _kafka_partition",
@@ -201,10 +206,11 @@ def _spoil(body: Column, fault: Column) -> Column:
 
 
 def network_tables(
-    spark: SparkSession, sf_dir: str, sequenced: bool = False
+    spark: SparkSession, sf_dir: str, sequenced: bool = False, sequenced_stack: bool = False
 ) -> NetworkTables:
     """The model's tables. Broken deliveries are not in the event tables; reading
-    `rejected_events` runs them through ingestion's own validation."""
+    `rejected_events` runs them through ingestion's own validation. Sequence numbers are
+    in the event tables with `sequenced`, in stacked reads with `sequenced_stack`."""
     events = _table(spark, sf_dir, "events")
     stored = inventory(spark, sf_dir)
 
@@ -220,7 +226,8 @@ def network_tables(
         return rejected(raw_records(spark, sf_dir, only_faulty=True))
 
     return NetworkTables(
-        load, lambda: deliveries(events, sequenced).where("fault = 0").drop("fault", *MEASURES)
+        load,
+        lambda: deliveries(events, sequenced_stack).where("fault = 0").drop("fault", *MEASURES),
     )
 
 
@@ -258,8 +265,6 @@ def _edge(low: str, high: str, kind: str) -> list[str]:
             f"'{kind}' AS dependency_type"]
 
 
-AGG, BACKHAUL = "format_string('agg-%02d', {})", "format_string('backhaul-%02d', {})"
-CUSTOMER = "format_string('{}-%04d', c_custkey)"
 TECHNOLOGY = _pick("c_custkey % 4", "fiber", "coax", "fixed_wireless", "satellite")
 PLAN = "CASE (c_custkey div 4) % 3 WHEN 0 THEN 100.0D WHEN 1 THEN 300.0D ELSE 1000.0D END"
 
@@ -284,16 +289,16 @@ def inventory(spark: SparkSession, sf_dir: str) -> dict:
         return union(
             customer.join(regions(), F.col("c_nationkey") == F.col("n_nationkey"))
             .selectExpr(*_site(
-                CUSTOMER.format("site"), "32.9D + (c_custkey % 370) / 100.0D",
+                _name("site", "c_custkey", 4), "32.9D + (c_custkey % 370) / 100.0D",
                 "-94.7D + (c_custkey % 52) / 10.0D", "r_name", "c_nationkey",
                 "(c_custkey % 80) + 0.5D", "(c_custkey % 30) / 2.0D",
                 "IF(c_custkey % 25 = 0, 'hospital', 'residential')", "c_custkey % 25 = 0")),
             regions().selectExpr(*_site(
-                f"concat('network-site-', {AGG.format('n_nationkey')})",
+                f"concat('network-site-', {_name('agg', 'n_nationkey', 2)})",
                 "33.0D + n_nationkey / 10.0D", "-94.0D + n_nationkey / 10.0D", "r_name",
                 "n_nationkey", "12.5D", "0.0D", facility, "false")),
             region.selectExpr(*_site(
-                f"concat('network-site-', {BACKHAUL.format('r_regionkey')})",
+                f"concat('network-site-', {_name('backhaul', 'r_regionkey', 2)})",
                 "34.0D + r_regionkey / 10.0D", "-93.0D + r_regionkey / 10.0D", "r_name",
                 "r_regionkey", "20.5D", "0.0D", facility, "false")),
             ixp().selectExpr(*_site(
@@ -303,7 +308,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> dict:
 
     def devices() -> DataFrame:
         access = customer.where("c_custkey % 40 <> 9").selectExpr(
-            f"{CUSTOMER.format('device')} AS device_id", f"{CUSTOMER.format('site')} AS site_id",
+            f"{_name('device', 'c_custkey', 4)} AS device_id", f"{_name('site', 'c_custkey', 4)} AS site_id",
             "lower(c_mktsegment) AS provider_id", "c_mktsegment AS provider_name",
             f"{TECHNOLOGY} AS technology",
             _pick("c_custkey % 4", "ont", "cable_modem", "cpe", "terminal") + " AS device_class",
@@ -314,21 +319,21 @@ def inventory(spark: SparkSession, sf_dir: str) -> dict:
         return union(
             access,
             nation.selectExpr(*_router(
-                AGG.format("n_nationkey"), "RTR-EDGE-2000", "aggregation", "'transit'")),
+                _name("agg", "n_nationkey", 2), "RTR-EDGE-2000", "aggregation", "'transit'")),
             region.selectExpr(*_router(
-                BACKHAUL.format("r_regionkey"), "RTR-HAUL-4000", "backhaul", "'transit'")),
+                _name("backhaul", "r_regionkey", 2), "RTR-HAUL-4000", "backhaul", "'transit'")),
             ixp().selectExpr(*_router("'ixp-01'", "RTR-CORE-9000", "ixp", "string(NULL)")),
         )
 
     def dependencies() -> DataFrame:
         return union(
             customer.selectExpr(*_edge(
-                CUSTOMER.format("device"), AGG.format("c_nationkey"), "access_aggregation")),
+                _name("device", "c_custkey", 4), _name("agg", "c_nationkey", 2), "access_aggregation")),
             nation.selectExpr(*_edge(
-                AGG.format("n_nationkey"), BACKHAUL.format("n_regionkey"),
+                _name("agg", "n_nationkey", 2), _name("backhaul", "n_regionkey", 2),
                 "aggregation_backhaul")),
             region.selectExpr(*_edge(
-                BACKHAUL.format("r_regionkey"), "'ixp-01'", "backhaul_ixp")),
+                _name("backhaul", "r_regionkey", 2), "'ixp-01'", "backhaul_ixp")),
         )
 
     def census() -> DataFrame:
@@ -351,8 +356,8 @@ def device_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a device message (`device_topic`, `payload`), some misaddressed."""
     level = F.expr(_by_type(
         "'connectivity'", "'throughput'", "'health'", "'state'", "'infrastructure'"))
-    site = F.format_string("site-%04d", "user_id")
-    device = F.format_string("device-%04d", "user_id")
+    site = F.expr(_name("site", "user_id", 4))
+    device = F.expr(_name("device", "user_id", 4))
     place = F.col("event_id") % 31
     topic = (
         F.when(place == 1, F.concat_ws("/", F.lit("network"), F.lit(""), device, level))

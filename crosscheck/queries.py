@@ -42,7 +42,7 @@ def accepted_event_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounting.reconciliation(
-        benchdata.network_tables(spark, sf_dir, sequenced=True), ALL_HISTORY)
+        benchdata.network_tables(spark, sf_dir, sequenced_stack=True), ALL_HISTORY)
 
 
 def late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
