@@ -136,7 +136,7 @@ def compact(
 def finish_compactions(lake: Lake, table: str) -> int:
     """Delete the files that visible compactions replace, then their lists."""
     spark, deleted = lake.spark, 0
-    for listed in storage.matching(spark, f"{lake.path(table)}/batch_id=*/_replaces"):
+    for listed in storage.matching(spark, f"{lake.path(table)}/batch_id=compact_*/_replaces"):
         for row in spark.read.parquet(listed).toLocalIterator():
             storage.delete(spark, row["file_path"])
             deleted += 1

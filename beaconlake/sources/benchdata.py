@@ -266,6 +266,9 @@ def _edge(low: str, high: str, kind: str) -> list[str]:
 
 
 TECHNOLOGY = _pick("c_custkey % 4", "fiber", "coax", "fixed_wireless", "satellite")
+# The one IXP, ixp-01, spelled with a column: a literal key would turn joins on it into
+# nested loops.
+IXP = _name("ixp", "1 + r_regionkey div 1000", 2)
 PLAN = "CASE (c_custkey div 4) % 3 WHEN 0 THEN 100.0D WHEN 1 THEN 300.0D ELSE 1000.0D END"
 
 
@@ -279,7 +282,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> dict:
         return reduce(DataFrame.unionByName, parts)
 
     def ixp() -> DataFrame:
-        return region.agg(F.min("r_regionkey").alias("first"))
+        return region.agg(F.min("r_regionkey").alias("r_regionkey"))
 
     def regions() -> DataFrame:
         return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -302,8 +305,8 @@ def inventory(spark: SparkSession, sf_dir: str) -> dict:
                 "34.0D + r_regionkey / 10.0D", "-93.0D + r_regionkey / 10.0D", "r_name",
                 "r_regionkey", "20.5D", "0.0D", facility, "false")),
             ixp().selectExpr(*_site(
-                "'network-site-ixp-01'", "34.7D", "-92.3D", "'central'", "0", "0.0D", "0.0D",
-                facility, "false")),
+                f"concat('network-site-', {IXP})", "34.7D", "-92.3D", "'central'", "r_regionkey",
+                "0.0D", "0.0D", facility, "false")),
         )
 
     def devices() -> DataFrame:
@@ -322,7 +325,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> dict:
                 _name("agg", "n_nationkey", 2), "RTR-EDGE-2000", "aggregation", "'transit'")),
             region.selectExpr(*_router(
                 _name("backhaul", "r_regionkey", 2), "RTR-HAUL-4000", "backhaul", "'transit'")),
-            ixp().selectExpr(*_router("'ixp-01'", "RTR-CORE-9000", "ixp", "string(NULL)")),
+            ixp().selectExpr(*_router(IXP, "RTR-CORE-9000", "ixp", "string(NULL)")),
         )
 
     def dependencies() -> DataFrame:
@@ -333,7 +336,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> dict:
                 _name("agg", "n_nationkey", 2), _name("backhaul", "n_regionkey", 2),
                 "aggregation_backhaul")),
             region.selectExpr(*_edge(
-                _name("backhaul", "r_regionkey", 2), "'ixp-01'", "backhaul_ixp")),
+                _name("backhaul", "r_regionkey", 2), IXP, "backhaul_ixp")),
         )
 
     def census() -> DataFrame:

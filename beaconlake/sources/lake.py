@@ -58,10 +58,10 @@ class Lake:
             T.StructField(day, T.DateType()),
         ])
         path = self.path(table)
-        if not storage.matching(self.spark, f"{path}/batch_id=*"):
+        if not storage.exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         files = self.spark.read.schema(schema).parquet(path)
-        replaced = storage.matching(self.spark, f"{path}/batch_id=*/_replaces")
+        replaced = storage.matching(self.spark, f"{path}/batch_id=compact_*/_replaces")
         if not replaced:
             return files
         gone = self.spark.read.schema("file_path string").parquet(*replaced)

@@ -190,7 +190,7 @@ QUERIES: dict[str, Query] = {
     "contract_reject_reasons": contract_reject_reasons,
     "contract_violations": contract_violations,
     "rejected_events": rejected_events,
-    **{f"typed_{t}": _typed(t) for t in EVENT_TABLES},
+    **{f"typed_{t.replace('connectivity_state', 'state')}": _typed(t) for t in EVENT_TABLES},
     "route_topics": route_topics,
     "skipped_offsets": skipped_offsets,
     "ref_missing_required": _rule(reference_rules.missing_required),
