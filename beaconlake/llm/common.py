@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The rows as they are now, in the shared checkpoint folder: computed once, and read again
     from there if an executor is lost."""
@@ -53,3 +58,26 @@ def components(edges: DataFrame) -> DataFrame:
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003),
                            F.sum(F.xxhash64("b", "a") % 998_244_353)).first())
+
+
+FILTER_BITS = 24
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit for each hash of the ids (`doc_id`), 2 MB at any size: what to skip early when a scan
+    looks for few documents. It lets some others through, so a join by id must follow."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    found = ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).toPandas()
+    words = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    words[found.word.to_numpy(np.int64)] = found.bits.to_numpy(np.uint32)
+    return words
+
+
+def hash_slot() -> Column:
+    """The slot of `doc_id` in an id_filter."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).cast("int").alias("slot")
+
+
+def in_filter(words: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (words[slots >> 5] >> (slots & 31).astype(np.uint32) & np.uint32(1)).astype(bool)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import components, saved
+from .common import components, hash_slot, id_filter, in_filter, saved
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -114,16 +114,40 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "minima"])
 
 
-def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingler = Shingler()
+def _filtered_sets(words: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            batch = batch.filter(pa.array(in_filter(words, batch.column("slot").to_numpy())))
+            sets = list(shingler.sets(batch.column("text")))
+            places = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"),
+                 pa.ListArray.from_arrays(pa.array(places), pa.array(flat.view(np.int64)))],
+                names=["doc_id", "shingles"])
+    return run
+
+
+def shingle_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """`doc_id`, `shingles` of the documents in `ids` (and a few others): the texts are scanned
+    again rather than shuffled."""
+    return texts.where("doc_id is not null").select("doc_id", "text", hash_slot()).mapInArrow(
+        _filtered_sets(id_filter(ids)), "doc_id long, shingles array<long>")
+
+
+def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those of the pairs whose signatures agree in LIKELY of the bins."""
+    low = nodes.select("doc_id", "minima")
+    met = pairs.join(low.toDF("a", "low_a"), "a").join(low.toDF("b", "low_b"), "b")
+    return met.mapInArrow(_agreeing, "a long, b long").distinct()
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = list(shingler.sets(batch.column("text")))
-        places = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"),
-             pa.ListArray.from_arrays(pa.array(places), pa.array(flat.view(np.int64)))],
-            names=["doc_id", "shingles"])
+        one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
+                    for c in ("low_a", "low_b"))
+        yield batch.filter(pa.array((one == two).sum(axis=1) >= LIKELY * BINS)).select(["a", "b"])
 
 
 def confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -131,9 +155,7 @@ def confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     ends = pairs.select(F.explode(F.array(
         F.struct(F.col("a").alias("doc_id"), "a", "b"),
         F.struct(F.col("b").alias("doc_id"), "a", "b"))).alias("e")).select("e.*")
-    wanted = ends.select("doc_id").distinct()
-    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _shingle_sets, "doc_id long, shingles array<long>")
+    sets = shingle_sets(texts, ends.select("doc_id"))
     shared = F.size(F.array_intersect("x.shingles", "y.shingles"))
     # Rows that repeat a doc_id bring a set each; the document is similar if one of them is.
     met = ends.join(sets, "doc_id").groupBy("a", "b").agg(
@@ -151,14 +173,13 @@ def links(texts: DataFrame, sketches: DataFrame) -> DataFrame:
     rows = sketches.where("doc_id is not null and n_shingles > 0")
     nodes = rows.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"))
     nodes = rows.join(nodes, ["set_a", "set_b", "doc_id"], "left_semi")
-    banded = nodes.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    hubs = banded.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"),
-                                     F.count(F.lit(1)).alias("size"))
-    hubs = hubs.where("hub < last").select("key", "hub", "size")
+    banded = nodes.select("doc_id", F.explode("bands").alias("key"))
+    hubs = banded.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("size"))
+    hubs = hubs.where("size > 1")
     buckets = saved(banded.join(hubs, "key"))
-    stars = saved(buckets.where("doc_id > hub").select(
-        F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
-    found = saved(confirmed(texts, stars))
+    stars = buckets.where("doc_id > hub").select(
+        F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    found = saved(confirmed(texts, saved(likely(stars, nodes))))
     return components(found.union(cross_links(texts, buckets, components(found), nodes)))
 
 
@@ -166,27 +187,34 @@ def cross_links(texts: DataFrame, buckets: DataFrame, member: DataFrame,
                 nodes: DataFrame) -> DataFrame:
     """Links (`a` < `b`) inside buckets whose documents are in different components after the
     star round. Documents apart from their bucket's hub are compared with the rest of the bucket,
-    in blocks of about BLOCK documents on either side: by signature, then on the full sets. A
-    pair is looked at in the first of its buckets only. (The hub has met everyone already.)"""
+    in blocks of about BLOCK documents on either side: first by signature, which leaves the
+    documents that are likely to have a link, then those on their full sets. A pair is looked at
+    in the first of its buckets only. (The hub has met everyone already.)"""
     own = F.coalesce("component", "doc_id")
     placed = buckets.where("size > 2").join(member, F.col("doc_id") == F.col("node"), "left").select(
-        "key", "band", "size", "hub", "doc_id", own.alias("component"))
+        "key", "size", "hub", "doc_id", own.alias("component"))
     heads = placed.where("doc_id = hub").select("key", F.col("component").alias("of"))
-    placed = saved(placed.where("doc_id > hub").join(heads, "key").drop("hub"))
-    split = placed.where("component <> of").select("key").distinct()
-    open_ = saved(placed.join(split, "key"))
-    sets = texts.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
-        _shingle_sets, "doc_id long, shingles array<long>")
-    carried = nodes.select("doc_id", "bands", "minima").join(sets, "doc_id").dropDuplicates(["doc_id"])
+    placed = saved(placed.where("doc_id > hub").join(heads, "key").select(
+        "key", "size", "doc_id", "component", (F.col("component") != F.col("of")).alias("apart")))
+    open_ = placed.join(placed.where("apart").select("key").distinct(), "key")
+    short = nodes.select("doc_id", "minima", F.transform(
+        "bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands")).dropDuplicates(["doc_id"])
+    active = saved(_met_in_blocks(open_.join(short, "doc_id"), ["minima", "bands"]).mapInArrow(
+        _likely_members, "key long, doc_id long").distinct())
+    sets = shingle_sets(texts, active.select("doc_id"))
+    carried = short.join(sets, "doc_id").dropDuplicates(["doc_id"])
+    again = placed.join(active, ["key", "doc_id"]).join(carried, "doc_id")
+    return _met_in_blocks(again, ["minima", "bands", "shingles"]).mapInArrow(
+        _block_links, "a long, b long").distinct()
+
+
+def _met_in_blocks(rows: DataFrame, carried: list[str]) -> DataFrame:
+    """`key`, `left`, `right`: each block of a bucket's apart rows with each block of all."""
     block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK)).alias("block")
-    inside = open_.select("key", "band", block, (F.col("component") != F.col("of")).alias("apart"),
-                          "doc_id", "component").join(carried, "doc_id").select(
-        "key", "band", "block", "apart",
-        F.struct("doc_id", "component", "bands", "minima", "shingles").alias("member"))
-    right = inside.groupBy("key", "band", "block").agg(F.collect_list("member").alias("right"))
-    left = inside.where("apart").groupBy("key", "block").agg(F.collect_list("member").alias("left"))
-    met = left.select("key", "left").join(right.select("key", "band", "right"), "key")
-    return met.select("band", "left", "right").mapInArrow(_block_links, "a long, b long").distinct()
+    inside = rows.select("key", block, "apart", F.struct("doc_id", "component", *carried).alias("m"))
+    right = inside.groupBy("key", "block").agg(F.collect_list("m").alias("right"))
+    left = inside.where("apart").groupBy("key", "block").agg(F.collect_list("m").alias("left"))
+    return left.select("key", "left").join(right.select("key", "right"), "key")
 
 
 class _Members:
@@ -199,21 +227,27 @@ class _Members:
         self.bands = part.field("bands").flatten().to_numpy().reshape(-1, BANDS)
         self.minima = np.frombuffer(
             b"".join(part.field("minima").to_pylist()), np.uint8).reshape(-1, BINS)
-        sets = part.field("shingles")
-        self.shingles = sets.flatten().to_numpy().view(np.uint64)
-        self.first = np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())])
+        if "shingles" in {f.name for f in part.type}:
+            sets = part.field("shingles")
+            self.shingles = sets.flatten().to_numpy().view(np.uint64)
+            self.first = np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())])
 
     def set(self, i: int) -> np.ndarray:
         return self.shingles[self.first[i]: self.first[i + 1]]
 
 
-def _linked(left: _Members, i: int, right: _Members, band: int) -> np.ndarray:
-    """Ids on the right that are linked with the left's document i."""
+def _near(left: _Members, i: int, right: _Members, key: int) -> np.ndarray:
+    """Places on the right that the left's document i is likely to be linked with, and meets
+    first in this bucket."""
     near = np.flatnonzero((right.component != left.component[i]) & (
         (right.minima == left.minima[i]).sum(axis=1) >= LIKELY * BINS))
-    near = near[(right.bands[near] == left.bands[i]).argmax(axis=1) == band]
-    if len(near) == 0:
-        return near
+    same = right.bands[near] == left.bands[i]
+    first = left.bands[i][same.argmax(axis=1)]
+    return near[same.any(axis=1) & (first == key >> 32)]
+
+
+def _linked(left: _Members, i: int, right: _Members, near: np.ndarray) -> np.ndarray:
+    """Ids at these places whose sets are similar enough to that of the left's document i."""
     own = left.set(i)
     sizes = right.first[near + 1] - right.first[near]
     values = np.concatenate([right.set(j) for j in near])
@@ -222,16 +256,38 @@ def _linked(left: _Members, i: int, right: _Members, band: int) -> np.ndarray:
     return right.ids[near[100 * shared >= PERCENT * (sizes + len(own) - shared)]]
 
 
-def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meetings(batches: Iterator[pa.RecordBatch]):
+    """For each batch its (key, left, place on the left, right, likely places on the right)."""
     for batch in batches:
-        out = [np.zeros((2, 0), np.int64)]
-        for row, band in enumerate(batch.column("band").to_pylist()):
+        found = []
+        for row, key in enumerate(batch.column("key").to_pylist()):
             left, right = (_Members(batch.column(side), row) for side in ("left", "right"))
-            for i, id_ in enumerate(left.ids):
-                other = _linked(left, i, right, band)
-                out.append(np.stack([np.minimum(other, id_), np.maximum(other, id_)]))
-        pairs = np.unique(np.concatenate(out, axis=1), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            for i in range(len(left.ids)):
+                near = _near(left, i, right, key)
+                if len(near):
+                    found.append((key, left, i, right, near))
+        yield found
+
+
+def _likely_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for found in _meetings(batches):
+        keys = [np.full(len(near) + 1, key) for key, _, _, _, near in found]
+        ids = [np.append(right.ids[near], left.ids[i]) for _, left, i, right, near in found]
+        both = np.stack([np.concatenate([np.zeros(0, np.int64), *x]) for x in (keys, ids)])
+        yield _two_columns(np.unique(both, axis=1), "key", "doc_id")
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for found in _meetings(batches):
+        out = [np.zeros((2, 0), np.int64)]
+        for _, left, i, right, near in found:
+            other = _linked(left, i, right, near)
+            out.append(np.stack([np.minimum(other, left.ids[i]), np.maximum(other, left.ids[i])]))
+        yield _two_columns(np.unique(np.concatenate(out, axis=1), axis=1), "a", "b")
+
+
+def _two_columns(values: np.ndarray, *names: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values[0]), pa.array(values[1])], names=list(names))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -6,21 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, substring_dedup
-from .common import documents
+from . import (
+    exact_dedup, kd_sharding, near_dedup, packing, quality_rules, substring_dedup, toxicity,
+)
+from .common import documents, labels
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.scored(docs, toxicity.train(docs, labels(spark, sf_dir)))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(documents(spark, sf_dir))
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+
+
+def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_sharding.shards(documents(spark, sf_dir), count=8)
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_kd_sharding": op6_kd_sharding,
+    "op7_quality_rules": op7_quality_rules,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_exact_dedup": exact_dedup.ORACLE_SQL}
