@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    exact_dedup, kd_sharding, near_dedup, packing, quality_rules, substring_dedup, toxicity,
+    exact_dedup, kd_sharding, mixing, near_dedup, packing, personal_data, quality_rules,
+    secret_scans, substring_dedup, toxicity,
 )
 from .common import documents, labels
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
@@ -37,17 +42,28 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.scanned(documents(spark, sf_dir))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.scanned(documents(spark, sf_dir))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_kd_sharding": op6_kd_sharding,
     "op7_quality_rules": op7_quality_rules,
+    "op8_secret_scans": op8_secret_scans,
+    "op9_personal_data": op9_personal_data,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
