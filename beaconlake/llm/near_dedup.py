@@ -209,9 +209,12 @@ def cross_links(texts: DataFrame, buckets: DataFrame, member: DataFrame,
 
 
 def _met_in_blocks(rows: DataFrame, carried: list[str]) -> DataFrame:
-    """`key`, `left`, `right`: each block of a bucket's apart rows with each block of all."""
+    """`key`, `left`, `right`: each block of a bucket's apart rows with each block of all. One
+    exchange by bucket serves both sides and their join; a large bucket streams through its task
+    block by block."""
     block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK)).alias("block")
-    inside = rows.select("key", block, "apart", F.struct("doc_id", "component", *carried).alias("m"))
+    inside = rows.select("key", block, "apart", F.struct(
+        "doc_id", "component", *carried).alias("m")).repartition("key")
     right = inside.groupBy("key", "block").agg(F.collect_list("m").alias("right"))
     left = inside.where("apart").groupBy("key", "block").agg(F.collect_list("m").alias("left"))
     return left.select("key", "left").join(right.select("key", "right"), "key")

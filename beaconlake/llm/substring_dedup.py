@@ -5,7 +5,7 @@ corpus would shuffle one row per word. Instead only positions i with i modulo PE
 hashed, as anchors of ANCHOR words. COVER is a difference cover: for any two positions there is a
 shift below PERIOD that puts both on the cover, and shift + ANCHOR <= WINDOW, so two equal windows
 always share an aligned anchor. Anchors that occur once are dropped; only windows around repeated
-anchors are then extended: they are hashed whole (128 bits), and those that occur twice are
+anchors are then extended: they are hashed whole (127 bits), and those that occur twice are
 repeats.
 
 Counting is by (hash, block): a block is a bounded set of documents, so a passage in a third of
@@ -37,6 +37,11 @@ ANCHOR = WINDOW - PERIOD + 1
 BLOCK_BYTES = 4 << 20
 
 
+def _short(h: np.ndarray) -> np.ndarray:
+    """48 bits of an anchor's hash: two anchors that agree by chance cost a look, not the result."""
+    return h >> np.uint64(16)
+
+
 class Passages:
     """Hashes of a batch of texts, chunk by chunk."""
 
@@ -48,7 +53,7 @@ class Passages:
             words = tb.words(chunk)
             h = self.one.ranges(chunk.buf, words.start, words.end)
             whole, at = tb.window_hashes(h, ANCHOR), _anchor_places(words)
-            yield whole[at]
+            yield _short(whole[at])
 
     def windows(self, texts: pa.Array, repeated: np.ndarray) -> Iterator[np.ndarray]:
         """(n, 2) hashes of the windows that hold a repeated anchor."""
@@ -56,7 +61,7 @@ class Passages:
             words = tb.words(chunk)
             one = self.one.ranges(chunk.buf, words.start, words.end)
             at = _anchor_places(words)
-            at = at[_in_sorted(tb.window_hashes(one, ANCHOR)[at], repeated)]
+            at = at[_in_sorted(_short(tb.window_hashes(one, ANCHOR)[at]), repeated)]
             first = np.zeros(len(one) + 1, np.int64)  # a window may start PERIOD - 1 words before
             np.add.at(first, np.maximum(at - PERIOD + 1, 0), 1)
             np.add.at(first, at + 1, -1)
@@ -84,7 +89,7 @@ class Passages:
             return np.zeros((0, 2), np.uint64)
         two = self.two.ranges(chunk.buf, words.start, words.end)
         return np.stack([tb.window_hashes(one, WINDOW)[places],
-                         tb.window_hashes(two, WINDOW)[places]], axis=1)
+                         tb.window_hashes(two, WINDOW)[places] >> np.uint64(1)], axis=1)
 
 
 def _fits(words: tb.Words, k: int) -> np.ndarray:
@@ -133,18 +138,18 @@ def _once_and_more(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[lead], np.diff(np.append(lead, len(ordered)))
 
 
-def _rows(block: int, distinct: np.ndarray, counts: np.ndarray, names: list[str]) -> pa.Table:
-    columns = [pa.array(np.full(len(distinct), block, np.int32))]
-    columns += [pa.array(np.ascontiguousarray(distinct[:, i]).view(np.int64))
-                for i in range(distinct.shape[1])]
-    return pa.table([*columns, pa.array(np.minimum(counts, 2).astype(np.int32))],
-                    names=["block", *names, "copies"])
+def _rows(block: int, keys: np.ndarray, names: list[str]) -> pa.Table:
+    """Distinct keys of a block; the lowest bit of the last one, which is free, becomes whether the
+    key occurs more than once in it."""
+    distinct, counts = _once_and_more(keys)
+    distinct[:, -1] |= (counts > 1).astype(np.uint64)
+    columns = [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in distinct.T]
+    return pa.table([pa.array(np.full(len(distinct), block, np.int32)), *columns], names=["block", *names])
 
 
 def _anchor_rows(table: pa.Table) -> pa.Table:
     found = [np.zeros(0, np.uint64), *Passages().anchors(table.column("text"))]
-    distinct, counts = _once_and_more(np.concatenate(found).reshape(-1, 1))
-    return _rows(_block(table), distinct, counts, ["one"])
+    return _rows(_block(table), np.concatenate(found).reshape(-1, 1) << np.uint64(1), ["one"])
 
 
 def _block(table: pa.Table) -> int:
@@ -155,8 +160,9 @@ def _window_rows(texts: pa.Table, anchors: pa.Table) -> pa.Table:
     repeated = np.sort(anchors.column("one").to_numpy().astype(np.int64).view(np.uint64))
     found = [np.zeros((0, 2), np.uint64),
              *Passages().windows(texts.column("text"), repeated)]
-    distinct, counts = _once_and_more(np.concatenate(found))
-    return _rows(_block(texts), distinct, counts, ["one", "two"])
+    pairs = np.concatenate(found)
+    pairs[:, 1] <<= np.uint64(1)
+    return _rows(_block(texts), pairs, ["one", "two"])
 
 
 def _repeated_pairs(table: pa.Table) -> np.ndarray:
@@ -199,12 +205,15 @@ def _results(texts: pa.Table, windows: pa.Table, with_text: bool) -> pa.Table:
     return pa.table(columns)
 
 
-def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(`block`, keys) of hashes that occur at least twice. There is one row per block and hash,
-    so the largest group has as many rows as there are blocks."""
-    over = Window.partitionBy(*keys)
-    return rows.withColumn("all_copies", F.sum("copies").over(over)).where(
-        "all_copies > 1").select("block", *keys)
+def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
+    """(`block`, keys) of keys that occur at least twice. There is one row per block and key, so
+    the largest group has as many rows as there are blocks."""
+    *first, last = keys
+    bare = F.shiftrightunsigned(last, 1)
+    split = rows.repartition(*first, bare).select(
+        "block", *first, bare.alias(last), (F.col(last).bitwiseAND(1) + 1).alias("copies"))
+    copies = F.sum("copies").over(Window.partitionBy(*keys))
+    return split.withColumn("copies", copies).where("copies > 1").select("block", *keys)
 
 
 def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
@@ -223,9 +232,9 @@ def repeated_passages(docs: DataFrame, with_text: bool = False,
     grouped: Callable = texts.groupBy("block")
     # One plan, so that the exchange of the texts is run once and read three times.
     anchors = _repeated(grouped.applyInArrow(
-        _anchor_rows, "block int, one long, copies int"), ["one"])
+        _anchor_rows, "block int, one long"), "one")
     windows = _repeated(grouped.cogroup(anchors.groupBy("block")).applyInArrow(
-        _window_rows, "block int, one long, two long, copies int"), ["one", "two"])
+        _window_rows, "block int, one long, two long"), "one", "two")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     return grouped.cogroup(windows.groupBy("block")).applyInArrow(
         lambda left, right: _results(left, right, with_text),
