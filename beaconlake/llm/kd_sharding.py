@@ -77,19 +77,20 @@ def _cuts(units: DataFrame, nodes: DataFrame) -> DataFrame:
     whole = points.groupBy("node", "axis").agg(
         F.min("key").alias("low"), (F.max("key") + 1).alias("high"), F.sum("weight").alias("total"))
     width = F.floor(F.col("high") / _TIE) - F.floor(F.col("low") / _TIE)
-    state = saved(whole.join(nodes, "node").select(
+    # Nodes are at most as many as shards; so is all that is broadcast here, times the axes.
+    state = _small(whole.join(F.broadcast(nodes), "node").select(
         "node", "axis", "low", "high", "total", width.alias("width"),
         (F.col("total") * F.floor(F.col("leaves") / 2) / F.col("leaves")).alias("wanted"),
         F.lit(0).cast("long").alias("below"), F.lit(None).cast("long").alias("cut"),
         F.lit(None).cast("double").alias("off")))
     while not (open_ := state.where("cut is null")).isEmpty():
         step = F.ceil((F.col("high") - F.col("low")) / F.lit(float(BINS))).cast("long")
-        inside = points.join(open_.select("node", "axis", "low", "high", step.alias("step")),
+        inside = points.join(F.broadcast(open_.select("node", "axis", "low", "high", step.alias("step"))),
                              ["node", "axis"]).where("key >= low and key < high")
         bins = inside.groupBy("node", "axis", F.floor((F.col("key") - F.col("low")) / F.col("step"))
                               .alias("bin")).agg(F.sum("weight").alias("w"), F.count(F.lit(1)).alias("n"))
         up_to = Window.partitionBy("node", "axis").orderBy("bin")
-        summed = bins.join(open_, ["node", "axis"]).withColumns({
+        summed = bins.join(F.broadcast(open_), ["node", "axis"]).withColumns({
             "step": step, "upper": F.col("below") + F.sum("w").over(up_to)})
         summed = summed.withColumn("lower", F.col("upper") - F.col("w"))
         near_low = F.col("wanted") - F.col("lower") <= F.col("upper") - F.col("wanted")
@@ -102,13 +103,18 @@ def _cuts(units: DataFrame, nodes: DataFrame) -> DataFrame:
             "total", "width", "wanted", F.col("lower").alias("below"),
             F.when(done, F.when(near_low & (F.col("lower") > 0), start).otherwise(start + F.col("step")))
             .alias("cut"), F.when(done, off / F.col("total")).alias("off"))
-        state = saved(state.where("cut is not null").unionByName(chosen))
+        state = _small(state.where("cut is not null").unionByName(chosen))
     best = Window.partitionBy("node").orderBy(
         F.col("off") > CLOSE, F.when(F.col("off") > CLOSE, F.col("off")), F.col("width").desc(), "axis")
     return state.withColumn("place", F.row_number().over(best)).where("place = 1").select(
         "node", "axis", "cut")
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """A few rows per node, kept in one part."""
+    return saved(rows.repartition(1))
+
+
 def assign(units: DataFrame, shards: int) -> DataFrame:
     """(`digest`, `part`, `shard`): leaves of the tree, numbered from left to right."""
     axis_key: Column = F.element_at(F.array(*AXES), F.col("axis") + 1)
@@ -118,10 +124,10 @@ def assign(units: DataFrame, shards: int) -> DataFrame:
     deepest = shards
     # A node is named by its first shard.
     while deepest > 1:
-        nodes = saved(nodes.join(_cuts(units, nodes.where("leaves > 1")), "node", "left"))
+        nodes = _small(nodes.join(F.broadcast(_cuts(units, nodes.where("leaves > 1"))), "node", "left"))
         left = F.floor(F.col("leaves") / 2)
         goes_right = (F.col("leaves") > 1) & (axis_key >= F.col("cut"))
-        units = units.join(nodes, "node").select(
+        units = units.join(F.broadcast(nodes), "node").select(
             (F.col("node") + F.when(goes_right, left).otherwise(0)).alias("node"),
             "digest", "part", "weight", *AXES)
         units = saved(units)

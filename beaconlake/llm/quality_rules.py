@@ -1,8 +1,8 @@
 """Quality rules: base counts, and a log-likelihood ratio between two hashed n-gram models.
 
 Tokens are runs of letters and digits or runs of other signs; uni- and bigrams fall into BUCKETS
-hash buckets. Two multinomials over the buckets are counted: one over the documents that labels
-trust (quality 1), one over all documents. A document's score is the mean over its n-grams of
+hash buckets. Two multinomials over the buckets are counted: one over all documents, one over
+trusted ones (quality 1), of which a documented, bounded sample is used: the first TRUSTED by hash. A document's score is the mean over its n-grams of
 log p(trusted) - log p(raw), so that length does not matter. One threshold, the one that best
 separates the labelled rows, decides for every document alike; nothing is sampled.
 
@@ -30,6 +30,7 @@ from .common import saved
 
 BUCKETS = 1 << 15
 SMOOTHING = 1.0
+TRUSTED = 20_000
 MIN_WORDS = 50
 # The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -87,7 +88,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Log-likelihood ratio of each bucket."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    # At most TRUSTED ids: small enough to be sent to every task.
+    good = F.broadcast(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+                       .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED))
     marked = docs.select("doc_id", "text").join(
         good.withColumn("trusted", F.lit(True)), "doc_id", "left").select(
         "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
