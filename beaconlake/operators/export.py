@@ -30,16 +30,13 @@ def export_folder(out_root: str, name: str, run_id: str, attempt: int) -> str:
 
 
 def _writable(df: DataFrame) -> DataFrame:
-    """Doubles as plain decimals (no exponent), timestamps in ISO form with a fraction only
-    where there is one, nested values as JSON."""
+    """Doubles as the shortest text that reads back as the same number, timestamps in ISO form
+    with a fraction only where there is one, nested values as JSON."""
     columns = []
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
         if kind in ("double", "float"):
-            plain = F.rtrim(F.format_string("%.12f", column), F.lit("0"))
-            plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-            text = column.cast("string")
-            column = F.when(text.contains("E"), plain).otherwise(text)
+            column = column.cast("string")
         elif kind in ISO:
             seconds, zone = ISO[kind]
             column = F.when(

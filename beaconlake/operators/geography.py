@@ -22,7 +22,8 @@ MIN_PROVIDER_GROUP, MIN_MODEL_PEERS, MIN_SEPARATION_KM = 25, 24, 150.0
 
 
 def density_percentile(census: DataFrame) -> DataFrame:
-    """Average rank / n of each block group's density; ties share their average rank.
+    """Average rank / n of each block group's density; ties share their average rank. A block
+    group without density has none.
 
     Counts per distinct density are ranked inside value ranges that Spark cuts evenly;
     only one row per range is summed in a single window. The ranged counts are
@@ -48,7 +49,7 @@ def density_percentile(census: DataFrame) -> DataFrame:
         .alias("density_percentile"))
     return census.select(
         "block_group_geoid", F.col("population_density_per_sq_mile").alias("density")
-    ).join(ranks, "density").select("block_group_geoid", "density_percentile")
+    ).join(ranks, "density", "left").select("block_group_geoid", "density_percentile")
 
 
 def developed_score(tables: NetworkTables) -> DataFrame:
@@ -60,7 +61,7 @@ def developed_score(tables: NetworkTables) -> DataFrame:
     return (
         tables.sites.select("site_id", "block_group_geoid", "inside_census_urban_area",
                             "distance_to_nearest_urban_area_km")
-        .join(density_percentile(tables.census_block_groups), "block_group_geoid")
+        .join(density_percentile(tables.census_block_groups), "block_group_geoid", "left")
         .select("site_id", score.alias("developed_score"))
     )
 

@@ -6,9 +6,10 @@ import uuid
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..sources import storage
 from ..sources.lake import STREAMED_TABLES, Lake, day_source, write_by_day
 
@@ -89,16 +90,13 @@ def fingerprint(rows: DataFrame) -> tuple[int, int]:
     return found["rows"], int(found["hash"])
 
 
-def _settled(lake: Lake, table: str) -> Column:
-    """Batches that cannot be replayed any more: all but the newest of each run. The
-    stream starts a batch only after the one before it is committed."""
+def _settled(found: DataFrame) -> DataFrame:
+    """Of the files found, those of batches that cannot be replayed any more: all but the
+    newest of each run. The stream starts a batch only after the one before it is committed."""
     run = F.regexp_extract("batch_id", r"^(.*)-\d+$", 1)
-    newest = (
-        lake.stored(table).select("batch_id").distinct().where(run != "")
-        .groupBy(run.alias("run")).agg(F.max("batch_id").alias("newest"))
-    )
-    held = [r["newest"] for r in newest.collect()]  # one per run name
-    return ~F.col("batch_id").isin(held) if held else F.lit(True)
+    newest = found.where(run != "").groupBy(run.alias("run")).agg(
+        F.max("batch_id").alias("batch_id"))
+    return found.join(newest.select("batch_id"), "batch_id", "left_anti")
 
 
 def compact(
@@ -106,16 +104,23 @@ def compact(
 ) -> dict[str, object]:
     """Rewrite the table's settled small files into full-size ones, in one commit.
 
+    The files are listed once. That list is what is rewritten, verified and replaced, so
+    batches that arrive meanwhile are left as they are.
+
     The new files are written and verified out of sight, next to the list of files they
     replace, and both appear by one rename: from then on readers leave the listed files
     out. Deleting those is clean-up and can be repeated. Larger files are not touched.
     """
     spark, run = lake.spark, uuid.uuid4().hex[:12]
     finish_compactions(lake, table)
-    settled = _settled(lake, table)
-    small = lake.stored(table).where((F.col("_metadata.file_size") < small_file_bytes) & settled)
+    ensure_checkpoint_dir(spark)
+    found = files(lake, table).checkpoint()
+    listed = _settled(found).where(F.col("file_size") < small_file_bytes).select("file_path")
+    listed = listed.checkpoint()
     day, _ = day_source(table)
     staged = f"{lake.root}/_staging/{run}/{table}"
+    small = lake.stored(table).withColumn("file_path", F.col("_metadata.file_path")).join(
+        listed, "file_path", "left_semi").drop("file_path")
     before = fingerprint(small)
     if before[0] == 0:
         return {"table": table, "status": "ok", "rows": 0, "files_replaced": 0}
@@ -126,8 +131,7 @@ def compact(
         storage.delete(spark, staged)
         return {"table": table, "status": "failed", "rows": before[0], "files_replaced": 0,
                 "detail": f"rows and hash {after} after, {before} before"}
-    replaced = files(lake, table).where((F.col("file_size") < small_file_bytes) & settled)
-    replaced.select("file_path").write.parquet(f"{staged}/_replaces")
+    listed.write.parquet(f"{staged}/_replaces")
     storage.rename(spark, staged, lake.batch_path(table, f"compact_{run}"))
     return {"table": table, "status": "ok", "rows": before[0],
             "files_replaced": finish_compactions(lake, table)}
@@ -152,7 +156,7 @@ def compact_planned(lake: Lake, plan: DataFrame, small_file_bytes: int) -> list[
             results.append(compact(lake, row["table"], small_file_bytes))
         except Exception as error:
             results.append({"table": row["table"], "status": "failed",
-                            "detail": str(error)[:500]})
+                            "detail": str(error)})
     return results
 
 

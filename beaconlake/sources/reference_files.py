@@ -68,7 +68,7 @@ class Bundle:
         """Per delivered file: its name in the manifest, header line and SHA-256."""
         part, name = FILES[table]
         inside = F.substring_index("path", f"/{part}/", -1)
-        line = F.substring_index(F.decode(F.substring("content", 1, 65536), "UTF-8"), "\n", 1)
+        line = F.substring_index(F.decode("content", "UTF-8"), "\n", 1)
         return (
             self.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
             .load(self.path(table))

@@ -71,7 +71,7 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = ingest.PREFIX
     return (
         classified.where(F.col("rejection_reason").startswith(prefix))
-        .groupBy(F.substring("rejection_reason", len(prefix) + 1, 1000).alias("violation"))
+        .groupBy(F.expr(f"substring(rejection_reason, {len(prefix) + 1})").alias("violation"))
         .agg(F.count(F.lit(1)).alias("records"))
     )
 

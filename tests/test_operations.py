@@ -60,6 +60,32 @@ def test_compaction_keeps_rows_and_the_newest_batch(spark, tmp_path):
     assert sorted(numbers) == [1, 1, 2, 2, 3, 3, 4, 4]
 
 
+def test_a_batch_that_arrives_during_compaction_stays(spark, tmp_path, monkeypatch):
+    lake = _lake(spark, tmp_path / "lake")
+    write, arrived = maintenance.write_by_day, []
+
+    def slow_write(*rows_and_place):
+        write(*rows_and_place)
+        if not arrived:
+            for n in (4, 5):
+                route_batch(lake, raw(spark, encoded({**CONNECTIVITY, "sequence_number": n + 1})),
+                            batch_name("run", n))
+            arrived.append(True)
+
+    monkeypatch.setattr(maintenance, "write_by_day", slow_write)
+    assert maintenance.compact(lake, "connectivity_events")["status"] == "ok"
+    numbers = [r[0] for r in lake.read("connectivity_events").select("sequence_number").collect()]
+    assert sorted(numbers) == [1, 1, 2, 2, 3, 3, 4, 4, 5, 6]
+
+
+def test_doubles_survive_an_export(spark, tmp_path):
+    values = [1.25e-14, 1e300, -0.0, 0.1, 123456789.123456789, 5e-324]
+    metadata = export.export_rows(
+        spark.createDataFrame([(v,) for v in values], "x double"), str(tmp_path / "doubles"))
+    read = [float(r["x"]) for r in export.read_export(spark, metadata["folder"]).collect()]
+    assert sorted(map(repr, read)) == sorted(map(repr, values))
+
+
 def test_readers_see_one_copy_when_compaction_dies_before_the_clean_up(
         spark, tmp_path, monkeypatch):
     lake = _lake(spark, tmp_path / "lake")
@@ -85,7 +111,7 @@ def test_csv_bytes(spark, tmp_path):
     part, = (tmp_path / "out").glob("*.csv")
     assert part.read_bytes() == (
         b"name,note,blank,n,yes,at,tiny\r\n"
-        b'"say ""hi"", ok",,,2.5,true,2026-09-29T04:00:00+00:00,0.00000001\r\n')
+        b'"say ""hi"", ok",,,2.5,true,2026-09-29T04:00:00+00:00,1.0E-8\r\n')
     assert metadata["rows"] == 1
     assert json.loads((tmp_path / "out.json").read_text())["sha256"] == metadata["sha256"]
     assert export.verify_export(spark, metadata).first().asDict() == {
