@@ -2,9 +2,10 @@
 
 Tokens are runs of letters and digits or runs of other signs; uni- and bigrams fall into BUCKETS
 hash buckets. Two multinomials over the buckets are counted: one over all documents, one over
-trusted ones (quality 1), of which a documented, bounded sample is used: the first TRUSTED by hash. A document's score is the mean over its n-grams of
-log p(trusted) - log p(raw), so that length does not matter. One threshold, the one that best
-separates the labelled rows, decides for every document alike; nothing is sampled.
+trusted ones (quality 1), of which a documented, bounded sample is used: the first TRUSTED by
+hash. A document's score is the mean over its n-grams of log p(trusted) - log p(raw), so that
+length does not matter. One threshold, the one that best separates all labelled rows, decides for
+every document alike.
 
 Counts are summed in each task first, so BUCKETS rows per task are shuffled, and the two vectors
 that come to the driver have BUCKETS entries at any size.

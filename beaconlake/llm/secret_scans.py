@@ -9,8 +9,9 @@ log-probabilities per character under both. Candidates that reach the threshold
 become spans of kind `format`.
 
 Labelled credentials are the values of base matches, unmarked strings the other candidates; of
-each a documented, bounded sample (EXAMPLES, the first by hash) is learned from. The threshold lets
-at most FALSE_SHARE of the unmarked examples pass. Every candidate of every whole text is scored.
+each a documented, bounded sample (EXAMPLES, the first by hash) is learned from. Unmarked examples
+that are as likely as the labelled ones are set aside; the threshold lets at most FALSE_SHARE of the
+others pass. Every candidate of every whole text is scored.
 
 Cases: a null or empty text has no spans. Without examples of either sort nothing is added. Rows
 that repeat are scanned alike. Only `doc_id` and `text` are read. Offsets are code points.
@@ -225,9 +226,14 @@ def infer(docs: DataFrame, examples: int = EXAMPLES) -> Grammar | None:
         sides.append([bytes(r["value"]) for r in rows.select("value").collect()])
     if not all(sides):
         return None
-    credentials, others = (Automaton(side) for side in sides)
-    free = Grammar(credentials, others, 0.0)
-    scores = sorted((free.score(v) for v in sides[1]), reverse=True)
+    credentials = Automaton(sides[0])
+    # An unmarked string that is as likely as labelled credentials is no counter-example.
+    usual = sorted(credentials.mean_log(v) for v in sides[0])[len(sides[0]) // 20]
+    unlike = [v for v in sides[1] if credentials.mean_log(v) < usual]
+    if not unlike:
+        return None
+    free = Grammar(credentials, Automaton(unlike), 0.0)
+    scores = sorted((free.score(v) for v in unlike), reverse=True)
     return free._replace(threshold=max(0.0, scores[int(len(scores) * FALSE_SHARE)] + 1e-9))
 
 

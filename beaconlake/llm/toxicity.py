@@ -151,19 +151,28 @@ def fit(features: np.ndarray, start: np.ndarray, first: np.ndarray, toxic: np.nd
     return Model(whole, bias)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all rows of a partition; texts in a fixed order, so that sums do not depend on
+    the order in which tasks answered."""
+    rows = sorted((toxic, text) for batch in batches for toxic, text in zip(
+        batch.column("toxic").to_pylist(), batch.column("text").to_pylist()))
+    toxic = np.array([t for t, _ in rows]) == 1
+    if len(rows) == 0 or toxic.all() or not toxic.any():
+        return
     reader = Reader()
-    for batch in batches:
-        out = []
-        for chunk in tb.chunks(batch.column("text")):
-            s = reader.sentences(chunk)
-            ends = np.append(s.start, len(s.features))
-            for a, b in zip(s.first[:-1], s.first[1:]):
-                out.append((s.features[ends[a]: ends[b]].tobytes(),
-                            (s.start[a:b] - ends[a]).astype(np.int32).tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), pa.array([x[0] for x in out], pa.binary()),
-             pa.array([x[1] for x in out], pa.binary())], names=["toxic", "features", "start"])
+    features, start, first, held = [], [], [np.zeros(1, np.int64)], 0
+    for chunk in tb.chunks(pa.array([t for _, t in rows], pa.string())):
+        s = reader.sentences(chunk)
+        features.append(s.features)
+        start.append(s.start + held)
+        first.append(s.first[1:] + first[-1][-1])
+        held += len(s.features)
+    model = fit(np.concatenate(features), np.concatenate(start), np.concatenate(first), toxic)
+    names = np.flatnonzero(model.weights)
+    yield pa.RecordBatch.from_arrays([
+        pa.array([names.tolist()], pa.list_(pa.int32())),
+        pa.array([model.weights[names].tolist()], pa.list_(pa.float64())),
+        pa.array([model.bias], pa.float64())], names=["names", "weights", "bias"])
 
 
 def training_ids(labels: DataFrame, per_label: int) -> DataFrame:
@@ -180,21 +189,14 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> Mo
     ids = F.broadcast(training_ids(labels, per_label))
     rows = docs.select("doc_id", "text").where(
         F.octet_length("text") <= TRAIN_BYTES).join(ids, "doc_id").select("toxic", "text")
-    table = rows.mapInArrow(_features, "toxic int, features binary, start binary").toArrow()
-    toxic = table.column("toxic").to_numpy() == 1
-    if toxic.all() or not toxic.any():
+    # The sample is bounded by its two parameters, so one task can fit it.
+    found = rows.repartition(1).mapInArrow(
+        _fitted, "names array<int>, weights array<double>, bias double").collect()
+    if not found:
         return Model(np.zeros(FEATURES), -50.0)
-    features = [np.frombuffer(x, np.int32) for x in table.column("features").to_pylist()]
-    starts = [np.frombuffer(x, np.int32) for x in table.column("start").to_pylist()]
-    shift = np.concatenate([[0], np.cumsum([len(x) for x in features])])
-    first = np.concatenate([[0], np.cumsum([len(x) for x in starts])])
-    # The order in which tasks answer must not show in the sums.
-    order = sorted(range(len(features)), key=lambda i: (toxic[i], features[i].tobytes()))
-    features, starts, toxic = [features[i] for i in order], [starts[i] for i in order], toxic[order]
-    shift = np.concatenate([[0], np.cumsum([len(x) for x in features])])
-    first = np.concatenate([[0], np.cumsum([len(x) for x in starts])])
-    start = np.concatenate([s + at for s, at in zip(starts, shift)])
-    return fit(np.concatenate(features), start.astype(np.int64), first, toxic)
+    weights = np.zeros(FEATURES)
+    weights[found[0]["names"]] = found[0]["weights"]
+    return Model(weights, found[0]["bias"])
 
 
 def _scorer(model: Model):
