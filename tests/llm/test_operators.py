@@ -469,12 +469,15 @@ def test_field_adds_what_rules_miss(spark):
             if personal_data.luhn(digits.encode()) == good:
                 return digits
 
-    rows = [(i, f"die karte {card(True)} gilt noch, saal {rng.randint(10, 99)} auch") for i in range(200)]
-    rows += [(1000 + i, f"die karte {card(False)} gilt noch, saal 7 auch") for i in range(5)]
+    def text(good):
+        a, b, c, d = ("w" * rng.randint(2, 15) for _ in range(4))
+        return f"{a} {b} {card(good)} {c} {d}"
+
+    rows = [(i, text(True)) for i in range(200)] + [(1000 + i, text(False)) for i in range(5)]
     got = personal_data.scanned(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
     assert (got[got.doc_id < 1000].n_added == 0).all()
     assert (got[got.doc_id >= 1000].n_added == 1).all()
-    assert (got[got.doc_id >= 1000].spans == "card:10:26").all()
+    assert got[got.doc_id >= 1000].spans.str.startswith("card:").all()
 
 
 def test_personal_data_of_odd_rows(odd, none):
