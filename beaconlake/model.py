@@ -84,6 +84,9 @@ REFERENCE_DDL = {
 }
 REFERENCE_LINEAGE_DDL = "_source_file string, _source_sha256 string, _loaded_at timestamp"
 
+# The partition day that stored tables keep of each clock.
+CLOCK_DAYS = {"event_timestamp": "event_day", "_kafka_timestamp": "arrival_day"}
+
 EVENT_TABLES = tuple(f.table for f in FAMILIES)
 REFERENCE_TABLES = tuple(REFERENCE_DDL)
 REJECT_TABLE = "rejected_events"
@@ -156,11 +159,16 @@ class NetworkTables:
         return cls(lambda name: tables[name])
 
     def stacked(self, *columns: str) -> DataFrame:
-        """Rows of the five event tables with `table_name` and the wanted columns."""
+        """Rows of the five event tables with `table_name` and the wanted columns. A clock
+        brings its partition day along where all five keep it, for `since` to prune by."""
         if self._stack is not None:
             return self._stack().select("table_name", *columns)
+        tables = [self.table(t) for t in EVENT_TABLES]
+        days = [day for clock, day in CLOCK_DAYS.items()
+                if clock in columns and all(day in t.columns for t in tables)]
         parts = [
-            self.table(t).select(F.lit(t).alias("table_name"), *columns) for t in EVENT_TABLES
+            table.select(F.lit(name).alias("table_name"), *columns, *days)
+            for name, table in zip(EVENT_TABLES, tables, strict=True)
         ]
         return reduce(DataFrame.unionByName, parts)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,11 +13,13 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sources import storage
-from ..sources.lake import STREAMED_TABLES, Lake, day_source, write_by_day
+from ..sources.lake import STREAMED_TABLES, Lake, day_source, day_sources, write_by_day
 
 MB = 1024 * 1024
 # Defaults of the maintenance job.
 SMALL_FILE_MB, MIN_SMALL_FILES, MAX_REWRITE_MB = 32, 20, 2048
+# Replaced files stay this long: longer than any query that began before the compaction.
+KEPT_FOR = timedelta(days=1)
 
 
 def chosen_tables(names: Iterable[str]) -> list[str]:
@@ -32,9 +36,8 @@ def files(lake: Lake, table: str) -> DataFrame:
     """One row per data file: path, size, rows, batch, layout. Reads no data columns."""
     day, _ = day_source(table)
     return (
-        lake.stored(table)
-        .groupBy(F.col("_metadata.file_path").alias("file_path"),
-                 F.col("_metadata.file_size").alias("file_size"), "batch_id",
+        lake.placed(table)
+        .groupBy("file_path", "file_size", "batch_id",
                  F.when(F.col(day).isNull(), "unpartitioned").otherwise("by day").alias("layout"))
         .agg(F.count(F.lit(1)).alias("records"))
     )
@@ -100,7 +103,8 @@ def _settled(found: DataFrame) -> DataFrame:
 
 
 def compact(
-    lake: Lake, table: str, small_file_bytes: int = SMALL_FILE_MB * MB
+    lake: Lake, table: str, small_file_bytes: int = SMALL_FILE_MB * MB,
+    kept_for: timedelta = KEPT_FOR,
 ) -> dict[str, object]:
     """Rewrite the table's settled small files into full-size ones, in one commit.
 
@@ -109,23 +113,24 @@ def compact(
 
     The new files are written and verified out of sight, next to the list of files they
     replace, and both appear by one rename: from then on readers leave the listed files
-    out. Deleting those is clean-up and can be repeated. Larger files are not touched.
+    out. Deleting those is clean-up, comes `kept_for` later (with a later run) and can be
+    repeated. Larger files are not touched. One compaction of a table at a time.
     """
     spark, run = lake.spark, uuid.uuid4().hex[:12]
-    finish_compactions(lake, table)
+    finish_compactions(lake, table, kept_for)
     ensure_checkpoint_dir(spark)
     found = files(lake, table).checkpoint()
     listed = _settled(found).where(F.col("file_size") < small_file_bytes).select("file_path")
     listed = listed.checkpoint()
-    day, _ = day_source(table)
+    replaced = listed.count()
+    if replaced == 0:
+        return {"table": table, "status": "ok", "rows": 0, "files_replaced": 0}
     staged = f"{lake.root}/_staging/{run}/{table}"
-    small = lake.stored(table).withColumn("file_path", F.col("_metadata.file_path")).join(
-        listed, "file_path", "left_semi").drop("file_path")
+    small = lake.placed(table).join(listed, "file_path", "left_semi").drop(
+        "file_path", "file_size", "batch_id", *day_sources(table))
     before = fingerprint(small)
-    if before[0] == 0:
-        return {"table": table, "status": "ok", "rows": 0, "files_replaced": 0}
-    write_by_day(small.drop("batch_id", day), table, staged)
-    written = spark.read.schema(small.drop("batch_id", day).schema).parquet(staged)
+    write_by_day(small, table, staged)
+    written = spark.read.schema(small.schema).parquet(staged)
     after = fingerprint(written)
     if before != after:
         storage.delete(spark, staged)
@@ -133,17 +138,27 @@ def compact(
                 "detail": f"rows and hash {after} after, {before} before"}
     listed.write.parquet(f"{staged}/_replaces")
     storage.rename(spark, staged, lake.batch_path(table, f"compact_{run}"))
-    return {"table": table, "status": "ok", "rows": before[0],
-            "files_replaced": finish_compactions(lake, table)}
+    finish_compactions(lake, table, kept_for)
+    return {"table": table, "status": "ok", "rows": before[0], "files_replaced": replaced}
 
 
-def finish_compactions(lake: Lake, table: str) -> int:
-    """Delete the files that visible compactions replace, then their lists."""
+def finish_compactions(lake: Lake, table: str, kept_for: timedelta = KEPT_FOR) -> int:
+    """Delete the files that compactions of at least `kept_for` ago replaced, the folders
+    this leaves empty, then the lists. Small files of few batches pass the driver one by one."""
     spark, deleted = lake.spark, 0
-    for listed in storage.matching(spark, f"{lake.path(table)}/batch_id=compact_*/_replaces"):
-        for row in spark.read.parquet(listed).toLocalIterator():
-            storage.delete(spark, row["file_path"])
+    for listed in lake.compactions(table):
+        if time.time() - storage.modified(spark, listed) < kept_for.total_seconds():
+            continue
+        gone = spark.read.schema("file_path string").parquet(listed)
+        folders = gone.select(
+            F.regexp_extract("file_path", "^(.*)/[^/]+$", 1).alias("folder")).distinct()
+        for row in gone.toLocalIterator():
+            storage.delete(spark, storage.from_uri(spark, row["file_path"]))
             deleted += 1
+        for row in folders.toLocalIterator():
+            folder = storage.from_uri(spark, row["folder"])
+            while "/batch_id=" in folder and storage.delete_if_empty(spark, folder):
+                folder = folder.rpartition("/")[0]
         storage.delete(spark, listed)
     return deleted
 

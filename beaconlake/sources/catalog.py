@@ -33,7 +33,7 @@ def ensure_table(
     nothing.
     """
     name = f"{database}.{table}"
-    day, _ = day_source(table)
+    day, clock = day_source(table)
     columns = [(f.name, f.dataType.simpleString()) for f in table_schema(table).fields]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     actions: list[str] = []
@@ -53,7 +53,7 @@ def ensure_table(
     if partitioned and day not in spark.table(name).columns:
         rows = spark.table(name)
         kept = [c for c, _ in columns if c in rows.columns]
-        write_by_day(rows.select(*kept), table, f"{location}-by-day")
+        write_by_day(rows.select(*kept), table, f"{location}-by-day", {day: clock})
         spark.sql(f"DROP TABLE {name}")  # external: the old files stay
         create(f"{location}-by-day")
         return ["partitioned by day"]

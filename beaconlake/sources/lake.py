@@ -1,10 +1,11 @@
 """Event tables on plain Parquet: one folder per batch, day partitions inside.
 
-    <root>/<table>/batch_id=<run>-<n>/event_day=<date>/part-*.parquet
+    <root>/<table>/batch_id=<run>-<n>/event_day=<date>/arrival_day=<date>/part-*.parquet
 
 A batch is written by overwriting its own folder, so writing it again (a retry, a replay
 after a crash) replaces it. A compaction adds a folder of its own that names the files it
-replaces until they are gone; readers leave those out.
+replaces until they are gone; readers leave those out. Those files stay for a while, so that
+queries which began before the compaction can finish.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..model import ALL_TABLES, EVENT_TABLES, REJECT_TABLE, NetworkTables, table_schema
+from ..model import (
+    ALL_TABLES, CLOCK_DAYS, EVENT_TABLES, REJECT_TABLE, NetworkTables, table_schema,
+)
 from . import storage
 
 # How stored files are written.
@@ -24,13 +27,21 @@ COMPRESSION = "zstd"
 STREAMED_TABLES = (*EVENT_TABLES, REJECT_TABLE)
 # A safety limit; the rebalance before each write keeps files near the target size.
 MAX_RECORDS_PER_FILE = 5_000_000
+# How often a read is begun anew because a compaction appeared or went while it listed files.
+LISTING_ATTEMPTS = 10
+
+
+def day_sources(table: str) -> dict[str, str]:
+    """Partition columns of a table, outermost first, and the clocks they are the days of.
+    Nearly all records arrive on the day they were measured, so the second day of events
+    adds few folders."""
+    days = {day: clock for clock, day in CLOCK_DAYS.items()}
+    return {"arrival_day": days["arrival_day"]} if table == REJECT_TABLE else days
 
 
 def day_source(table: str) -> tuple[str, str]:
-    """Partition column of a table and the clock it is the day of."""
-    if table == REJECT_TABLE:
-        return "arrival_day", "_kafka_timestamp"
-    return "event_day", "event_timestamp"
+    """Outermost partition column of a table and its clock."""
+    return next(iter(day_sources(table).items()))
 
 
 @dataclass(frozen=True)
@@ -51,25 +62,43 @@ class Lake:
         write_by_day(rows, table, self.batch_path(table, batch_id))
 
     def stored(self, table: str) -> DataFrame:
-        """All visible files of a table, with `batch_id` and day columns."""
-        day, _ = day_source(table)
+        """All visible rows of a table, with `batch_id` and day columns."""
+        return self.placed(table).drop("file_path", "file_size")
+
+    def placed(self, table: str) -> DataFrame:
+        """Like `stored`, with the path and size of the file each row is from.
+
+        The compactions are looked up before and after the files are listed: when they are
+        the same, the files are those that belong to them.
+        """
         schema = T.StructType([
             *table_schema(table).fields, T.StructField("batch_id", T.StringType()),
-            T.StructField(day, T.DateType()),
+            *[T.StructField(day, T.DateType()) for day in day_sources(table)],
         ])
         path = self.path(table)
         if not storage.exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
-        files = self.spark.read.schema(schema).parquet(path)
-        replaced = storage.matching(self.spark, f"{path}/batch_id=compact_*/_replaces")
+            return self.spark.createDataFrame(
+                [], schema.add("file_path", "string").add("file_size", "long"))
+        for _ in range(LISTING_ATTEMPTS):
+            replaced = self.compactions(table)
+            files = self.spark.read.schema(schema).parquet(path)
+            if self.compactions(table) == replaced:
+                break
+        else:
+            raise RuntimeError(f"{table}: compactions changed during every listing of files")
+        files = files.withColumns(
+            {c: F.col(f"_metadata.{c}") for c in ("file_path", "file_size")})
         if not replaced:
             return files
         gone = self.spark.read.schema("file_path string").parquet(*replaced)
-        return files.withColumn("file_path", F.col("_metadata.file_path")).join(
-            gone, "file_path", "left_anti").drop("file_path")
+        return files.join(gone, "file_path", "left_anti")
+
+    def compactions(self, table: str) -> list[str]:
+        """Lists of replaced files, of compactions whose old files may still be there."""
+        return storage.matching(self.spark, f"{self.path(table)}/batch_id=compact_*/_replaces")
 
     def read(self, table: str) -> DataFrame:
-        """The table's columns and its day column, for reports and checks."""
+        """The table's columns and its day columns, for reports and checks."""
         return self.stored(table).drop("batch_id")
 
     def tables(self, **reference: DataFrame) -> NetworkTables:
@@ -78,13 +107,15 @@ class Lake:
             lambda name: self.read(name) if name in STREAMED_TABLES else reference[name])
 
 
-def write_by_day(rows: DataFrame, table: str, path: str) -> None:
-    """Write rows as day partitions. REBALANCE splits a day that holds most rows over
+def write_by_day(
+    rows: DataFrame, table: str, path: str, days: dict[str, str] | None = None
+) -> None:
+    """Write rows as day partitions, those of `day_sources` if not told. REBALANCE splits a day that holds most rows over
     several tasks and merges small ones, by their size at run time."""
-    day, clock = day_source(table)
-    dated = rows.withColumn(day, F.to_date(clock))
+    days = days or day_sources(table)
+    dated = rows.withColumns({day: F.to_date(clock) for day, clock in days.items()})
     (
-        dated.hint("rebalance", day).write.mode("overwrite").partitionBy(day)
+        dated.hint("rebalance", *days).write.mode("overwrite").partitionBy(*days)
         .option("compression", COMPRESSION).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .parquet(path)
     )

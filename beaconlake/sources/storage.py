@@ -27,6 +27,28 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_if_empty(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with nothing but Spark's success marker in it."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return True
+    if any(status.getPath().getName() != "_SUCCESS" for status in fs.listStatus(p)):
+        return False
+    return fs.delete(p, True)
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When the path was last changed, in seconds since 1970."""
+    fs, p = _path(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
+def from_uri(spark: SparkSession, uri: str) -> str:
+    """Plain path of an escaped one, as `_metadata.file_path` gives it."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, p = _path(spark, source)
     _, q = _path(spark, target)

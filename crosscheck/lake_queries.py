@@ -136,6 +136,22 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "sequence_number", "_kafka_offset", "latency_ms", "event_day")
 
 
+def compact_during_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compactions one after the other while the stream writes batches."""
+    folder = work_folder(spark)
+    path = _raw_folder(spark, sf_dir, folder)
+    lake = Lake(spark, f"{folder}/lake")
+    stream = start_ingest(
+        raw.file_records(spark, path, 2), lake, f"{folder}/checkpoint",
+        f"q{uuid.uuid4().hex[:8]}", every=None)
+    while stream.isActive:
+        maintenance.compact(lake, "connectivity_events")
+    stream.awaitTermination()
+    maintenance.compact(lake, "connectivity_events")
+    return lake.read("connectivity_events").select(
+        "event_id", "sequence_number", "_kafka_offset", "latency_ms", "event_day")
+
+
 def compact_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _ingested(spark, sf_dir)
     results = []
@@ -283,6 +299,7 @@ QUERIES = {
     "file_stats": file_stats,
     "maintenance_plan": maintenance_plan,
     "compact": compact,
+    "compact_during_ingest": compact_during_ingest,
     "compact_verify": compact_verify,
     "maintenance_report": maintenance_report,
     "read_reference": read_reference,

@@ -15,6 +15,9 @@ VALID_SITES = "SELECT count(*) AS n FROM sites WHERE site_id IN (SELECT site_id
 VALID_EDGES = """SELECT count(*) AS n FROM device_dependencies
     WHERE downstream_device_id IN (SELECT device_id FROM devices)"""
 
+COMPACTED = m("""SELECT event_id, sequence_number, _kafka_offset, latency_ms,
+        event_timestamp::DATE AS event_day FROM connectivity_events""")
+
 
 def _loaded() -> str:
     # The careless bundle's own manifest states what was delivered, so counts agree.
@@ -50,8 +53,8 @@ SQL: dict[str, str] = {
         f"""SELECT k AS min_small_files, table_name,
                    CASE k WHEN 2 THEN 'compact' ELSE 'skip' END AS action, rows AS records
             FROM ({TOTALS}), (SELECT unnest([2, 1000000]) AS k)""", days_=DAYS),
-    "compact": m("""SELECT event_id, sequence_number, _kafka_offset, latency_ms,
-        event_timestamp::DATE AS event_day FROM connectivity_events"""),
+    "compact": COMPACTED,
+    "compact_during_ingest": COMPACTED,
     "compact_verify": m(
         f"""SELECT table_name, rows AS rows_before, rows AS rows_after, true AS same_rows
             FROM ({TOTALS})""", days_=DAYS),

@@ -1,4 +1,5 @@
 import json
+from datetime import timedelta
 
 import pytest
 
@@ -78,6 +79,53 @@ def test_a_batch_that_arrives_during_compaction_stays(spark, tmp_path, monkeypat
     assert sorted(numbers) == [1, 1, 2, 2, 3, 3, 4, 4, 5, 6]
 
 
+def test_readers_across_the_switch_see_every_row(spark, tmp_path, monkeypatch):
+    """One read is made before the compaction and runs after it; another lists its files
+    while the compaction appears."""
+    lake = _lake(spark, tmp_path / "lake")
+    older, look_up, switched = lake.read("connectivity_events"), Lake.compactions, []
+
+    def switches_after(lake_, table):
+        found = look_up(lake_, table)
+        if not switched:
+            switched.append(True)
+            maintenance.compact(lake, "connectivity_events")
+        return found
+
+    monkeypatch.setattr(Lake, "compactions", switches_after)
+    across = lake.read("connectivity_events")
+    assert switched and look_up(lake, "connectivity_events")
+    assert older.count() == across.count() == lake.read("connectivity_events").count() == 8
+
+
+def test_compactions_follow_each_other_while_old_files_stay(spark, tmp_path):
+    lake = _lake(spark, tmp_path / "lake")
+    for n in (4, 5):
+        assert maintenance.compact(lake, "connectivity_events")["status"] == "ok"
+        route_batch(lake, raw(spark, encoded({**CONNECTIVITY, "sequence_number": n + 1})),
+                    batch_name("run", n))
+    assert len(lake.compactions("connectivity_events")) == 2
+    stats = maintenance.file_stats(lake, ["connectivity_events"]).first()
+    assert stats["records"] == lake.read("connectivity_events").count() == 10
+    maintenance.finish_compactions(lake, "connectivity_events", timedelta(0))
+    assert lake.read("connectivity_events").count() == 10
+
+
+def test_clean_up_leaves_no_empty_folders(spark, tmp_path):
+    lake = _lake(spark, tmp_path / "lake")
+    maintenance.compact(lake, "connectivity_events", kept_for=timedelta(0))
+    stored = tmp_path / "lake" / "connectivity_events"
+    assert len(list(stored.glob("batch_id=run-*"))) == 1 and lake.compactions(
+        "connectivity_events") == []
+    assert lake.read("connectivity_events").count() == 8
+
+
+def test_a_table_without_files_has_nothing_to_compact(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "nothing"))
+    assert maintenance.compact(lake, "rejected_events")["files_replaced"] == 0
+    assert maintenance.file_stats(lake, ["rejected_events"]).first()["data_files"] == 0
+
+
 def test_doubles_survive_an_export(spark, tmp_path):
     values = [1.25e-14, 1e300, -0.0, 0.1, 123456789.123456789, 5e-324]
     metadata = export.export_rows(
@@ -97,9 +145,10 @@ def test_readers_see_one_copy_when_compaction_dies_before_the_clean_up(
     with monkeypatch.context() as broken:
         broken.setattr(storage, "delete", dies)
         with pytest.raises(OSError):
-            maintenance.compact(lake, "connectivity_events")
+            maintenance.compact(lake, "connectivity_events", kept_for=timedelta(0))
     assert maintenance.fingerprint(lake.read("connectivity_events")) == before
-    assert maintenance.finish_compactions(lake, "connectivity_events") >= 3
+    assert maintenance.finish_compactions(lake, "connectivity_events") == 0  # not yet
+    assert maintenance.finish_compactions(lake, "connectivity_events", timedelta(0)) >= 3
     assert maintenance.fingerprint(lake.read("connectivity_events")) == before
 
 

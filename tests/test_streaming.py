@@ -87,6 +87,33 @@ def test_day_bounds_prune_partitions(spark, tmp_path):
     assert "event_timestamp" in plan.split("PushedFilters: [")[1].split("]")[0]
 
 
+def test_reports_and_checks_prune_every_event_scan(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    from beaconlake.operators import quality
+    from beaconlake.plans import accounting
+    lake = Lake(spark, str(tmp_path / "lake"))
+    route_batch(lake, raw_rows(spark, encoded(CONNECTIVITY)), "run-0000000000")
+    tables, now = lake.tables(), F.lit(datetime(2026, 8, 19, 15))
+
+    def days_filtered(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("_day#") > 0 and plan.count("isnull(arrival_day#") + plan.count(
+            "isnull(event_day#") >= len(EVENT_TABLES)
+
+    assert days_filtered(accounting.duplicate_origin(tables, as_of=now))
+    assert days_filtered(accounting.late_records(tables, as_of=now))
+    probes = {p.checks[0]: p for p in quality.event_probes(tables, timedelta(hours=6), now)
+              if "events_from_unknown_devices" not in p.checks
+              and "silent_access_devices" not in p.checks}
+    assert days_filtered(probes["replay_duplicate_rows"].build())
+    assert days_filtered(probes["reject_pct"].build())
+    found = accounting.duplicate_origin(tables, as_of=now).first()
+    assert (found["table_name"], found["total_rows"]) == ("connectivity_events", 1)
+
+
 def test_empty_lake_reads_as_empty_tables(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "nothing"))
     assert all(lake.read(t).count() == 0 for t in EVENT_TABLES)
