@@ -25,8 +25,9 @@ class Field:
 UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3}Z$"
 IDENTIFIER = "^[a-z0-9][a-z0-9_-]*$"
-ACCESS_SITE = "^site-[0-9]{4}$"
-ACCESS_DEVICE = "^device-[0-9]{4}$"
+# How many digits the ids of access sites and devices have, as a pattern; a network of more than
+# 9,999 devices passes another one.
+ACCESS_DIGITS = "{4}"
 STATES = ("online", "degraded", "offline")
 
 ENVELOPE = (
@@ -80,8 +81,8 @@ PAYLOADS: dict[str, tuple[Field, ...]] = {
 ACCESS_FAMILIES = ("connectivity_metric", "throughput_test", "connectivity_state")
 
 
-def access_identifiers() -> tuple[Field, ...]:
-    narrowed = {"site_id": ACCESS_SITE, "device_id": ACCESS_DEVICE}
+def access_identifiers(digits: str = ACCESS_DIGITS) -> tuple[Field, ...]:
+    narrowed = {"site_id": f"^site-[0-9]{digits}$", "device_id": f"^device-[0-9]{digits}$"}
     return tuple(
         replace(f, pattern=narrowed[f.name]) for f in ENVELOPE if f.name in narrowed
     )

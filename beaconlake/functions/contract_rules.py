@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from ..contracts import ACCESS_FAMILIES, ENVELOPE, PAYLOADS, Field, access_identifiers
+from ..contracts import (
+    ACCESS_DIGITS, ACCESS_FAMILIES, ENVELOPE, PAYLOADS, UUID, Field, access_identifiers,
+)
 
 PREFIX = "Schema validation error: "
 SQL_TYPES = {"integer": "double", "number": "double", "string": "string"}
@@ -37,6 +39,16 @@ def quoted(text: object) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def whole(pattern: str) -> str:
+    """The pattern matching a text to its very end: `$` also matches before a last line break."""
+    return pattern.removesuffix("$") + r"\z"
+
+
+def java_pattern(pattern: str) -> str:
+    """UUIDs are a format and take no line break; `$` of published patterns knows \\n only."""
+    return whole(pattern) if pattern == UUID else f"(?d){pattern}"
+
+
 def payload_fields() -> list[Field]:
     return [f for fields in PAYLOADS.values() for f in fields]
 
@@ -75,7 +87,7 @@ def violation(field: Field, at: Value, prefix: str = "") -> str:
     if field.maximum is not None:
         checks.append((f"{at.value} > {field.maximum}D", f"{name} is above {field.maximum}"))
     if field.pattern is not None:
-        checks.append((f"NOT rlike({at.value}, {quoted(field.pattern)})",
+        checks.append((f"NOT rlike({at.value}, {quoted(java_pattern(field.pattern))})",
                        f"{name} does not match {field.pattern}"))
     return "CASE " + " ".join(f"WHEN {c} THEN {quoted(t)}" for c, t in checks) + " END"
 
@@ -87,7 +99,7 @@ def unexpected_keys(keys: str, fields, where: str) -> str:
             f"concat({quoted(f'unexpected {where} field ')}, array_min({extra})) END")
 
 
-def contract_violation(json: str, event_type: str) -> str:
+def contract_violation(json: str, event_type: str, digits: str = ACCESS_DIGITS) -> str:
     """First violation of the family's contract, envelope before payload."""
     def keys(path: str) -> str:
         return f"map_keys(try_variant_get({json}, '{path}', 'map<string, variant>'))"
@@ -100,7 +112,7 @@ def contract_violation(json: str, event_type: str) -> str:
 
     steps = [violation(f, member(f)) for f in ENVELOPE]
     steps.append(unexpected_keys(keys("$"), ENVELOPE, "envelope"))
-    access = ", ".join(violation(f, member(f)) for f in access_identifiers())
+    access = ", ".join(violation(f, member(f)) for f in access_identifiers(digits))
     families = ", ".join(quoted(f) for f in ACCESS_FAMILIES)
     steps.append(f"CASE WHEN {event_type} IN ({families}) THEN coalesce({access}) END")
     per_family = []
@@ -159,19 +171,19 @@ def _holds(field: Field, value: str) -> list[str]:
     if field.maximum is not None:
         checks.append(f"{value} <= {field.maximum}")
     if field.pattern is not None:
-        checks.append(f"rlike({value}, {quoted(field.pattern)})")
+        checks.append(f"rlike({value}, {quoted(java_pattern(field.pattern))})")
     if not field.required and checks:
         return [f"({value} IS NULL OR ({' AND '.join(checks)}))"]
     return checks
 
 
-def surely_valid(shape: str, doc: str) -> str:
+def surely_valid(shape: str, doc: str, digits: str = ACCESS_DIGITS) -> str:
     """True when a record obeys its contract; NULL or false when that is not yet known.
 
     One pattern on the record's description settles members and types together, so that
     sound records, nearly all of them, never reach `contract_violation`.
     """
-    narrowed = {f.name: f for f in access_identifiers()}
+    narrowed = {f.name: f for f in access_identifiers(digits)}
     per_family = []
     for family, fields in PAYLOADS.items():
         checks = [f"rlike({shape}, {quoted(record_shape(family))})"]

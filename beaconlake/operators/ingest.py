@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import IDENTIFIER, PAYLOADS
+from ..contracts import ACCESS_DIGITS, IDENTIFIER, PAYLOADS
 from ..functions.contract_rules import (
-    PREFIX, contract_violation, payload_fields, quoted, surely_valid, typed_document,
+    PREFIX, contract_violation, payload_fields, quoted, surely_valid, typed_document, whole,
 )
 from ..model import FAMILIES, MEASURE_DDL, REJECTED_DDL, event_schema, family_of, schema_of
 
@@ -42,13 +42,14 @@ def _by_topic(attribute: str) -> str:
     return f"CASE topic {cases} END"
 
 
-def classify(raw: DataFrame) -> DataFrame:
+def classify(raw: DataFrame, access_digits: str = ACCESS_DIGITS) -> DataFrame:
     """One row per record: `target_table` when accepted, else `rejection_reason`, with
     the typed columns of all families (NULL where not the record's own).
 
     The first failing step gives the reason: empty value, encoding, JSON, object, event
     type, contract, topic, event type of the topic, timestamp. JSON objects with
-    duplicate keys or NaN count as invalid JSON.
+    duplicate keys or NaN count as invalid JSON. `access_digits` says how many digits ids of
+    access devices have.
     """
     readable = "IF(length(value) > 0 AND is_valid_utf8(string(value)), string(value), NULL)"
     parsed = _once(raw, {"_json": f"try_parse_json({readable})"})
@@ -60,11 +61,11 @@ def classify(raw: DataFrame) -> DataFrame:
         "event_timestamp":
             f"try_to_timestamp(_doc.event_timestamp, {quoted(TIMESTAMP_FORMAT)})",
     })
-    sound = f"""{surely_valid('_shape', '_doc')}
+    sound = f"""{surely_valid('_shape', '_doc', access_digits)}
         AND _doc.event_type = {_by_topic('event_type')}
         AND event_timestamp IS NOT NULL AND _doc.sequence_number IS NOT NULL"""
     # The lambda keeps the long explanation out of the generated code of sound records.
-    explained = f"IF({sound}, NULL, transform(array(0), x -> {_explanation()})[0])"
+    explained = f"IF({sound}, NULL, transform(array(0), x -> {_explanation(access_digits)})[0])"
     reasoned = _once(
         dated.selectExpr("*", f"{explained} AS _reason"), {"rejection_reason": "_reason"})
     return reasoned.selectExpr(
@@ -85,7 +86,7 @@ def classify(raw: DataFrame) -> DataFrame:
     )
 
 
-def _explanation() -> str:
+def _explanation(access_digits: str) -> str:
     """Why a record is rejected, or NULL when it is sound after all."""
     families = ", ".join(quoted(f) for f in PAYLOADS)
     event_type = "try_variant_get(_json, '$.event_type', 'string')"
@@ -98,7 +99,7 @@ def _explanation() -> str:
         WHEN NOT coalesce({kind} = 'STRING' AND {event_type} IN ({families}), false)
             THEN concat("Unknown or missing event_type: '", coalesce({event_type}, 'None'), "'")
         ELSE coalesce(
-            '{PREFIX}' || {contract_violation('_json', event_type)},
+            '{PREFIX}' || {contract_violation('_json', event_type, access_digits)},
             CASE WHEN {_by_topic('table')} IS NULL THEN concat('Unmapped topic: ', topic)
                  WHEN {event_type} <> {_by_topic('event_type')} THEN concat(
                     "event_type '", {event_type}, "' not allowed on topic ", topic,
@@ -131,12 +132,14 @@ def rejected_rows(classified: DataFrame) -> DataFrame:
     )
 
 
-def typed_events(raw: DataFrame, table: str) -> DataFrame:
-    return accepted_rows(classify(raw), table)
+def typed_events(
+    raw: DataFrame, table: str, access_digits: str = ACCESS_DIGITS
+) -> DataFrame:
+    return accepted_rows(classify(raw, access_digits), table)
 
 
-def rejected(raw: DataFrame) -> DataFrame:
-    return rejected_rows(classify(raw))
+def rejected(raw: DataFrame, access_digits: str = ACCESS_DIGITS) -> DataFrame:
+    return rejected_rows(classify(raw, access_digits))
 
 
 def measure_columns(table: str) -> list[str]:
@@ -176,7 +179,7 @@ def route_messages(messages: DataFrame) -> DataFrame:
         F.when(F.col("device_topic").isNull(), "topic is missing")
         .when(F.array_contains(levels, ""), "topic has an empty level")
         .when(target.isNull(), "topic matches no route")
-        .when(~levels[2].rlike(IDENTIFIER), "key level is not an identifier")
+        .when(~levels[2].rlike(whole(IDENTIFIER)), "key level is not an identifier")
     )
     routed = messages.withColumns({"_target": target, "_key": levels[2], "routing_error": problem})
     sound = F.col("routing_error").isNull()

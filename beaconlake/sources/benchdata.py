@@ -24,12 +24,15 @@ from ..operators.ingest import rejected
 BENCH_TYPES = ("click", "view", "purchase", "signup", "error")
 MEASURES = [f.name for ddl in MEASURE_DDL.values() for f in schema_of(ddl)]
 IDS_PER_BUCKET = 1_000_000
+# Ids grow with the data; the contract is told so.
+ACCESS_DIGITS = "{4,}"
 
 # 0 for a sound record, 1..21 for a broken one, 22 for one cut short (see `_spoil`).
 FAULT = """CASE WHEN event_id % 499 = 3 THEN 22
     WHEN event_id % 1009 BETWEEN 1 AND 21 THEN int(event_id % 1009) ELSE 0 END"""
 HALF = "CASE WHEN day(ts) > 15 THEN 1 ELSE 0 END"
-# Lost on the way: event_id % 97 = 5. Sent again: % 400 = 7. Stored again: % 1000 = 13.
+# Sent again: event_id % 400 = 7. Stored again: % 1000 = 13. Lost on the way: numbers of the
+# sequence, one after each 20 (every event of the table arrives).
 COPIES = """filter(array(0, CASE WHEN event_id % 400 = 7 THEN 1 END,
     CASE WHEN event_id % 1000 = 13 THEN 2 END), c -> c IS NOT NULL)"""
 INFRA = "event_type = 'error'"
@@ -116,8 +119,9 @@ def deliveries(events: DataFrame, sequenced: bool) -> DataFrame:
             source, ["user_id", "event_type", "half"], "event_id",
             F.floor(F.col("event_id") / F.lit(IDS_PER_BUCKET)), "sequence_number",
         )
-    numbered = ["sequence_number"] if sequenced else []
-    copied = source.where("event_id % 97 <> 5").selectExpr(
+    numbered = ["sequence_number + sequence_number div 20 AS sequence_number"] if sequenced else []
+    kept = ["sequence_number"] if sequenced else []
+    copied = source.selectExpr(
         "event_id", "user_id", "event_type", "value", "half", *numbered,
         f"explode({COPIES}) AS copy", "user_id % 25 AS router",
         "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) div 1000"
@@ -132,7 +136,7 @@ def deliveries(events: DataFrame, sequenced: bool) -> DataFrame:
         f"{_of_families('event_type')} AS event_type",
         "timestamp_millis(arrived_ms - floor(value * 600000.0D)) AS event_timestamp",
         f"{_uuid('9000', 'user_id * 2 + half')} AS device_session_id",
-        *numbered,
+        *kept,
         f"IF({INFRA}, {_name('network-site-agg', 'router', 2)}, {_name('site', 'user_id', 4)})"
         " AS site_id",
         f"{device} AS device_id",
@@ -154,12 +158,9 @@ OUT_OF_RANGE = {"latency_ms": "-1.0D", "download_mbps": "0.0D", "cpu_pct": "101.
 STAMP = "date_format(event_timestamp, \"yyyy-MM-dd'T'HH:mm:ss{}'Z'\")"
 
 
-def raw_records(spark: SparkSession, sf_dir: str, only_faulty: bool = False) -> DataFrame:
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deliveries as broker records: JSON bytes with the faults built in."""
-    sent = deliveries(_table(spark, sf_dir, "events"), sequenced=not only_faulty)
-    if only_faulty:
-        # A broken record is rejected whatever its sequence number is.
-        sent = sent.where("fault <> 0").withColumn("sequence_number", F.lit(1).cast("bigint"))
+    sent = deliveries(_table(spark, sf_dir, "events"), sequenced=True)
 
     def measure(name: str) -> str:
         sql = name
@@ -220,7 +221,7 @@ def network_tables(
     spark: SparkSession, sf_dir: str, sequenced: bool = False, sequenced_stack: bool = False
 ) -> NetworkTables:
     """The model's tables. Broken deliveries are not in the event tables; reading
-    `rejected_events` runs them through ingestion's own validation. Sequence numbers are
+    `rejected_events` runs all deliveries through ingestion's own validation. Sequence numbers are
     in the event tables with `sequenced`, in stacked reads with `sequenced_stack`."""
     events = _table(spark, sf_dir, "events")
     stored = inventory(spark, sf_dir)
@@ -234,7 +235,7 @@ def network_tables(
             return rows.where("fault = 0").select(*columns)
         if name in REFERENCE_TABLES:
             return stored[name]()
-        return rejected(raw_records(spark, sf_dir, only_faulty=True))
+        return rejected(raw_records(spark, sf_dir), ACCESS_DIGITS)
 
     return NetworkTables(
         load,
@@ -243,7 +244,7 @@ def network_tables(
 
 
 # Inventory: customers are access devices, nations aggregation routers, regions backhaul.
-# Customers with c_custkey % 40 = 9 have a site and an edge but were left out of `devices`.
+# Devices of customers with c_custkey % 40 = 9 are in `devices` under another name.
 NATION_GEOID = "concat('05', lpad(string({0}), 10, '0'))"
 
 
@@ -321,8 +322,10 @@ def inventory(spark: SparkSession, sf_dir: str) -> dict:
         )
 
     def devices() -> DataFrame:
-        access = customer.where("c_custkey % 40 <> 9").selectExpr(
-            f"{_name('device', 'c_custkey', 4)} AS device_id", f"{_name('site', 'c_custkey', 4)} AS site_id",
+        access = customer.selectExpr(
+            f"IF(c_custkey % 40 = 9, {_name('spare', 'c_custkey', 4)},"
+            f" {_name('device', 'c_custkey', 4)}) AS device_id",
+            f"{_name('site', 'c_custkey', 4)} AS site_id",
             "lower(c_mktsegment) AS provider_id", "c_mktsegment AS provider_name",
             f"{TECHNOLOGY} AS technology",
             _pick("c_custkey % 4", "ont", "cable_modem", "cpe", "terminal") + " AS device_class",
@@ -445,7 +448,9 @@ def delivered_inventory(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame
         "device_id", F.lit("ixp-02"))
     edges = numbered("device_dependencies", "downstream_device_id", "device")
     edges = changed(
-        edges.where("n IS NULL OR n % 80 <> 1"),
+        edges,
+        downstream_device_id="IF(n % 80 = 1, concat('gone-', downstream_device_id),"
+                             " downstream_device_id)",
         upstream_device_id="CASE WHEN n % 81 = 2 THEN 'agg-99'"
                            " WHEN n % 83 = 4 THEN downstream_device_id"
                            " ELSE upstream_device_id END",

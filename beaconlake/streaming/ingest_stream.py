@@ -9,18 +9,21 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..contracts import ACCESS_DIGITS
 from ..model import REJECT_TABLE
 from ..operators.ingest import accepted_rows, classify, rejected_rows
 from ..sources.lake import STREAMED_TABLES, Lake
 
 
-def route_batch(lake: Lake, raw: DataFrame, batch_id: str) -> None:
+def route_batch(
+    lake: Lake, raw: DataFrame, batch_id: str, access_digits: str = ACCESS_DIGITS
+) -> None:
     """Write one batch of raw records to the five event tables and the reject table.
 
     All six folders of the batch are replaced, also with nothing, so a batch written
     half and retried leaves one copy even when a record now goes to another table.
     """
-    classified = classify(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    classified = classify(raw, access_digits).persist(StorageLevel.MEMORY_AND_DISK)
 
     @inheritable_thread_target(raw.sparkSession)
     def write(table: str) -> None:

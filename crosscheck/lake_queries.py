@@ -6,7 +6,7 @@ from __future__ import annotations
 import json
 import uuid
 from datetime import timedelta
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from beaconlake.sources.lake import STREAMED_TABLES, Lake, day_source
 from beaconlake.streaming.ingest_stream import batch_name, route_batch, start_ingest
 
 ALL_HISTORY = timedelta(days=60)
+route = partial(route_batch, access_digits=benchdata.ACCESS_DIGITS)
 
 
 def _raw_folder(spark: SparkSession, sf_dir: str, folder: str, files: int = 6) -> str:
@@ -34,7 +35,7 @@ def _ingested(spark: SparkSession, sf_dir: str, files_per_batch: int = 2) -> Lak
     lake = Lake(spark, f"{folder}/lake")
     records = raw.file_records(spark, path, files_per_batch)
     start_ingest(records, lake, f"{folder}/checkpoint", f"q{uuid.uuid4().hex[:8]}",
-                 every=None).awaitTermination()
+                 every=None, route=route).awaitTermination()
     return lake
 
 
@@ -64,7 +65,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark)
     lake = Lake(spark, f"{folder}/lake")
-    route_batch(lake, benchdata.raw_records(spark, sf_dir), batch_name("once", 0))
+    route(lake, benchdata.raw_records(spark, sf_dir), batch_name("once", 0))
     return _counts(lake)
 
 
@@ -74,7 +75,7 @@ def replay_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(spark, f"{folder}/lake")
     records = spark.read.parquet(_raw_folder(spark, sf_dir, folder))
     for _ in range(2):
-        route_batch(lake, records, batch_name("again", 0))
+        route(lake, records, batch_name("again", 0))
     return _counts(lake).groupBy("table_name").agg(F.sum("rows").alias("rows"))
 
 
@@ -143,7 +144,7 @@ def compact_during_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(spark, f"{folder}/lake")
     stream = start_ingest(
         raw.file_records(spark, path, 2), lake, f"{folder}/checkpoint",
-        f"q{uuid.uuid4().hex[:8]}", every=None)
+        f"q{uuid.uuid4().hex[:8]}", every=None, route=route)
     while stream.isActive:
         maintenance.compact(lake, "connectivity_events")
     stream.awaitTermination()
@@ -205,16 +206,15 @@ def _clean(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _valid(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The inventory without what belongs to customers missing from `devices`."""
+    """The inventory with every dependency under the name that its device has in `devices`."""
     tables = _clean(spark, sf_dir)
-    devices = tables["devices"]
-    return {
-        **tables,
-        "sites": tables["sites"].join(devices.select("site_id"), "site_id", "left_semi"),
-        "device_dependencies": tables["device_dependencies"].join(
-            devices.select(F.col("device_id").alias("downstream_device_id")),
-            "downstream_device_id", "left_semi"),
-    }
+    known = tables["devices"].select(
+        F.col("device_id").alias("downstream_device_id"), F.lit(True).alias("known"))
+    edges = tables["device_dependencies"].join(known, "downstream_device_id", "left")
+    low = F.when(F.col("known"), F.col("downstream_device_id")).otherwise(
+        F.regexp_replace("downstream_device_id", "^device", "spare"))
+    edges = edges.withColumn("downstream_device_id", low).drop("known")
+    return {**tables, "device_dependencies": edges}
 
 
 def read_reference(spark: SparkSession, sf_dir: str) -> DataFrame:

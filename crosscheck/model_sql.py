@@ -59,11 +59,11 @@ CTES: dict[str, str] = {
                user_id % 25 AS router
         FROM events""",
     "copies": """
-        SELECT *, 0 AS copy FROM src WHERE event_id % 97 <> 5
+        SELECT *, 0 AS copy FROM src
         UNION ALL
-        SELECT *, 1 AS copy FROM src WHERE event_id % 97 <> 5 AND event_id % 400 = 7
+        SELECT *, 1 AS copy FROM src WHERE event_id % 400 = 7
         UNION ALL
-        SELECT *, 2 AS copy FROM src WHERE event_id % 97 <> 5 AND event_id % 1000 = 13""",
+        SELECT *, 2 AS copy FROM src WHERE event_id % 1000 = 13""",
     "delivered": f"""
         SELECT fault, bench_type, {TABLES} AS table_name,
                1 AS schema_version,
@@ -73,7 +73,7 @@ CTES: dict[str, str] = {
                    AS event_timestamp,
                format('00000000-0000-4000-9000-{{:012x}}', user_id * 2 + half)
                    AS device_session_id,
-               sequence_number,
+               sequence_number + sequence_number // 20 AS sequence_number,
                CASE WHEN bench_type = 'error' THEN format('network-site-agg-{{:02d}}', router)
                     ELSE format('site-{{:04d}}', user_id) END AS site_id,
                CASE WHEN bench_type = 'error' THEN format('agg-{{:02d}}', router)
@@ -216,7 +216,8 @@ CTES: dict[str, str] = {
         SELECT 'network-site-ixp-01', 34.7::DOUBLE, -92.3::DOUBLE, 'central', '050000000000',
                true, 'Area 0', 0.0::DOUBLE, 'Place 0', 0.0::DOUBLE, 'network_facility', false""",
     "devices": """
-        SELECT format('device-{:04d}', c_custkey) AS device_id,
+        SELECT CASE WHEN c_custkey % 40 = 9 THEN format('spare-{:04d}', c_custkey)
+                    ELSE format('device-{:04d}', c_custkey) END AS device_id,
                format('site-{:04d}', c_custkey) AS site_id,
                lower(c_mktsegment) AS provider_id, c_mktsegment AS provider_name,
                CASE c_custkey % 4 WHEN 0 THEN 'fiber' WHEN 1 THEN 'coax'
@@ -232,7 +233,7 @@ CTES: dict[str, str] = {
                CASE (c_custkey // 4) % 3 WHEN 0 THEN 10.0 WHEN 1 THEN 30.0
                     ELSE 100.0 END::DOUBLE AS advertised_upload_mbps,
                (DATE '2020-01-01' + (c_custkey % 1000)::INT)::DATE AS deployment_date
-        FROM customer WHERE c_custkey % 40 <> 9
+        FROM customer
         UNION ALL
         SELECT format('agg-{:02d}', n_nationkey), format('network-site-agg-{:02d}', n_nationkey),
                'transit', 'transit', 'fiber', 'aggregation_router', 'RTR-EDGE-2000',
@@ -300,14 +301,14 @@ CTES: dict[str, str] = {
         UNION ALL SELECT * REPLACE ('ixp-02' AS device_id) FROM spoilt_devices
         WHERE device_id = 'ixp-01'""",
     "d_edges": """
-        SELECT downstream_device_id,
+        SELECT CASE WHEN n % 80 = 1 THEN 'gone-' || downstream_device_id
+                    ELSE downstream_device_id END AS downstream_device_id,
                CASE WHEN n % 81 = 2 THEN 'agg-99' WHEN n % 83 = 4 THEN downstream_device_id
                     ELSE upstream_device_id END AS upstream_device_id,
                CASE WHEN n % 82 = 3 THEN 'aggregation_backhaul' ELSE dependency_type END
                    AS dependency_type
         FROM (SELECT *, CASE WHEN downstream_device_id LIKE 'device-%'
                   THEN substr(downstream_device_id, 8)::INT END AS n FROM device_dependencies)
-        WHERE n IS NULL OR n % 80 <> 1
         UNION ALL SELECT 'ixp-02', 'ixp-01', 'backhaul_ixp'""",
     "d_census": """
         SELECT * REPLACE (CASE WHEN substr(block_group_geoid, 3)::BIGINT % 7 = 3 THEN -5

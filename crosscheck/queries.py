@@ -61,13 +61,13 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classified = ingest.classify(benchdata.raw_records(spark, sf_dir))
+    classified = ingest.classify(benchdata.raw_records(spark, sf_dir), benchdata.ACCESS_DIGITS)
     return ingest.rejected_rows(classified).select(
         "_kafka_topic", "_kafka_partition", "_kafka_offset", "rejection_reason")
 
 
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classified = ingest.classify(benchdata.raw_records(spark, sf_dir))
+    classified = ingest.classify(benchdata.raw_records(spark, sf_dir), benchdata.ACCESS_DIGITS)
     prefix = ingest.PREFIX
     return (
         classified.where(F.col("rejection_reason").startswith(prefix))
@@ -77,7 +77,7 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.rejected(benchdata.raw_records(spark, sf_dir)).select(
+    return ingest.rejected(benchdata.raw_records(spark, sf_dir), benchdata.ACCESS_DIGITS).select(
         "_kafka_topic", "_kafka_partition", "_kafka_offset", "_kafka_timestamp",
         "rejection_reason", "_kafka_key")
 
@@ -85,7 +85,7 @@ def rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _typed(table: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = benchdata.raw_records(spark, sf_dir)
-        return ingest.typed_events(raw, table).drop("_ingested_at")  # processing time differs
+        return ingest.typed_events(raw, table, benchdata.ACCESS_DIGITS).drop("_ingested_at")  # processing time differs
     return run
 
 

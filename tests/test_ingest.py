@@ -1,9 +1,11 @@
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from beaconlake.model import ALL_TABLES, event_schema, family_of
 from beaconlake.operators import ingest
 
-from .records import BROKEN, CONNECTIVITY, VALID, changed, encoded, raw
+from .records import ARRIVED, BROKEN, CONNECTIVITY, VALID, changed, encoded, raw
 
 
 def _reasons(spark, records):
@@ -65,7 +67,7 @@ def test_rejects_keep_the_exact_bytes(spark):
     assert bytes(row["raw_value"]) == value
     assert row["raw_payload"] == '{"a":"��"}'
     assert (row["_kafka_topic"], row["_kafka_offset"], row["_kafka_key"]) == (
-        "network.state", 0, "device-0001")
+        "network.state", 0, CONNECTIVITY["device_id"])
 
 
 def test_typed_rows_have_the_stored_schema_and_values(spark):
@@ -73,14 +75,15 @@ def test_typed_rows_have_the_stored_schema_and_values(spark):
     assert [(f.name, f.dataType) for f in df.schema] == [
         (f.name, f.dataType) for f in event_schema("connectivity_events")]
     row = df.first()
-    assert row["event_timestamp"] == datetime(2026, 8, 19, 14, 32, 10, 125000)
-    assert row["_kafka_timestamp"] == datetime(2026, 8, 19, 14, 32, 11)
-    assert (row["latency_ms"], row["jitter_ms"], row["packet_loss_pct"]) == (14.217, 2.104, 0.03)
+    sent = datetime.strptime(CONNECTIVITY["event_timestamp"], "%Y-%m-%dT%H:%M:%S.%fZ")
+    assert (row["event_timestamp"], row["_kafka_timestamp"]) == (sent, ARRIVED)
+    assert {name: row[name] for name in CONNECTIVITY["payload"]} == CONNECTIVITY["payload"]
 
 
 def test_every_record_is_accepted_or_rejected_once(spark, sf_dir):
     from beaconlake.sources import benchdata
-    classified = ingest.classify(benchdata.raw_records(spark, sf_dir)).cache()
+    classified = ingest.classify(
+        benchdata.raw_records(spark, sf_dir), benchdata.ACCESS_DIGITS).cache()
     total = classified.count()
     accepted = classified.where("target_table IS NOT NULL").count()
     rejected = classified.where("rejection_reason IS NOT NULL").count()
@@ -100,6 +103,7 @@ def test_routing(spark):
         "network/site-1/device-1/firmware": (None, "topic matches no route"),
         "network/site-1/device-1": (None, "topic matches no route"),
         "network/site-1/Device-1/health": (None, "key level is not an identifier"),
+        "network/site-1/device-1\n/health": (None, "key level is not an identifier"),
         "other/site-1/device-1/health": (None, "topic matches no route"),
     }
     messages = spark.createDataFrame(
@@ -119,3 +123,17 @@ def test_skipped_offsets_ignore_first_starts(spark):
 
 def test_table_names_are_known():
     assert len(ALL_TABLES) == 10
+
+
+def test_ids_of_five_digits_are_accepted_when_the_contract_says_so(spark, sf_dir):
+    """Bench events moved to user ids over 9,999: every sound delivery is accepted."""
+    from beaconlake.sources import benchdata
+    records = benchdata.raw_records(spark, sf_dir).withColumn("value", F.encode(F.regexp_replace(
+        F.decode("value", "UTF-8"), '"(site|device)-([0-9]{4})"', '"$1-1$2"'), "UTF-8"))
+    records = records.where("is_valid_utf8(string(value))")
+    def accepted(*digits):
+        return ingest.classify(records, *digits).where("target_table IS NOT NULL").count()
+    sound = ingest.classify(
+        benchdata.raw_records(spark, sf_dir), benchdata.ACCESS_DIGITS).where(
+        "target_table IS NOT NULL").count()
+    assert accepted(benchdata.ACCESS_DIGITS) == sound > accepted()

@@ -1,11 +1,13 @@
+import csv
 import json
-from datetime import timedelta
+import re
+from datetime import datetime, timedelta
 
 import pytest
 
 from beaconlake.operators import export, maintenance, quality
 from beaconlake.sources import benchdata, storage
-from beaconlake.sources.lake import Lake
+from beaconlake.sources.lake import STREAMED_TABLES, Lake
 from beaconlake.streaming.ingest_stream import batch_name, route_batch
 
 from .records import CONNECTIVITY, encoded, raw
@@ -35,14 +37,12 @@ def test_plan_is_justified_and_bounded(spark):
     assert plan["fine"][0] == "compact" and "day partitions" in plan["fine"][1]
 
 
-def test_table_allowlist():
-    with pytest.raises(ValueError):
-        maintenance.chosen_tables(["connectivity_events", "x; DROP TABLE y"])
-    with pytest.raises(ValueError):
-        maintenance.chosen_tables([])
-    assert maintenance.chosen_tables(
-        ["throughput_events", "connectivity_events", "throughput_events"]
-    ) == ["connectivity_events", "throughput_events"]
+def test_only_known_tables_are_maintained():
+    for wrong in ([], ["sites"], ["rejected_events", "rejected_events;--"]):
+        with pytest.raises(ValueError):
+            maintenance.chosen_tables(wrong)
+    shuffled = sorted(STREAMED_TABLES, reverse=True)
+    assert maintenance.chosen_tables(shuffled + shuffled[:2]) == sorted(STREAMED_TABLES)
 
 
 def test_compaction_keeps_rows_and_the_newest_batch(spark, tmp_path):
@@ -152,23 +152,29 @@ def test_readers_see_one_copy_when_compaction_dies_before_the_clean_up(
     assert maintenance.fingerprint(lake.read("connectivity_events")) == before
 
 
-def test_csv_bytes(spark, tmp_path):
-    df = spark.sql(
-        "SELECT 'say \"hi\", ok' AS name, CAST(NULL AS string) AS note, '' AS blank, 2.5D AS n,"
-        " true AS yes, TIMESTAMP '2026-09-29 04:00:00' AS at, 0.00000001D AS tiny").coalesce(1)
+def test_csv_reads_back_and_tampering_shows(spark, tmp_path):
+    """Texts that need quoting, and every kind of value, next to Python's own CSV reader."""
+    texts = ["plain", "a,b", 'quote " inside', "two\nlines", "tail\r", " spaced "]
+    moment = datetime(2024, 2, 29, 6, 7, 8)
+    df = spark.createDataFrame(
+        [(i, t, None, i % 2 == 0, moment + timedelta(days=i)) for i, t in enumerate(texts)],
+        "n int, t string, missing string, even boolean, at timestamp").coalesce(1)
     metadata = export.export_rows(df, str(tmp_path / "out"))
     part, = (tmp_path / "out").glob("*.csv")
-    assert part.read_bytes() == (
-        b"name,note,blank,n,yes,at,tiny\r\n"
-        b'"say ""hi"", ok",,,2.5,true,2026-09-29T04:00:00+00:00,1.0E-8\r\n')
-    assert metadata["rows"] == 1
+    with open(part, newline="", encoding="utf-8") as f:
+        header, *rows = list(csv.reader(f))
+    assert header == df.columns and metadata["rows"] == len(rows) == len(texts)
+    for i, got in enumerate(rows):
+        assert got[:4] == [str(i), texts[i], "", str(i % 2 == 0).lower()]
+        assert datetime.fromisoformat(got[4]).replace(tzinfo=None) == moment + timedelta(days=i)
+    assert part.read_bytes().endswith(b"\r\n")
     assert json.loads((tmp_path / "out.json").read_text())["sha256"] == metadata["sha256"]
     assert export.verify_export(spark, metadata).first().asDict() == {
-        "sha256_matches": True, "row_count_matches": True, "rows_read": 1}
+        "sha256_matches": True, "row_count_matches": True, "rows_read": len(texts)}
     with pytest.raises(Exception, match="already exists"):
         export.export_rows(df, str(tmp_path / "out"))
     (part.parent / f".{part.name}.crc").unlink()  # the file system's own tamper check
-    part.write_bytes(part.read_bytes() + b"x,,,1,true,2026-09-29T04:00:00Z,1.0\r\n")
+    part.write_bytes(part.read_bytes() + b"9,extra,,true,\r\n")
     tampered = export.verify_export(spark, metadata).first()
     assert not tampered["sha256_matches"] and not tampered["row_count_matches"]
 
@@ -182,9 +188,12 @@ def test_exports_refuse_duplicate_columns_and_leave_nothing_on_failure(spark, tm
 
 
 def test_export_names_are_unique_per_run_and_attempt():
-    a = export.export_folder("out", "device_statistics", "manual__2026-09-29T04:00:00+00:00", 1)
-    assert a == "out/device_statistics__manual__2026-09-29T04_00_00_00_00__try1"
-    assert a != export.export_folder("out", "device_statistics", "x", 1)
+    runs = ["nightly 7:30", "nightly+7:31", "by-hand/1"]
+    names = [export.export_folder("out", report, run, attempt)
+             for report in ("late_records", "incident_impact") for run in runs
+             for attempt in (1, 2)]
+    assert len(set(names)) == len(names)
+    assert all(re.fullmatch(r"out/[A-Za-z0-9_.-]+", n) for n in names)
 
 
 def test_a_value_over_the_threshold_fires_with_its_severity(spark):

@@ -6,7 +6,7 @@ from beaconlake.sources import benchdata, raw
 from beaconlake.sources.lake import STREAMED_TABLES, Lake
 from beaconlake.streaming.ingest_stream import route_batch, start_ingest
 
-from .records import CONNECTIVITY, encoded
+from .records import ARRIVED, CONNECTIVITY, encoded
 from .records import raw as raw_rows
 
 
@@ -32,7 +32,7 @@ def test_a_crash_after_the_write_leaves_one_copy(spark, records, expected, tmp_p
     lake, crashes = Lake(spark, str(tmp_path / "lake")), []
 
     def crash_once(target, batch, batch_id):
-        route_batch(target, batch, batch_id)
+        route_batch(target, batch, batch_id, benchdata.ACCESS_DIGITS)
         if not crashes:
             crashes.append(batch_id)
             raise RuntimeError("lost before the commit")
@@ -72,15 +72,13 @@ def test_a_retried_record_can_move_to_another_table(spark, tmp_path):
 
 
 def test_day_bounds_prune_partitions(spark, tmp_path):
-    from datetime import datetime
-
     from pyspark.sql import functions as F
 
     from beaconlake.functions.timing import since
     lake = Lake(spark, str(tmp_path / "lake"))
     route_batch(lake, raw_rows(spark, encoded(CONNECTIVITY)), "run-0000000000")
     recent = since(lake.read("connectivity_events"), "event_timestamp",
-                   F.lit(datetime(2026, 8, 19)))
+                   F.lit(ARRIVED.replace(hour=0)))
     plan = recent._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "event_day" in filters and recent.count() == 1
@@ -88,7 +86,7 @@ def test_day_bounds_prune_partitions(spark, tmp_path):
 
 
 def test_reports_and_checks_prune_every_event_scan(spark, tmp_path):
-    from datetime import datetime, timedelta
+    from datetime import timedelta
 
     from pyspark.sql import functions as F
 
@@ -96,7 +94,7 @@ def test_reports_and_checks_prune_every_event_scan(spark, tmp_path):
     from beaconlake.plans import accounting
     lake = Lake(spark, str(tmp_path / "lake"))
     route_batch(lake, raw_rows(spark, encoded(CONNECTIVITY)), "run-0000000000")
-    tables, now = lake.tables(), F.lit(datetime(2026, 8, 19, 15))
+    tables, now = lake.tables(), F.lit(ARRIVED.replace(hour=22))
 
     def days_filtered(df):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
