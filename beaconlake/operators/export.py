@@ -19,6 +19,7 @@ from ..sources import storage
 CSV_OPTIONS = {
     "header": "true", "encoding": "UTF-8", "lineSep": "\r\n", "quote": '"', "escape": '"',
     "nullValue": "", "emptyValue": "", "dateFormat": "yyyy-MM-dd",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 ISO = {"timestamp": ("yyyy-MM-dd'T'HH:mm:ss", "xxx"), "timestamp_ntz": ("yyyy-MM-dd'T'HH:mm:ss", "")}
 ROWS_PER_FILE = 1_000_000
