@@ -2,13 +2,13 @@
 
 Tokens are runs of letters and digits or runs of other signs; uni- and bigrams fall into BUCKETS
 hash buckets. Two multinomials over the buckets are counted: one over all documents, one over
-trusted ones (quality 1), of which a documented, bounded sample is used: the first TRUSTED by
-hash. A document's score is the mean over its n-grams of log p(trusted) - log p(raw), so that
-length does not matter. One threshold, the one that best separates all labelled rows, decides for
-every document alike.
+every trusted one (quality 1). A document's score is the mean over its n-grams of
+log p(trusted) - log p(raw), so that length does not matter. One threshold, the one that best
+separates all labelled rows, decides for every document alike.
 
-Counts are summed in each task first, so BUCKETS rows per task are shuffled, and the two vectors
-that come to the driver have BUCKETS entries at any size.
+Counts are summed in each task first, so BUCKETS numbers per task are shuffled, and the two vectors
+that come to the driver have BUCKETS entries at any size. To find the trusted documents, those
+that an id filter lets through are shuffled with their texts and met with the ids.
 
 Cases: a null or empty text has no words, score 0 and fails the base rules. Labels without
 quality are ignored; without any trusted label all scores are 0 and the base rules decide alone.
@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import saved
+from .common import hash_slot, id_filter, in_filter, saved
 
 BUCKETS = 1 << 15
+BLOCK = 256
 SMOOTHING = 1.0
-TRUSTED = 20_000
 MIN_WORDS = 50
 # The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -73,32 +73,64 @@ def ngrams(hasher: tb.Hasher, chunk: tb.Chunk) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher, sums = tb.Hasher(7), np.zeros((2, BUCKETS), np.int64)
+    hasher, sums = tb.Hasher(7), np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        trusted = np.asarray(batch.column("trusted").to_pylist(), bool)
         for chunk in tb.chunks(batch.column("text")):
-            buckets, first = ngrams(hasher, chunk)
-            sums[0] += np.bincount(buckets, minlength=BUCKETS)
-            good = trusted[chunk.first_row: chunk.first_row + len(first) - 1]
-            sums[1] += np.bincount(buckets[np.repeat(good, np.diff(first))], minlength=BUCKETS)
-    some = np.flatnonzero(sums[0])
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(some.astype(np.int32)), pa.array(sums[0][some]), pa.array(sums[1][some])],
-        names=["bucket", "raw", "trusted"])
+            sums += np.bincount(ngrams(hasher, chunk)[0], minlength=BUCKETS)
+    yield _blocks(sums)
+
+
+_BLOCKS = "block int, n array<long>"
+
+
+def _blocks(sums: np.ndarray) -> pa.RecordBatch:
+    """One row per BLOCK buckets that are not all 0."""
+    rows = sums.reshape(-1, BLOCK)
+    some = np.flatnonzero(rows.any(axis=1))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(some.astype(np.int32)), pa.array(rows[some].tolist(), pa.list_(pa.int64()))],
+        names=["block", "n"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = np.zeros((BUCKETS // BLOCK, BLOCK), np.int64)
+    for batch in batches:
+        part = batch.column("n").flatten().to_numpy().reshape(-1, BLOCK)
+        np.add.at(sums, batch.column("block").to_numpy(), part)
+    yield _blocks(sums.reshape(-1))
+
+
+def counts(texts: DataFrame) -> np.ndarray:
+    """N-grams in each bucket over all rows of `text`."""
+    rows = texts.mapInArrow(_counts, _BLOCKS).repartition("block").mapInArrow(_added, _BLOCKS)
+    sums = np.zeros((BUCKETS // BLOCK, BLOCK))
+    for r in rows.collect():
+        sums[r["block"]] += r["n"]
+    return sums.reshape(-1)
+
+
+def _passing(words: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = batch.filter(pa.array(in_filter(words, batch.column("slot").to_numpy())))
+            yield hit.select(["doc_id", "text"])
+    return run
+
+
+def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`text` of every row of docs whose id is trusted."""
+    good = labels.where("quality = 1 and doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    near = docs.select("doc_id", "text", hash_slot()).mapInArrow(
+        _passing(id_filter(good)), "doc_id long, text string")
+    # The ids of a partition are hashed, so texts are neither sorted nor sent everywhere, whatever the size.
+    return near.join(good.hint("shuffle_hash"), "doc_id", "left_semi").select("text")
 
 
 def fit_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Log-likelihood ratio of each bucket."""
-    # At most TRUSTED ids: small enough to be sent to every task.
-    good = F.broadcast(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-                       .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED))
-    marked = docs.select("doc_id", "text").join(
-        good.withColumn("trusted", F.lit(True)), "doc_id", "left").select(
-        "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    counted = marked.mapInArrow(_counts, "bucket int, raw long, trusted long").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas()
-    sums = np.zeros((2, BUCKETS))
-    sums[:, counted.bucket] = counted[["raw", "trusted"]].to_numpy().T
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sums = np.stack([counts(texts.select("text")), counts(trusted_texts(texts, labels))])
     if not sums[1].any():
         return np.zeros(BUCKETS)
     shares = (sums + SMOOTHING) / (sums.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)

@@ -333,6 +333,24 @@ def test_quality_counts(docs, texts, labels):
     assert (judged.kept == (judged.quality == 1)).mean() > 0.95
 
 
+def test_quality_counts_every_trusted_text(spark):
+    """More trusted ids than any bound of a sample: all are counted, and only they."""
+    n = 30_000
+    docs = spark.range(n + 500).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < n, "gut").otherwise("schlecht").alias("text"))
+    marks = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    assert quality_rules.trusted_texts(docs, marks).groupBy("text").count().collect() == [("gut", n)]
+    ratio = quality_rules.fit_ratio(docs, marks)
+    bucket = {}
+    for word in ("gut", "schlecht"):
+        chunk = next(textbytes.chunks(pa.array([word])))
+        bucket[word] = quality_rules.ngrams(textbytes.Hasher(7), chunk)[0][0]
+    size = quality_rules.BUCKETS
+    want = np.log((n + 1) / (n + size)) - np.log((n + 1) / (n + 500 + size))
+    assert abs(ratio[bucket["gut"]] - want) < 1e-12
+    assert abs(ratio[bucket["schlecht"]] - np.log(1 / (n + size)) + np.log(501 / (n + 500 + size))) < 1e-12
+
+
 def test_quality_of_odd_rows(odd, none, labels):
     rows = quality_rules.judged(odd, labels).toPandas()
     want = sorted(plain.quality_counts(t) for _, t, *_ in plain.odd_rows())
