@@ -7,8 +7,10 @@ toxic sentence is enough. The weights are fitted to document labels by gradient
 the noisy-or, so sentences are scored, and found, without a sentence label.
 
 The fit reads a documented, bounded sample of labelled documents: of each label the TRAIN_DOCS
-first ones by hash, texts up to TRAIN_BYTES, from rows whose crc32(doc_id as text) modulo FOLDS is
-not 0. Scoring reads every whole text, without label, language, source or id.
+first ones by hash, until they hold TRAIN_BYTES together, from rows whose crc32(doc_id as text)
+modulo FOLDS is not 0. Texts are whole and of any length. Each sampled row weighs as many rows as
+it stands for, so that the share of toxic rows is that of all training labels at any size.
+Scoring reads every whole text, without label, language, source or id.
 
 Cases: a null, empty or blank text has no sentence; its noisy-or is 0. Without labels of both
 kinds every score is 0. A doc_id that is labelled twice counts as toxic if one label says so.
@@ -22,15 +24,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import id_crc
+from .common import id_crc, saved
 
 FEATURES = 1 << 20
 TRAIN_DOCS = 4000
-TRAIN_BYTES = 16_384
+TRAIN_BYTES = 1 << 25
 FOLDS = 5
 # A feature takes part if so many documents hold it and its chi-square against the labels is so
 # high; of the invented or rare words of a document most would else be learned by heart.
@@ -124,8 +126,9 @@ def telling(features: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.ndar
     return (in_any >= LEAST_DOCS) & (chi2 >= LEAST_CHI2)
 
 
-def fit(features: np.ndarray, start: np.ndarray, first: np.ndarray, toxic: np.ndarray) -> Model:
-    """Gradient descent (Adam) on the documents' cross-entropy with a small weight decay."""
+def fit(features: np.ndarray, start: np.ndarray, first: np.ndarray, toxic: np.ndarray,
+        weight: np.ndarray) -> Model:
+    """Gradient descent (Adam) on the documents' weighted cross-entropy with a small weight decay."""
     sentence = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(features))))
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     chosen = telling(features, doc[sentence], toxic)
@@ -133,7 +136,7 @@ def fit(features: np.ndarray, start: np.ndarray, first: np.ndarray, toxic: np.nd
     part = chosen[features]
     features, sentence = np.searchsorted(names, features[part]), sentence[part]
     weights, bias = np.zeros(len(names)), -5.0
-    each = 1 / len(toxic)
+    each = weight / weight.sum()
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for step in range(1, STEPS + 1):
         p = _logistic(np.bincount(sentence, weights[features], len(start)) + bias)
@@ -154,8 +157,12 @@ def fit(features: np.ndarray, start: np.ndarray, first: np.ndarray, toxic: np.nd
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The model of all rows of a partition; texts in a fixed order, so that sums do not depend on
     the order in which tasks answered."""
-    rows = sorted((toxic, text) for batch in batches for toxic, text in zip(
-        batch.column("toxic").to_pylist(), batch.column("text").to_pylist()))
+    rows, of_label = [], {}
+    for batch in batches:
+        toxic, labelled, texts = (batch.column(c).to_pylist() for c in ("toxic", "labelled", "text"))
+        rows += zip(toxic, texts)
+        of_label.update(zip(toxic, labelled))
+    rows.sort()
     toxic = np.array([t for t, _ in rows]) == 1
     if len(rows) == 0 or toxic.all() or not toxic.any():
         return
@@ -167,7 +174,8 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start.append(s.start + held)
         first.append(s.first[1:] + first[-1][-1])
         held += len(s.features)
-    model = fit(np.concatenate(features), np.concatenate(start), np.concatenate(first), toxic)
+    weight = np.where(toxic, of_label[1] / toxic.sum(), of_label[0] / (~toxic).sum())
+    model = fit(np.concatenate(features), np.concatenate(start), np.concatenate(first), toxic, weight)
     names = np.flatnonzero(model.weights)
     yield pa.RecordBatch.from_arrays([
         pa.array([names.tolist()], pa.list_(pa.int32())),
@@ -176,21 +184,34 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_ids(labels: DataFrame, per_label: int) -> DataFrame:
-    """Labelled ids of the training folds: at most `per_label` of each label, the first by hash."""
+    """Labelled ids of the training folds: at most `per_label` of each label, the first by hash;
+    `labelled` is how many there are of the label."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         F.max("toxic").alias("toxic")).where(id_crc() % FOLDS != 0)
     sides = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
              for t in (0, 1)]
-    return sides[0].unionByName(sides[1])
+    counts = known.groupBy("toxic").agg(F.count(F.lit(1)).alias("labelled"))
+    return sides[0].unionByName(sides[1]).join(F.broadcast(counts), "toxic")
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS,
+                  total_bytes: int = TRAIN_BYTES) -> DataFrame:
+    """`toxic`, `labelled` and `text` of the sample."""
+    # At most 2 * per_label rows of a few numbers: small enough to be sent to every task.
+    ids = saved(training_ids(labels, per_label))
+    texts = docs.select("doc_id", "text").where("text is not null")
+    sizes = texts.select("doc_id", F.octet_length("text").alias("bytes")).join(
+        F.broadcast(ids), "doc_id").groupBy("toxic", "labelled", "doc_id").agg(F.sum("bytes").alias("bytes"))
+    before = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
+        Window.unboundedPreceding, -1)
+    chosen = sizes.withColumn("before", F.coalesce(F.sum("bytes").over(before), F.lit(0))).where(
+        F.col("before") < total_bytes).select("doc_id", "toxic", "labelled")
+    return texts.join(F.broadcast(chosen), "doc_id").select("toxic", "labelled", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> Model:
-    # At most 2 * per_label rows of two numbers: small enough to be sent to every task.
-    ids = F.broadcast(training_ids(labels, per_label))
-    rows = docs.select("doc_id", "text").where(
-        F.octet_length("text") <= TRAIN_BYTES).join(ids, "doc_id").select("toxic", "text")
     # The sample is bounded by its two parameters, so one task can fit it.
-    found = rows.repartition(1).mapInArrow(
+    found = training_rows(docs, labels, per_label).repartition(1).mapInArrow(
         _fitted, "names array<int>, weights array<double>, bias double").collect()
     if not found:
         return Model(np.zeros(FEATURES), -50.0)

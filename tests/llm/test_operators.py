@@ -197,6 +197,32 @@ def test_toxicity_finds_the_sentence(spark):
     assert dict(zip(got.doc_id, got.held_out)) == fold
 
 
+def test_toxicity_keeps_the_share_of_labels(spark):
+    """A word that all toxic and a tenth of clean documents hold: with 5 % toxic, no proof."""
+    rows, marks = [], []
+    for i in range(4000):
+        toxic = i % 20 == 0
+        word = "knapp" if toxic or i % 20 in (1, 2) else "sonst"
+        rows.append((i, f"ein {word} wort."))
+        marks.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks_df = spark.createDataFrame(marks, "doc_id long, toxic int")
+    got = toxicity.scored(docs, toxicity.train(docs, marks_df, per_label=150)).toPandas()
+    near = got[got.doc_id % 20 <= 2].score
+    assert got.predicted.sum() == 0
+    assert 0.2 < near.mean() < 0.45
+
+
+def test_toxicity_learns_from_long_texts(spark):
+    rows = [(i, "gutes wort. " * 1600 + ("übler satz. " if i % 2 else "guter satz. ")) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    got = toxicity.scored(docs, toxicity.train(docs, marks)).toPandas()
+    assert (got.predicted == got.doc_id % 2).all()
+    some = toxicity.training_rows(docs, marks, total_bytes=100_000)
+    assert 2 * 5 <= some.count() <= 2 * 6
+
+
 def test_toxicity_of_odd_rows(odd, none, docs, labels):
     model = toxicity.train(docs, labels)
     rows = toxicity.scored(odd, model).toPandas()
