@@ -19,6 +19,7 @@ empty table gives an empty result. Only `doc_id` and `text` are read.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -38,8 +39,9 @@ LONG_RUN = 1000
 
 
 class Tokenizer:
-    """Ids of the byte-level vocabulary. Both libraries give the same ids; the one that reads the
-    vocabulary as ranks is several times as fast, the other copes with very long words."""
+    """Ids of the byte-level vocabulary. Both libraries give the same ids to texts without an added
+    token; the one that reads the vocabulary as ranks is several times as fast, the other copes with
+    very long words. Texts with an added token (`<|endoftext|>`) go to the latter, which knows it."""
 
     def __init__(self, vocabulary: str = VOCABULARY):
         import public_tokenizers
@@ -51,8 +53,12 @@ class Tokenizer:
         self.fast = tiktoken.Encoding(
             vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.vocabulary, self.steady = vocabulary, None
+        with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as file:
+            self.added = [token["content"] for token in json.load(file).get("added_tokens") or []]
 
     def ids(self, text: str) -> list[int]:
+        if any(token in text for token in self.added):
+            return self._steady().encode(text, add_special_tokens=False).ids
         words = text.split()
         longest = max(map(len, words), default=0)
         blanks = len(text) - sum(map(len, words)) - len(words)
@@ -66,7 +72,6 @@ class Tokenizer:
             from tokenizers import Tokenizer as Steady
 
             self.steady = Steady.from_file(public_tokenizers.path(f"{self.vocabulary}.json"))
-            self.steady.encode_special_tokens = True  # their strings in a text are ordinary text
         return self.steady
 
 

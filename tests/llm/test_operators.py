@@ -171,6 +171,13 @@ def test_packing_of_odd_rows(odd, none):
     assert packing.packed(none).count() == 0
 
 
+def test_packing_of_texts_with_an_added_token(spark):
+    texts = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "x" * 1500 + "<|endoftext|> y"), (4, "<|endoftext |>")]
+    rows = packing.packed(spark.createDataFrame(texts, "doc_id long, text string")).toPandas()
+    check_packed(rows, texts)
+    assert rows[rows.doc_id == 1].length.tolist() == [5]
+
+
 # 3 toxicity
 
 def test_toxicity_finds_the_sentence(spark):
