@@ -3,15 +3,17 @@
 The grammar is a probabilistic automaton over character classes, inferred as by ALERGIA: labelled
 credentials build a prefix tree with counts; states whose endings and continuations are
 statistically compatible (Hoeffding bound, recursively) are merged, red-blue order. A second one is
-inferred from strings of the corpus that no base rule marks. A candidate is a run of LEAST
+inferred from all strings of the corpus that no base rule marks. A candidate is a run of LEAST
 or more token characters with a digit in it; its format likelihood is the difference of the mean
 log-probabilities per character under both. Candidates that reach the threshold and overlap no base span
 become spans of kind `format`.
 
-Labelled credentials are the values of base matches, unmarked strings the other candidates; of
-each a documented, bounded sample (EXAMPLES, the first by hash) is learned from. Unmarked examples
-that are as likely as the labelled ones are set aside; the threshold lets at most FALSE_SHARE of the
-others pass. Every candidate of every whole text is scored.
+Labelled credentials are the values of base matches, of which a documented, bounded sample
+(EXAMPLES, the first by hash) is learned from; unmarked strings are the other distinct candidates,
+and all count. Those that are as likely as the labelled ones are set aside. Of the others Spark
+counts the prefixes, to a depth of LONGEST_EXAMPLE; a prefix that less than one in RESOLUTION of
+them have is a leaf of the tree. The threshold lets at most FALSE_SHARE of them pass, by a
+histogram of all their scores. Every candidate of every whole text is scored.
 
 Cases: a null or empty text has no spans. Without examples of either sort nothing is added. Rows
 that repeat are scanned alike. Only `doc_id` and `text` are read. Offsets are code points.
@@ -22,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
+from .common import saved
 
 # The base patterns, on UTF-8 bytes, where only ASCII letters have two cases.
 ASSIGN = re.compile(
@@ -46,6 +50,11 @@ EXAMPLES = 400
 ALPHA = 0.05
 FALSE_SHARE = 0.002
 LONGEST_EXAMPLE = 256
+RESOLUTION = 1000
+# Scores are counted in steps of this width for the threshold.
+STEP = 0.001
+# Distinct prefixes that a task holds before it passes their counts on.
+HELD = 200_000
 _END = -1
 
 
@@ -117,6 +126,14 @@ def free_candidates(raw: bytes, runs: list[tuple[int, int]], spans: list[Span])
             and not any(s.start < b and a < s.end for s in spans)]
 
 
+_ROOT = 0
+
+
+def _below(name: int, sign: int) -> int:
+    """The name of the prefix that is one sign longer; alike in all processes."""
+    return hash((name, sign))
+
+
 class Automaton:
     """States with counts: how often each was reached, left by each class, or was the last."""
 
@@ -128,6 +145,23 @@ class Automaton:
         self.spread = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_states()
 
+    @classmethod
+    def of_counts(cls, counts: dict[int, dict[int, int]]) -> Automaton:
+        """From how often each sign follows each prefix, by the prefix's name."""
+        tree = cls([])
+        tree.seen[0] = dict(counts.get(_ROOT, {}))
+        todo = [(0, _ROOT)]
+        while todo:
+            state, name = todo.pop()
+            for sign in sorted(tree.seen[state].keys() - {_END}):
+                tree.next[state][sign] = len(tree.next)
+                below = _below(name, sign)
+                todo.append((len(tree.next), below))
+                tree.next.append({})
+                tree.seen.append(dict(counts.get(below, {})))
+        tree._merge_states()
+        return tree
+
     def _add(self, signs: bytes) -> None:
         state = 0
         for sign in signs:
@@ -170,9 +204,9 @@ class Automaton:
                     self.next[into][sign] = target
 
     def _merge_states(self) -> None:
-        red = [0]
+        red, settled = [0], {0}
         while True:
-            blue = [(r, sign, t) for r in red for sign, t in sorted(self.next[r].items()) if t not in red]
+            blue = [(r, sign, t) for r in red for sign, t in sorted(self.next[r].items()) if t not in settled]
             if not blue:
                 return
             parent, sign, state = max(blue, key=lambda x: sum(self.seen[x[2]].values()))
@@ -183,6 +217,7 @@ class Automaton:
                     break
             else:
                 red.append(state)
+                settled.add(state)
 
     def mean_log(self, value: bytes) -> float:
         """Mean log-probability per class; what was never seen has half an observation."""
@@ -210,31 +245,78 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for raw, runs in long_runs(batch.column("text")):
             spans, values = base_spans(raw, runs)
             rows |= {(True, v[:LONGEST_EXAMPLE]) for v in values}
-            rows |= {(False, raw[a: min(b, a + LONGEST_EXAMPLE)]) for a, b in free_candidates(raw, runs, spans)}
+            rows |= {(False, raw[a:b]) for a, b in free_candidates(raw, runs, spans)}
         ordered = sorted(rows)
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in ordered], pa.bool_()),
                                           pa.array([r[1] for r in ordered], pa.binary())],
                                          names=["secret", "value"])
 
 
+def _prefixes(credentials: Automaton, usual: float):
+    """How often each sign follows each prefix of the strings that are unlike credentials."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[int, int]] = Counter()
+        for batch in batches:
+            for value in batch.column("value").to_pylist():
+                if credentials.mean_log(value) >= usual:
+                    continue
+                name = _ROOT
+                for sign in [*value.translate(CLASSES), _END][:LONGEST_EXAMPLE]:
+                    counts[name, sign] += 1
+                    name = _below(name, sign)
+                if len(counts) > HELD:
+                    yield _rows(counts)
+                    counts.clear()
+        yield _rows(counts)
+
+    def _rows(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in counts], pa.int64()), pa.array([k[1] for k in counts], pa.int32()),
+             pa.array(list(counts.values()), pa.int64())], names=["name", "sign", "n"])
+    return run
+
+
+def _steps(grammar: Grammar, usual: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[int] = Counter()
+        for batch in batches:
+            for value in batch.column("value").to_pylist():
+                likely = grammar.credentials.mean_log(value)
+                if likely < usual:
+                    counts[math.floor((likely - grammar.others.mean_log(value)) / STEP)] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()),
+                                          pa.array(list(counts.values()), pa.int64())], names=["step", "n"])
+    return run
+
+
 def infer(docs: DataFrame, examples: int = EXAMPLES) -> Grammar | None:
     """The grammar, or None without examples of both sorts."""
-    found = docs.select("text").mapInArrow(_examples, "secret boolean, value binary").distinct()
-    sides = []
-    for secret in (True, False):
-        rows = found.where(F.col("secret") == secret).orderBy(F.xxhash64("value"), "value").limit(examples)
-        sides.append([bytes(r["value"]) for r in rows.select("value").collect()])
-    if not all(sides):
+    found = saved(docs.select("text").mapInArrow(_examples, "secret boolean, value binary").distinct())
+    labelled = [bytes(r["value"]) for r in found.where("secret").orderBy(
+        F.xxhash64("value"), "value").limit(examples).select("value").collect()]
+    if not labelled:
         return None
-    credentials = Automaton(sides[0])
+    credentials = Automaton(labelled)
     # An unmarked string that is as likely as labelled credentials is no counter-example.
-    usual = sorted(credentials.mean_log(v) for v in sides[0])[len(sides[0]) // 20]
-    unlike = [v for v in sides[1] if credentials.mean_log(v) < usual]
-    if not unlike:
+    usual = sorted(credentials.mean_log(v) for v in labelled)[len(labelled) // 20]
+    others = found.where("not secret").select("value")
+    counts = saved(others.mapInArrow(_prefixes(credentials, usual), "name long, sign int, n long").groupBy(
+        "name", "sign").agg(F.sum("n").alias("n")))
+    total = counts.where(F.col("name") == _ROOT).agg(F.sum("n")).first()[0]
+    if not total:
         return None
-    free = Grammar(credentials, Automaton(unlike), 0.0)
-    scores = sorted((free.score(v) for v in unlike), reverse=True)
-    return free._replace(threshold=max(0.0, scores[int(len(scores) * FALSE_SHARE)] + 1e-9))
+    kept = counts.groupBy("name").agg(F.sum("n").alias("n"), F.collect_list(F.struct("sign", "n")).alias("after")).where(
+        F.col("n") * RESOLUTION >= total).collect()
+    free = Grammar(credentials, Automaton.of_counts(
+        {r["name"]: {s["sign"]: s["n"] for s in r["after"]} for r in kept}), 0.0)
+    steps = others.mapInArrow(_steps(free, usual), "step long, n long").groupBy("step").agg(
+        F.sum("n").alias("n")).orderBy(F.desc("step")).collect()
+    passed = 0
+    for r in steps:
+        passed += r["n"]
+        if passed > int(total * FALSE_SHARE):
+            return free._replace(threshold=max(0.0, (r["step"] + 1) * STEP))
+    return free
 
 
 def _places(raw: bytes, spans: list[Span]) -> list[Span]:

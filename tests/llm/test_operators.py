@@ -426,6 +426,18 @@ def test_grammar_finds_a_format_that_rules_miss(spark):
     assert (got[got.doc_id < 1000].n_format == 0).mean() > 0.95
 
 
+def test_grammar_counts_all_ordinary_strings(spark):
+    """A few credentials of another format among ordinary strings do not lift the threshold."""
+    rng = random.Random(4)
+    key = lambda: "sk-" + "".join(rng.choices("ABCDEFGH0123456789", k=24))
+    rows = [(i, f'token = "{key()}"') for i in range(200)]
+    rows += [(1000 + i, f"siehe haus-nummer-{10_000 + i}-am-langen-weg dort") for i in range(3000)]
+    rows += [(9000 + i, f"gefunden {key()}=/=") for i in range(6)]
+    got = secret_scans.scanned(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert (got[got.doc_id >= 9000].n_format == 1).all()
+    assert got[(got.doc_id >= 1000) & (got.doc_id < 9000)].n_format.sum() == 0
+
+
 def test_automaton_merges_states():
     examples = [b"ab" * n for n in range(1, 30)] * 4
     automaton = secret_scans.Automaton(examples)
