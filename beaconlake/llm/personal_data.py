@@ -5,7 +5,8 @@ word-shape features: the token's shape and squeezed shape, its length, and the s
 Its chain is a stretch of text: the tokens that hold a digit or `@` with NEAR tokens on either
 side, overlapping ones joined; what is outside is O, as personal data of these kinds cannot do
 without either sign. It is trained by gradient descent on the conditional likelihood of a small
-labelled table: of the chains of the corpus the first CHAINS by hash, tagged by the base spans.
+labelled table: the distinct chains of the corpus, tagged by the base spans, are dealt by the set of kinds
+in them, of each set the first CHAINS by hash are taken, and each weighs as many as it stands for.
 All chains of all texts are decoded by Viterbi, in numpy over many chains at once. Tagged runs
 that overlap no base span are added.
 
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
+from .common import saved
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns, on UTF-8 bytes. A digit run is looked at from its start only,
@@ -40,7 +42,7 @@ PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
 
 NEAR = 2
 LONGEST = 64
-CHAINS = 3000
+CHAINS = 600
 FEATURES = 1 << 13
 TAGS = len(KINDS) + 1
 STEPS = 120
@@ -196,9 +198,11 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def _gradient(field: Field, features: np.ndarray, sizes: np.ndarray, tags: np.ndarray):
+def _gradient(field: Field, features: np.ndarray, sizes: np.ndarray, tags: np.ndarray,
+              weight: np.ndarray | None = None):
     """Of the mean log-likelihood: expected less observed counts, by forward and backward sums."""
     n, length = features.shape[:2]
+    each = np.full(n, 1 / n) if weight is None else weight / weight.sum()
     score = field.weights[features].sum(axis=2)
     ahead, behind = np.zeros_like(score), np.zeros_like(score)
     ahead[:, 0] = score[:, 0]
@@ -212,7 +216,7 @@ def _gradient(field: Field, features: np.ndarray, sizes: np.ndarray, tags: np.nd
     on = np.arange(length) < sizes[:, None]
     own = np.exp(ahead + behind - whole[:, None, None]) * on[:, :, None]
     held = np.eye(TAGS)[tags] * on[:, :, None]
-    slope = (own - held) / n
+    slope = (own - held) * each[:, None, None]
     weights = np.stack([np.bincount(
         features.reshape(-1), np.repeat(slope[:, :, k].reshape(-1), PER_TOKEN), FEATURES)
         for k in range(TAGS)], axis=1)
@@ -221,12 +225,12 @@ def _gradient(field: Field, features: np.ndarray, sizes: np.ndarray, tags: np.nd
         there = (t < sizes)
         pair = np.exp(ahead[:, t - 1, :, None] + field.moves + (score[:, t] + behind[:, t])[:, None, :]
                       - whole[:, None, None])
-        moves += pair[there].sum(axis=0)
-        np.add.at(moves, (tags[there, t - 1], tags[there, t]), -1.0)
-    return weights, moves / n
+        moves += (pair[there] * each[there, None, None]).sum(axis=0)
+        np.add.at(moves, (tags[there, t - 1], tags[there, t]), -each[there])
+    return weights, moves
 
 
-def fit(chains_: list[np.ndarray], tags: list[np.ndarray]) -> Field:
+def fit(chains_: list[np.ndarray], tags: list[np.ndarray], weight: np.ndarray) -> Field:
     features, sizes = _padded(chains_)
     held = np.zeros(features.shape[:2], np.int64)
     for row, t in zip(held, tags):
@@ -234,7 +238,7 @@ def fit(chains_: list[np.ndarray], tags: list[np.ndarray]) -> Field:
     field = Field(np.zeros((FEATURES, TAGS)), np.zeros((TAGS, TAGS)))
     sums = [np.zeros_like(x) for x in field]
     for _ in range(STEPS):  # AdaGrad
-        slopes = _gradient(field, features, sizes, held)
+        slopes = _gradient(field, features, sizes, held, weight)
         moved = []
         for x, g, s in zip(field, slopes, sums):
             g = g + SHRINK * x / 100
@@ -268,13 +272,47 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                                          names=["features", "tags"])
 
 
-def train(docs: DataFrame, limit: int = CHAINS) -> Field | None:
+def _first_of_sides(limit: int):
+    """Of each set of kinds the task's first `limit` chains by hash, and how many it has (`n`, in
+    one of the rows)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides: dict[int, list[tuple]] = {}
+        counts: dict[int, int] = {}
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("hash", "features", "tags"))):
+                side = sum(1 << tag for tag in set(row[2]) - {0})
+                counts[side] = counts.get(side, 0) + 1
+                own = sides.setdefault(side, [])
+                own.append(row)
+                if len(own) >= 2 * limit:
+                    own[:] = sorted(own)[:limit]
+        rows = [(side, counts[side] if i == 0 else 0, *row) for side, own in sorted(sides.items())
+                for i, row in enumerate(sorted(own)[:limit])]
+        columns = list(zip(*rows)) or [[]] * 5
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                         names=["side", "n", "hash", "features", "tags"])
+    return run
+
+
+def training_sample(docs: DataFrame, limit: int = CHAINS) -> list[tuple[bytes, bytes, float]]:
+    """Features, tags and weight of the sampled chains."""
     rows = docs.select("text").mapInArrow(_training_rows, "features binary, tags binary").distinct()
-    rows = rows.orderBy(F.xxhash64("features"), "features", "tags").limit(limit).collect()
+    first = saved(rows.select(F.xxhash64("features").alias("hash"), "features", "tags").mapInArrow(
+        _first_of_sides(limit), "side int, n long, hash long, features binary, tags binary"))
+    out = []
+    for side, n in sorted(first.groupBy("side").agg(F.sum("n")).collect()):
+        own = first.where(F.col("side") == side).orderBy("hash", "features", "tags").limit(limit).collect()
+        out += [(bytes(r["features"]), bytes(r["tags"]), n / len(own)) for r in own]
+    return out
+
+
+def train(docs: DataFrame, limit: int = CHAINS) -> Field | None:
+    rows = training_sample(docs, limit)
     if not rows:
         return None
-    return fit([np.frombuffer(r["features"], np.int16).astype(np.int64).reshape(-1, PER_TOKEN)
-                for r in rows], [np.frombuffer(r["tags"], np.int8) for r in rows])
+    return fit([np.frombuffer(f, np.int16).astype(np.int64).reshape(-1, PER_TOKEN) for f, _, _ in rows],
+               [np.frombuffer(t, np.int8) for _, t, _ in rows], np.array([w for _, _, w in rows]))
 
 
 def _runs(tokens: list[tuple[int, int]], tags: np.ndarray) -> Iterator[Span]:

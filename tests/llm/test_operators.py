@@ -543,6 +543,16 @@ def test_field_adds_what_rules_miss(spark):
     assert got[got.doc_id >= 1000].spans.str.startswith("card:").all()
 
 
+def test_field_learns_rare_kinds(spark):
+    """One personal item in a thousand numeric chains: all are learned from, at their true weight."""
+    rows = [(i, f"w{'x' * (i % 97)} {'9' * (1 + i % 89)} v{'y' * (i // 97)}") for i in range(6000)]
+    rows += [(9000 + i, f"{'z' * (i + 2)} mail{i}@haus{i}.example ab") for i in range(6)]
+    sample = personal_data.training_sample(spark.createDataFrame(rows, "doc_id long, text string"))
+    held = [w for _, tags, w in sample if any(tags)]
+    assert held == [1.0] * 6
+    assert 600 <= len(sample) <= 606 and 5000 < sum(w for _, _, w in sample) <= 6006
+
+
 def test_personal_data_of_odd_rows(odd, none):
     assert personal_data.scanned(odd).count() == len(plain.odd_rows())
     assert personal_data.scanned(none).count() == 0
