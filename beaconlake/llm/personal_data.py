@@ -10,7 +10,8 @@ in them, of each set the first CHAINS by hash are taken, and each weighs as many
 All chains of all texts are decoded by Viterbi, in numpy over many chains at once. Tagged runs
 that overlap no base span are added.
 
-Cases: a null or empty text has no spans. A chain longer than LONGEST tokens is cut there. Without
+Cases: a null or empty text has no spans. Tokens count whole, and chains of any length are decoded
+whole; only to learn from they are cut into stretches of LONGEST tokens. Without
 any chain in the corpus nothing is added. Rows that repeat are scanned alike. Only `doc_id` and
 `text` are read. Offsets are code points.
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -48,7 +50,7 @@ TAGS = len(KINDS) + 1
 STEPS = 120
 RATE = 0.1
 SHRINK = 1e-3
-BATCH = 4096
+CELLS = 1 << 17
 
 
 class Span(NamedTuple):
@@ -135,8 +137,6 @@ def chains(texts: pa.Array) -> Iterator[tuple[bytes, list[list[tuple[int, int]]]
                     found.append([])
                     reach = a
                 for j in range(max(a, reach), b):
-                    if len(found[-1]) == LONGEST:
-                        found.append([])
                     found[-1].append((int(words.start[j]) - at[d], int(words.end[j]) - at[d]))
                 reach = max(reach, b)
             yield raw[at[d]: at[d + 1]], found
@@ -147,13 +147,13 @@ PER_TOKEN = 6
 
 def _token_features(raw: bytes, tokens: list[tuple[int, int]], shape: bytes) -> np.ndarray:
     """(tokens, PER_TOKEN) hashed features."""
-    shapes = [raw[a: min(b, a + 64)].translate(shape) for a, b in tokens]
+    shapes = [raw[a:b].translate(shape) for a, b in tokens]
     short = [SQUEEZE.sub(rb"\1", s) for s in shapes]
     out = np.zeros((len(tokens), PER_TOKEN), np.int64)
     for i, s in enumerate(shapes):
         before = short[i - 1] if i else b"^"
         after = short[i + 1] if i + 1 < len(short) else b"$"
-        digits = sum(c == 57 for c in s)
+        digits = s.count(b"9")
         names = (b"s" + s, b"q" + short[i], b"p" + before, b"n" + after,
                  b"l%d,%d" % (min(len(s), 24), digits), b"b" + before + b" " + short[i])
         out[i] = [zlib.crc32(n) % FEATURES for n in names]
@@ -176,7 +176,7 @@ def _padded(chains_: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def viterbi(field: Field, chains_: list[np.ndarray]) -> list[np.ndarray]:
     """Best tags of each chain, all chains of the batch step by step."""
     features, sizes = _padded(chains_)
-    score = field.weights[features].sum(axis=2)
+    score = sum(field.weights[features[:, :, k]] for k in range(PER_TOKEN))
     best, back = score[:, 0], np.zeros(score.shape, np.int8)
     for t in range(1, score.shape[1]):
         ways = best[:, :, None] + field.moves
@@ -250,10 +250,12 @@ def fit(chains_: list[np.ndarray], tags: list[np.ndarray], weight: np.ndarray) -
 
 def _tags(tokens: list[tuple[int, int]], spans: list[Span]) -> np.ndarray:
     out = np.zeros(len(tokens), np.int64)
+    ends = [b for _, b in tokens]
     for s in spans:
-        for i, (a, b) in enumerate(tokens):
-            if s.start < b and a < s.end:
-                out[i] = KINDS.index(s.kind) + 1
+        i = bisect_right(ends, s.start)
+        while i < len(tokens) and tokens[i][0] < s.end:
+            out[i] = KINDS.index(s.kind) + 1
+            i += 1
     return out
 
 
@@ -264,8 +266,10 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for raw, found in chains(batch.column("text")):
             spans = base_spans(raw) if found else []
             for tokens in found:
-                rows.add((_token_features(raw, tokens, shape).astype(np.int16).tobytes(),
-                          _tags(tokens, spans).astype(np.int8).tobytes()))
+                features = _token_features(raw, tokens, shape).astype(np.int16)
+                tags = _tags(tokens, spans).astype(np.int8)
+                for at in range(0, len(tokens), LONGEST):
+                    rows.add((features[at: at + LONGEST].tobytes(), tags[at: at + LONGEST].tobytes()))
         ordered = sorted(rows)
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in ordered], pa.binary()),
                                           pa.array([r[1] for r in ordered], pa.binary())],
@@ -344,8 +348,13 @@ def _tagged(field: Field | None, features: list[np.ndarray]) -> list[np.ndarray]
         return [np.zeros(len(f), np.int8) for f in features]
     out: list = [None] * len(features)
     order = sorted(range(len(features)), key=lambda i: len(features[i]))
-    for at in range(0, len(order), BATCH):
-        part = order[at: at + BATCH]
+    at = 0
+    while at < len(order):
+        # Chains of much the same length, with at most CELLS tokens when padded, or one chain.
+        end = at + 1
+        while end < len(order) and (end + 1 - at) * len(features[order[end]]) <= CELLS:
+            end += 1
+        part, at = order[at:end], end
         for i, tags in zip(part, viterbi(field, [features[i] for i in part])):
             out[i] = tags
     return out

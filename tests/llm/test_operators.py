@@ -553,6 +553,22 @@ def test_field_learns_rare_kinds(spark):
     assert 600 <= len(sample) <= 606 and 5000 < sum(w for _, _, w in sample) <= 6006
 
 
+def test_long_tokens_and_long_chains_are_whole():
+    _, shape = personal_data._signs()
+    raw = b"x" * 80 + b"," + b"1234"
+    a, b = (personal_data._token_features(t, [(0, len(t))], shape)[0] for t in (raw, raw + b"567"))
+    assert (a[:2] != b[:2]).any()
+    text = " ".join(f"{i:03}" for i in range(500))
+    (_, found), = personal_data.chains(pa.array([text]))
+    assert [len(tokens) for tokens in found] == [500]
+    rng = np.random.default_rng(2)
+    field = personal_data.Field(rng.normal(size=(personal_data.FEATURES, personal_data.TAGS)),
+                                rng.normal(size=(personal_data.TAGS, personal_data.TAGS)))
+    features = [rng.integers(0, 99, (n, personal_data.PER_TOKEN)) for n in (500, 3, 70, 200_000)]
+    for one, tags in zip(features[:3], personal_data._tagged(field, features)):
+        assert (personal_data.viterbi(field, [one])[0] == tags).all()
+
+
 def test_personal_data_of_odd_rows(odd, none):
     assert personal_data.scanned(odd).count() == len(plain.odd_rows())
     assert personal_data.scanned(none).count() == 0
