@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
-    exact_dedup, kd_sharding, mixing, near_dedup, packing, personal_data, quality_rules,
+    exact_dedup, kd_sharding, line_dedup, mixing, near_dedup, packing, personal_data, quality_rules,
     secret_scans, substring_dedup, toxicity,
 )
 from .common import documents, labels
@@ -54,6 +55,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeated_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -65,6 +72,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scans": op8_secret_scans,
     "op9_personal_data": op9_personal_data,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op13_line_dedup": op13_line_dedup,
 }
 
-ORACLE: dict[str, str] = {"op5_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op13_line_dedup": line_dedup.ORACLE_SQL,
+}
