@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, work_folder
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,6 +26,14 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as they are now, as compressed Parquet in the shared folder; for rows that are too
+    wide for `saved`, which does not compress."""
+    folder = work_folder(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def id_crc(column: str = "doc_id") -> Column:
     """crc32 of the id as text: deals documents into folds."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

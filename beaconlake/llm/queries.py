@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     exact_dedup, kd_sharding, line_dedup, mixing, near_dedup, packing, personal_data, quality_rules,
-    secret_scans, substring_dedup, toxicity,
+    secret_scans, substring_dedup, token_alignment, toxicity,
 )
 from .common import documents, labels
 
@@ -55,6 +55,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(documents(spark, sf_dir))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeated_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped",
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scans": op8_secret_scans,
     "op9_personal_data": op9_personal_data,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "op13_line_dedup": op13_line_dedup,
 }
 

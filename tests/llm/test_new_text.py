@@ -3,9 +3,13 @@
 import hashlib
 from collections import defaultdict
 
+import random
+
+import numpy as np
 import pytest
 
-from beaconlake.llm import line_dedup
+from beaconlake.llm import line_dedup, token_alignment
+from beaconlake.llm.common import written
 from beaconlake.llm.queries import ORACLE, QUERIES
 
 from . import plain
@@ -100,5 +104,161 @@ def test_a_long_text_with_many_lines(spark):
         spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
 
 
+# 11 alignment of two tokenizers
+
+@pytest.fixture(scope="module")
+def libraries():
+    """Ids by the contract's own libraries, and the bytes of each id from the vocabulary files."""
+    import json
+
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    a = Tokenizer.from_file(path)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(x): x for x in printable}
+    for n, x in enumerate(x for x in range(256) if x not in printable):
+        byte_of[chr(256 + n)] = x
+    with open(path, encoding="utf-8") as file:
+        vocabulary = {i: t for t, i in json.load(file)["model"]["vocab"].items()}
+
+    def ids(text):
+        return a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+
+    def spelled_a(i):
+        return bytes(byte_of[c] for c in vocabulary[i])
+
+    def spelled_b(i):
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("\u2581", " ").encode()
+    return ids, spelled_a, spelled_b
+
+
+def plain_alignment(rows, libraries):
+    """[(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)]"""
+    ids, spelled_a, spelled_b = libraries
+    documents, counts = [], defaultdict(int)
+    for d, t in rows:
+        a, b = ids(t) if t else ([], [])
+        bytes_a, bytes_b = [spelled_a(i) for i in a], [spelled_b(i) for i in b]
+        if not t or not b"".join(bytes_a) == b"".join(bytes_b) == (" " + t).encode():
+            documents.append((d, [], [], [], []))
+            continue
+        ends_a = np.cumsum([len(x) for x in bytes_a]).tolist()
+        ends_b = np.cumsum([len(x) for x in bytes_b]).tolist()
+        place_a, place_b = ({e: k + 1 for k, e in enumerate(ends)} for ends in (ends_a, ends_b))
+        groups, i, j = [], 0, 0
+        for end in sorted(set(ends_a) & set(ends_b)):
+            i_end, j_end = place_a[end], place_b[end]
+            groups.append((a[i:i_end], b[j:j_end]))
+            i, j = i_end, j_end
+        links = [(x, y) for ga, gb in groups for x in ga for y in gb]
+        for pair in set(links):
+            counts[pair] += 1
+        documents.append((d, a, b, groups, links))
+    best = defaultdict(int)
+    for (x, _), n in counts.items():
+        best[x] = max(best[x], n)
+    out = []
+    for d, a, b, groups, links in documents:
+        text = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in groups)
+        out.append((d, len(a), len(b), len(groups), len(links),
+                    sum(counts[p] == best[p[0]] for p in links), sum(counts[p] for p in links),
+                    hashlib.sha256(text.encode()).hexdigest() if text else ""))
+    return out
+
+
+ALIGNMENT = "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256".split()
+TOKENS = [
+    (1, None), (2, ""), (3, " "), (4, "\n"), (5, "a <|endoftext|> b <s> </s> <unk>"), (6, "x\u2581y"),
+    (7, "  doppelt  und   dreifach\t\tTab \r\n"), (8, "漢字 ü é 🙂👩‍👩‍👧 \x00\x7f"), (9, "=" * 700),
+    (10, "zahl 12345678901234567890 und 3.14159"), (11, "q" * 3000), (12, " vorne"), (12, " vorne"),
+    (None, "ohne Nummer"), (13, "don't we're I'll"), (14, "\u3000\u00a0\u2028 weiter"),
+]
+
+
+def alignments(df):
+    return sorted(tuple(repr(r[c]) for c in ALIGNMENT) for r in df.collect())
+
+
+def plain_texts(rows, libraries):
+    return sorted(tuple(map(repr, r)) for r in plain_alignment(rows, libraries))
+
+
+def test_crossings_cut_the_merge_into_equal_pieces():
+    rng = random.Random(3)
+    for n, m in ((0, 0), (0, 9), (9, 0), (50, 50), (200, 3), (3, 200)):
+        a = np.array(sorted(rng.sample(range(1000), n)), np.int64)
+        b = np.array(sorted(rng.sample(range(1000), m)), np.int64)
+        for piece in (1, 2, 7, 64):
+            i, j = token_alignment.crossings(a, b, piece)
+            assert (i[0], j[0], i[-1], j[-1]) == (0, 0, n, m)
+            assert ((np.diff(i) + np.diff(j))[:-1] == piece).all()
+            merged = sorted([(x, 0) for x in a] + [(x, 1) for x in b])
+            assert all(i[k] == sum(s == 0 for _, s in merged[: k * piece]) for k in range(len(i) - 1))
+
+
+def test_groups_do_not_depend_on_pieces():
+    rng = random.Random(4)
+    for _ in range(30):
+        a, b = (np.array(sorted({*rng.sample(range(1, 120), rng.randint(1, 60)), 120})) for _ in "ab")
+        cuts = sorted(set(a.tolist()) & set(b.tolist()))
+        for piece in (1, 2, 3, 10, 1000):
+            in_a, in_b = token_alignment.groups(a, b, piece)
+            assert in_a.tolist() == [sum(c < x for c in cuts) for x in a]
+            assert in_b.tolist() == [sum(c < x for c in cuts) for x in b]
+
+
+@pytest.mark.parametrize("held", [0, 40, token_alignment.HELD])
+def test_alignment_of_few_texts(spark, libraries, held):
+    rows = spark.createDataFrame(TOKENS, "doc_id long, text string")
+    assert alignments(token_alignment.alignment_report(rows, held=held)) == plain_texts(TOKENS, libraries)
+
+
+def test_alignment_of_the_table(spark, sf_dir, docs, libraries):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = QUERIES["op11_token_alignment"](spark, sf_dir)
+    assert set(got.columns) == set(ALIGNMENT)
+    assert alignments(got) == plain_texts(rows, libraries)
+
+
+def test_alignment_of_odd_rows(odd, none, libraries):
+    rows = [(r[0], r[1]) for r in plain.odd_rows()]
+    assert alignments(token_alignment.alignment_report(odd)) == plain_texts(rows, libraries)
+    assert token_alignment.alignment_report(none).count() == 0
+
+
+def test_alignment_in_small_segments_and_chunks(spark, docs, monkeypatch, libraries):
+    monkeypatch.setattr(token_alignment, "SEGMENT", 50)
+    coder = token_alignment.Encoders()
+    for r in [*docs.limit(60).collect(), {"text": "  zwei  Leerzeichen " * 40}, {"text": "q" * 400}]:
+        a, b = coder.both(r["text"] or "")
+        want = libraries[0](r["text"]) if r["text"] else ([], [])
+        assert (a.tolist(), b.tolist()) == (list(want[0]), list(want[1]))
+
+
+def test_links_laid_out_in_parts(monkeypatch):
+    rng = np.random.default_rng(5)
+    group_a, group_b = np.sort(rng.integers(0, 6, 300)), np.sort(rng.integers(0, 6, 200))
+    ids_a, ids_b = rng.integers(0, 20, 300), rng.integers(0, 30, 200)
+    args = (ids_a, group_a, ids_b, group_b, np.array([0, 0, 1, 1, 1, 2]), 20, 30)
+    whole = token_alignment.links(*args)
+    monkeypatch.setattr(token_alignment, "EXPANDED", 40)
+    parts = token_alignment.links(*args)
+    assert whole.key.tolist() == parts.key.tolist() and whole.times.tolist() == parts.times.tolist()
+    assert whole.times.sum() == sum((group_a == g).sum() * (group_b == g).sum() for g in range(6))
+
+
+def test_tokens_and_group_sizes_of_texts(spark):
+    rows = spark.createDataFrame(TOKENS, "doc_id long, text string")
+    for r in written(token_alignment.aligned(rows)).collect():
+        assert (sum(r["sizes_a"]), sum(r["sizes_b"])) == (len(r["ids_a"]), len(r["ids_b"]))
+        assert len(r["sizes_a"]) == len(r["sizes_b"]) == r["n_groups"]
+
+
 def test_sql_is_given_where_it_can_say_it():
     assert {"op13_line_dedup"} <= set(ORACLE)
