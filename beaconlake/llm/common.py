@@ -19,6 +19,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The rows as they are now, in the shared checkpoint folder: computed once, and read again
     from there if an executor is lost."""

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    exact_dedup, kd_sharding, line_dedup, mixing, near_dedup, packing, personal_data, quality_rules,
-    secret_scans, substring_dedup, token_alignment, toxicity,
+    exact_dedup, kd_sharding, line_dedup, mixing, near_dedup, packing, personal_data, prefix_trie,
+    quality_rules, secret_scans, substring_dedup, token_alignment, toxicity,
 )
-from .common import documents, labels
+from .common import conversations, documents, labels
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment_report(documents(spark, sf_dir))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(conversations(spark, sf_dir))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeated_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped",
@@ -77,10 +81,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_token_alignment": op11_token_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op12_prefix_trie": prefix_trie.ORACLE_SQL,
     "op13_line_dedup": line_dedup.ORACLE_SQL,
 }

@@ -4,11 +4,12 @@ import hashlib
 from collections import defaultdict
 
 import random
+import zlib
 
 import numpy as np
 import pytest
 
-from beaconlake.llm import line_dedup, token_alignment
+from beaconlake.llm import line_dedup, prefix_trie, token_alignment
 from beaconlake.llm.common import written
 from beaconlake.llm.queries import ORACLE, QUERIES
 
@@ -260,5 +261,134 @@ def test_tokens_and_group_sizes_of_texts(spark):
         assert len(r["sizes_a"]) == len(r["sizes_b"]) == r["n_groups"]
 
 
+# 12 prefix trie
+
+def plain_trie(rows):
+    """Nodes of rows (conv_id, turn, role, text): the result's columns in order."""
+    turns = defaultdict(list)
+    for c, t, role, text in rows:
+        if c is not None:
+            turns[c].append((t is not None, t or 0, role or "", text or ""))
+    turns = {c: [x[2:] for x in sorted(v)] for c, v in turns.items()}
+    built = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        built[c] = tuple(turns.get(c - c % 5, [])[:h] + own[h:])
+    members = defaultdict(list)
+    for c, seq in built.items():
+        for d in range(len(seq) + 1):
+            members[seq[:d]].append(c)
+    children, leaves, tokens = defaultdict(int), defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, who in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += children[node] == 0
+            tokens[node[:d]] += (len(who) - 1) * len(node[-1][1].encode()) if node else 0
+    out = []
+    for node, who in members.items():
+        ends = ",".join(map(str, sorted(c for c in who if built[c] == node)))
+        out.append((min(who), len(node), min(members[node[:-1]]) if node else None, len(who),
+                    children[node], leaves[node], tokens[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(map(repr, out))
+
+
+TRIE = "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256".split()
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def trie_rows(df):
+    return sorted(repr(tuple(r[c] for c in TRIE)) for r in df.collect())
+
+
+def some_conversations(seed, n, long):
+    """Conversations that share beginnings, one with many turns, null turns, roles and texts, ties."""
+    rng = random.Random(seed)
+    rows = []
+    for c in range(n):
+        for t in range(rng.choice([0, 1, 2, 4, 9, 12])):
+            rows.append((c, t, rng.choice(["user", None]), rng.choice(["a", "b", "a", "ü", None])))
+    rows += [(n, t, "user", f"turn {t}") for t in range(long)]
+    rows += [(n + 5, t, "user", f"turn {t}") for t in range(long - 3)]
+    rows += [(7, None, "user", "first"), (7, None, "user", "early"), (7, 3, "bot", "tie"), (7, 3, "bot", "tie")]
+    rows += [(None, 1, "user", "nobody's"), (10, 2, None, "zz"), (10, 2, "user", "a")]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("most", [prefix_trie.PART, 6])
+def test_trie_of_some_conversations(spark, most):
+    rows = some_conversations(1, 60, 90)
+    df = spark.createDataFrame(rows, TURNS).repartition(3)
+    assert trie_rows(prefix_trie.rebuilt_trie(df, most)) == plain_trie(rows)
+
+
+def test_a_conversation_over_many_tasks(spark):
+    rows = some_conversations(2, 12, 170)
+    df = spark.createDataFrame(rows, TURNS).repartition(4)
+    stretches = prefix_trie.ordered_turns(df)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        where = stretches.selectExpr("conv_id", "spark_partition_id() as p").distinct().collect()
+        assert sum(r["conv_id"] == 12 for r in where) > 1
+        got = trie_rows(prefix_trie.rebuilt_trie(df, 60))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert got == plain_trie(rows)
+
+
+def test_trie_of_few_conversations(spark):
+    cases = [
+        [(3, 0, "user", "x")], [(0, None, None, None)], [(0, 0, "user", ""), (1, 0, "user", "")],
+        [(c, t, "u", "same") for c in range(40) for t in range(3)],
+        [(c, t, "u", f"{c}") for c in (4, 9, 14) for t in range(2)],
+    ]
+    for rows in cases:
+        df = spark.createDataFrame([(*r, 9, "y", 1) for r in rows], TURNS + ", depth long, high string, part int")
+        assert trie_rows(prefix_trie.rebuilt_trie(df)) == plain_trie(rows)
+
+
+def test_trie_without_conversations(spark):
+    for rows in ([], [(None, 1, "user", "x")]):
+        assert prefix_trie.rebuilt_trie(spark.createDataFrame(rows, TURNS)).collect() == []
+
+
+def test_decomposition_of_random_forests():
+    rng = random.Random(6)
+    for n in (1, 2, 30, 300):
+        for shape in (lambda i: rng.randrange(i), lambda i: i - 1, lambda i: 0, lambda i: max(0, i - rng.randint(1, 3))):
+            parent, part = [], []
+            for i in range(n):
+                alone = i == 0 or rng.random() < 0.05
+                up = None if alone else shape(i)
+                parent.append(-1 if alone else up)
+                part.append(i if alone else part[up])
+            part = np.unique(part, return_inverse=True)[1]
+            weight = np.array([rng.randint(1, 5) for _ in range(n)])
+            values = np.array([[rng.randint(0, 9), 1] for _ in range(n)])
+            subtree, want = weight.copy(), values.copy()
+            for i in reversed(range(n)):
+                if parent[i] >= 0:
+                    subtree[parent[i]] += subtree[i]
+                    want[parent[i]] += want[i]
+            mixed = np.array(rng.sample(range(n), n))
+            place = np.argsort(mixed)
+            moved = np.array([place[parent[i]] if parent[i] >= 0 else -1 for i in mixed])
+            got = prefix_trie.decomposed(moved, part[mixed], weight[mixed], subtree[mixed], values[mixed])
+            assert (got == want[mixed]).all()
+
+
+def test_digests_of_many_ends(spark, monkeypatch):
+    rows = [(1, 2, c) for c in range(9, 1300)] + [(1, 3, 5), (2, 2, 12)]
+    got = {(r["high"], r["low"]): r["ends_sha256"] for r in prefix_trie.end_digests(
+        spark.createDataFrame(rows, "high long, low long, conv_id long").repartition(3)).collect()}
+    for node in ((1, 2), (1, 3), (2, 2)):
+        ids = ",".join(str(c) for h, low, c in sorted(rows) if (h, low) == node)
+        assert got[node] == hashlib.sha256(ids.encode()).hexdigest()
+
+
 def test_sql_is_given_where_it_can_say_it():
-    assert {"op13_line_dedup"} <= set(ORACLE)
+    """Tokenizing is beyond SQL."""
+    assert {"op12_prefix_trie", "op13_line_dedup"} <= set(ORACLE)

@@ -10,7 +10,7 @@ from . import plain
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(ORACLE) <= set(QUERIES)
 
 
