@@ -133,12 +133,14 @@ class NetworkTables:
     one DataFrame with the rows of all five event tables (envelope and lineage columns
     plus `table_name`): a source that keeps the families in one place passes it so that
     stacked reads scan the data once. Otherwise the five tables are unioned.
+    `newest(name, clock)`, when given, knows a clock's newest value without a scan.
     """
 
     def __init__(
-        self, load: Callable[[str], DataFrame], stack: Callable[[], DataFrame] | None = None
+        self, load: Callable[[str], DataFrame], stack: Callable[[], DataFrame] | None = None,
+        newest: Callable[[str, str], Column] | None = None,
     ) -> None:
-        self._load, self._stack = load, stack
+        self._load, self._stack, self._newest = load, stack, newest
         self._loaded: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -153,6 +155,12 @@ class NetworkTables:
             self._loaded[name] = self._load(name)
         return self._loaded[name]
 
+    def newest(self, name: str, clock: str) -> Column:
+        """Newest value of a clock of a table: what a report's window ends with."""
+        if self._newest is not None:
+            return self._newest(name, clock)
+        return newest(self.table(name), clock)
+
     @classmethod
     def of(cls, **tables: DataFrame) -> NetworkTables:
         """Tables given directly; the ones left out cannot be read."""

@@ -27,7 +27,7 @@ def accepted_event_totals(
     of devices missing from the inventory stay, with NULL dimensions. Events are counted
     per device before the inventory joins, so the joins see devices, not events.
     """
-    bound = before(newest(tables.connectivity_events, "event_timestamp"), window)
+    bound = before(tables.newest("connectivity_events", "event_timestamp"), window)
     events = tables.stacked("event_type", "event_id", "device_id", "event_timestamp")
     per_device = (
         since(events, "event_timestamp", bound)
@@ -54,7 +54,7 @@ def reconciliation(tables: NetworkTables, window: timedelta = timedelta(hours=6)
     rejected records and the window's edges show as holes or shorter ranges. A topic
     with rejects only does not appear.
     """
-    bound = before(newest(tables.connectivity_events, "_kafka_timestamp"), window)
+    bound = before(tables.newest("connectivity_events", "_kafka_timestamp"), window)
     events = tables.stacked(
         "_kafka_topic", "event_id", "device_id", "device_session_id", "sequence_number",
         "_kafka_timestamp",

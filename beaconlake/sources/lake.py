@@ -1,18 +1,21 @@
-"""Event tables on plain Parquet: one folder per batch, day partitions inside.
+"""Event tables on plain Parquet: a folder per write, day partitions inside, a log of the files.
 
-    <root>/<table>/batch_id=<run>-<n>/event_day=<date>/arrival_day=<date>/part-*.parquet
+    <root>/<table>/batch_id=<run>-<n>/write_id=<id>/event_day=<date>/arrival_day=<date>/*.parquet
+    <root>/<table>/_log/                                        see table_log
 
-A batch is written by overwriting its own folder, so writing it again (a retry, a replay
-after a crash) replaces it. A compaction adds a folder of its own that names the files it
-replaces until they are gone; readers leave those out. Those files stay for a while, so that
-queries which began before the compaction can finish.
+Each write goes to a folder of its own, out of sight until the log names its files. Writing a batch
+again (a retry, a replay after a crash) replaces the files that the log has for it, in one commit; a
+compaction replaces small files by large ones in the same way. A reader takes the files of one
+version of the log: no file is listed, joined or filtered away, and the version stays readable
+until its files expire.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +23,7 @@ from ..model import (
     ALL_TABLES, CLOCK_DAYS, EVENT_TABLES, REJECT_TABLE, NetworkTables, table_schema,
 )
 from . import storage
+from .table_log import TableLog, Version
 
 # How stored files are written.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -27,8 +31,8 @@ COMPRESSION = "zstd"
 STREAMED_TABLES = (*EVENT_TABLES, REJECT_TABLE)
 # A safety limit; the rebalance before each write keeps files near the target size.
 MAX_RECORDS_PER_FILE = 5_000_000
-# How often a read is begun anew because a compaction appeared or went while it listed files.
-LISTING_ATTEMPTS = 10
+# The clocks whose bounds the log keeps of each file.
+LOGGED_CLOCKS = {"event_timestamp": "event", "_kafka_timestamp": "arrival"}
 
 
 def day_sources(table: str) -> dict[str, str]:
@@ -54,64 +58,95 @@ class Lake:
             raise ValueError(f"unknown table {table!r}; known: {', '.join(ALL_TABLES)}")
         return f"{self.root}/{table}"
 
-    def batch_path(self, table: str, batch_id: str) -> str:
-        return f"{self.path(table)}/batch_id={batch_id}"
+    def log(self, table: str) -> TableLog:
+        return TableLog(self.spark, self.path(table))
 
     def write_batch(self, table: str, rows: DataFrame, batch_id: str) -> None:
         """Put the rows in as this batch, in place of what it held before."""
-        write_by_day(rows, table, self.batch_path(table, batch_id))
-
-    def stored(self, table: str) -> DataFrame:
-        """All visible rows of a table, with `batch_id` and day columns."""
-        return self.placed(table).drop("file_path", "file_size")
-
-    def placed(self, table: str) -> DataFrame:
-        """Like `stored`, with the path and size of the file each row is from.
-
-        The compactions are looked up before and after the files are listed: when they are
-        the same, the files are those that belong to them.
-        """
+        added = self.write_files(table, rows, batch_id)
+
+        def replacing(base: Version):
+            held = base.files.where(F.col("batch_id") == batch_id).select("path").collect() \
+                if base.number >= 0 else []
+            return added, [r["path"] for r in held]
+
+        self.log(table).commit("batch", replacing)
+
+    def write_files(self, table: str, rows: DataFrame, batch_id: str) -> list[dict]:
+        """Write rows to a new folder that no version names yet; its files as the log has them.
+        One pass over the two clocks counts the rows of each file and finds their bounds."""
+        write_id = uuid.uuid4().hex
+        folder = f"{self.path(table)}/batch_id={batch_id}/write_id={write_id}"
+        write_by_day(rows, table, folder)
+        days = list(day_sources(table))
+        clocks = {c: name for c, name in LOGGED_CLOCKS.items() if c in table_schema(table).names}
+        path = F.regexp_replace(F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")),
+                                r"^.*?(batch_id=[^/]*/write_id=)", "$1")
+        found = self._read(table, [folder]).groupBy(
+            path.alias("path"), F.col("_metadata.file_size").alias("size"), *days).agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[f(F.unix_micros(F.col(c).cast("timestamp"))).alias(f"{side}_{name}")
+              for c, name in clocks.items() for f, side in ((F.min, "first"), (F.max, "last"))])
+        return [{**r.asDict(), **{d: r[d] and r[d].isoformat() for d in days},
+                 "batch_id": batch_id, "write_id": write_id} for r in found.collect()]
+
+    def _read(self, table: str, paths: list[str]) -> DataFrame:
         schema = T.StructType([
             *table_schema(table).fields, T.StructField("batch_id", T.StringType()),
+            T.StructField("write_id", T.StringType()),
             *[T.StructField(day, T.DateType()) for day in day_sources(table)],
         ])
-        path = self.path(table)
-        if not storage.exists(self.spark, path):
-            return self.spark.createDataFrame(
-                [], schema.add("file_path", "string").add("file_size", "long"))
-        for _ in range(LISTING_ATTEMPTS):
-            replaced = self.compactions(table)
-            files = self.spark.read.schema(schema).parquet(path)
-            if self.compactions(table) == replaced:
-                break
-        else:
-            raise RuntimeError(f"{table}: compactions changed during every listing of files")
-        files = files.withColumns(
-            {c: F.col(f"_metadata.{c}") for c in ("file_path", "file_size")})
-        if not replaced:
-            return files
-        gone = self.spark.read.schema("file_path string").parquet(*replaced)
-        return files.join(gone, "file_path", "left_anti")
-
-    def compactions(self, table: str) -> list[str]:
-        """Lists of replaced files, of compactions whose old files may still be there."""
-        return storage.matching(self.spark, f"{self.path(table)}/batch_id=compact_*/_replaces")
-
-    def read(self, table: str) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
+
+    def read_files(self, table: str, paths: list[str]) -> DataFrame:
+        """Rows of some files, named as in the log."""
+        return self._read(table, [f"{self.path(table)}/{p}" for p in paths])
+
+    def stored(self, table: str, version: Version | None = None) -> DataFrame:
+        """All rows of the newest or the given version, with `batch_id` and day columns."""
+        version = version or self.log(table).head()
+        return self._read(table, version.paths() if version.number >= 0 else []).drop("write_id")
+
+    def read(self, table: str, version: Version | None = None) -> DataFrame:
         """The table's columns and its day columns, for reports and checks."""
-        return self.stored(table).drop("batch_id")
+        return self.stored(table, version).drop("batch_id")
 
     def tables(self, **reference: DataFrame) -> NetworkTables:
-        """Reports run on this: streamed tables from here, reference tables as given."""
+        """Reports run on this: streamed tables from here, reference tables as given. Rows and
+        bounds of a table are of one version, the newest when it was first asked for."""
+        pinned: dict[str, Version] = {}
+
+        def version(table: str) -> Version:
+            return pinned.setdefault(table, self.log(table).head())
+
+        def newest(table: str, clock: str) -> Column:
+            micros = version(table).newest(f"last_{LOGGED_CLOCKS[clock]}") \
+                if version(table).number >= 0 else None
+            return F.timestamp_micros(F.lit(micros).cast("bigint"))
+
         return NetworkTables(
-            lambda name: self.read(name) if name in STREAMED_TABLES else reference[name])
+            lambda name: self.read(name, version(name)) if name in STREAMED_TABLES else reference[name],
+            newest=newest)
+
+    def ready(self) -> None:
+        """Make the streamed tables there, with a first version, before anything is written."""
+        for table in STREAMED_TABLES:
+            log = self.log(table)
+            if log.head().number < 0:
+                try:
+                    storage.create_once(
+                        self.spark, f"{log.folder}/{0:012d}.json", '{"action": "commit", "kind": "created", "at": 0}\n')
+                except storage.AlreadyThere:
+                    pass
 
 
 def write_by_day(
     rows: DataFrame, table: str, path: str, days: dict[str, str] | None = None
 ) -> None:
-    """Write rows as day partitions, those of `day_sources` if not told. REBALANCE splits a day that holds most rows over
-    several tasks and merges small ones, by their size at run time."""
+    """Write rows as day partitions, those of `day_sources` if not told. REBALANCE splits a day that
+    holds most rows over several tasks and merges small ones, by their size at run time."""
     days = days or day_sources(table)
     dated = rows.withColumns({day: F.to_date(clock) for day, clock in days.items()})
     (

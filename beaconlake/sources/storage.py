@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+DELETERS = 16
+
+
+class AlreadyThere(OSError):
+    pass
+
 
 def _path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -27,6 +39,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_all(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Several at a time; the session waits for the store, not for a turn."""
+    if paths:
+        with ThreadPoolExecutor(DELETERS) as pool:
+            list(pool.map(inheritable_thread_target(spark)(lambda path: delete(spark, path)), paths))
+
+
 def delete_if_empty(spark: SparkSession, path: str) -> bool:
     """Delete a folder with nothing but Spark's success marker in it."""
     fs, p = _path(spark, path)
@@ -67,5 +86,27 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file that is there whole or not at all; of several writers one makes it, the
+    others get AlreadyThere. A hidden file is written first and given its name by an operation
+    that refuses a name that is taken: a link on a local disk, a rename elsewhere. A store whose
+    rename is a copy needs one writer at a time."""
+    fs, target = _path(spark, path)
+    folder, _, name = path.rpartition("/")
+    hidden = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    fs.mkdirs(target.getParent())
+    write_text(spark, hidden, text)
+    try:
+        if fs.getScheme() == "file":
+            try:
+                os.link(*(_path(spark, p)[1].toUri().getPath() for p in (hidden, path)))
+            except FileExistsError as error:
+                raise AlreadyThere(path) from error
+        elif fs.exists(target) or not fs.rename(_path(spark, hidden)[1], target):
+            raise AlreadyThere(path)
+    finally:
+        fs.delete(_path(spark, hidden)[1], False)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]

@@ -20,7 +20,7 @@ def route_batch(
 ) -> None:
     """Write one batch of raw records to the five event tables and the reject table.
 
-    All six folders of the batch are replaced, also with nothing, so a batch written
+    The batch's files of all six tables are replaced, also with nothing, so a batch written
     half and retried leaves one copy even when a record now goes to another table.
     """
     classified = classify(raw, access_digits).persist(StorageLevel.MEMORY_AND_DISK)
@@ -55,6 +55,8 @@ def start_ingest(
     Progress is recorded in the checkpoint after the batch is written. A crash in between
     repeats the same records under the same batch id, which replaces what was written.
     """
+    lake.ready()
+
     def write(batch: DataFrame, number: int) -> None:
         route(lake, batch, batch_name(run, number))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.model import REFERENCE_DDL, newest, schema_of
 from beaconlake.operators import export, maintenance
+from beaconlake.plans import accounting
 from beaconlake.session import work_folder
 from beaconlake.sources import benchdata, catalog, raw, reference_files, storage
 from beaconlake.sources.lake import STREAMED_TABLES, Lake, day_source
@@ -153,6 +154,54 @@ def compact_during_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "sequence_number", "_kafka_offset", "latency_ms", "event_day")
 
 
+def compact_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small files of far more bytes than a run may rewrite: run after run, in chunks."""
+    lake, table = _ingested(spark, sf_dir), "connectivity_events"
+    largest = maintenance.files(lake, table).agg(F.max("size")).first()[0] / maintenance.MB
+    left = 1
+    while left:
+        done = maintenance.compact(lake, table, max_rewrite_mb=8 * largest, chunk_mb=8 * largest)
+        if done["status"] != "ok":
+            raise RuntimeError(str(done))
+        left = done["chunks_left"]
+    return lake.read(table).select(
+        "event_id", "sequence_number", "_kafka_offset", "latency_ms", "event_day")
+
+
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table and day as the log has them; no event is read."""
+    listing = maintenance.file_listing(_ingested(spark, sf_dir))
+    return listing.select(F.col("table").alias("table_name"), "day", "rows", "last_arrival",
+                          (F.col("bytes") > F.col("files")).alias("has_bytes"))
+
+
+def _lake_tables(spark: SparkSession, sf_dir: str):
+    """The model over what was ingested: raw records, stream, lake."""
+    inventory = benchdata.network_tables(spark, sf_dir)
+    return _ingested(spark, sf_dir).tables(
+        **{name: inventory.table(name) for name in REFERENCE_DDL})
+
+
+def lake_accepted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounting.accepted_event_totals(_lake_tables(spark, sf_dir), ALL_HISTORY)
+
+
+def lake_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounting.reconciliation(_lake_tables(spark, sf_dir), ALL_HISTORY)
+
+
+def lake_late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _lake_tables(spark, sf_dir)
+    now = tables.newest("connectivity_events", "event_timestamp")
+    return accounting.late_records(tables, ALL_HISTORY, now, ALL_HISTORY)
+
+
+def lake_duplicate_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _lake_tables(spark, sf_dir)
+    now = tables.newest("connectivity_events", "_kafka_timestamp")
+    return accounting.duplicate_origin(tables, now, ALL_HISTORY, ALL_HISTORY)
+
+
 def compact_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _ingested(spark, sf_dir)
     results = []
@@ -170,10 +219,10 @@ def maintenance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = maintenance.SMALL_FILE_MB * maintenance.MB
     before = _kept(maintenance.file_stats(lake))
     plan = maintenance.maintenance_plan(before, min_small_files=2)
-    maintenance.compact_planned(lake, plan, size)
+    results = maintenance.compact_planned(lake, plan, size)
     after = maintenance.file_stats(lake)
-    return maintenance.maintenance_report(before, after).select(
-        F.col("table").alias("table_name"), "records_before", "records_after",
+    return maintenance.maintenance_report(before, after, results).select(
+        F.col("table").alias("table_name"), "records_before", "records_after", "status",
         (F.col("files_after") < F.col("files_before")).alias("fewer_files"))
 
 
@@ -300,7 +349,13 @@ QUERIES = {
     "maintenance_plan": maintenance_plan,
     "compact": compact,
     "compact_during_ingest": compact_during_ingest,
+    "compact_large": compact_large,
     "compact_verify": compact_verify,
+    "file_listing": file_listing,
+    "lake_accepted_totals": lake_accepted_totals,
+    "lake_reconciliation": lake_reconciliation,
+    "lake_late_records": lake_late_records,
+    "lake_duplicate_origin": lake_duplicate_origin,
     "maintenance_report": maintenance_report,
     "read_reference": read_reference,
     "header_check": header_check,

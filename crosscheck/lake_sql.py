@@ -53,12 +53,22 @@ SQL: dict[str, str] = {
             FROM ({TOTALS}), (SELECT unnest([2, 1000000]) AS k)""", days_=DAYS),
     "compact": COMPACTED,
     "compact_during_ingest": COMPACTED,
+    "compact_large": COMPACTED,
+    "file_listing": m("""
+        SELECT table_name, event_timestamp::DATE AS day, count(*) AS rows,
+               max(_kafka_timestamp) AS last_arrival, true AS has_bytes FROM accepted GROUP BY 1, 2
+        UNION ALL
+        SELECT 'rejected_events', _kafka_timestamp::DATE, count(*), max(_kafka_timestamp), true
+        FROM rejects GROUP BY 2"""),
+    **{f"lake_{short}": REPORTS[name] for short, name in (
+        ("accepted_totals", "accepted_event_totals"), ("reconciliation", "reconciliation"),
+        ("late_records", "late_records"), ("duplicate_origin", "duplicate_origin"))},
     "compact_verify": m(
         f"""SELECT table_name, rows AS rows_before, rows AS rows_after, true AS same_rows
             FROM ({TOTALS})""", days_=DAYS),
     "maintenance_report": m(
         f"""SELECT table_name, rows AS records_before, rows AS records_after,
-                   true AS fewer_files FROM ({TOTALS})""", days_=DAYS),
+                   'ok' AS status, true AS fewer_files FROM ({TOTALS})""", days_=DAYS),
     "read_reference": m("SELECT * FROM devices"),
     "header_check": "SELECT 'header' AS rule, 'device_dependencies' AS entity, "
                     "'child,parent,dependency_type' AS detail",

@@ -1,5 +1,6 @@
 import csv
 import json
+import os
 import re
 from datetime import datetime, timedelta
 
@@ -33,7 +34,7 @@ def test_plan_is_justified_and_bounded(spark):
     plan = {r["table"]: (r["action"], r["reason"])
             for r in maintenance.maintenance_plan(stats).collect()}
     assert plan["few"][0] == "skip" and "min_small_files" in plan["few"][1]
-    assert plan["much"][0] == "skip" and "max_rewrite_mb" in plan["much"][1]
+    assert plan["much"][0] == "compact" and "2,952.0 MB are left to later runs" in plan["much"][1]
     assert plan["fine"][0] == "compact" and "day partitions" in plan["fine"][1]
 
 
@@ -63,39 +64,38 @@ def test_compaction_keeps_rows_and_the_newest_batch(spark, tmp_path):
 
 def test_a_batch_that_arrives_during_compaction_stays(spark, tmp_path, monkeypatch):
     lake = _lake(spark, tmp_path / "lake")
-    write, arrived = maintenance.write_by_day, []
+    write, arrived = Lake.write_files, []
 
-    def slow_write(*rows_and_place):
-        write(*rows_and_place)
+    def slow_write(lake_, table, rows, batch_id):
+        files = write(lake_, table, rows, batch_id)
         if not arrived:
+            arrived.append(True)
             for n in (4, 5):
                 route_batch(lake, raw(spark, encoded({**CONNECTIVITY, "sequence_number": n + 1})),
                             batch_name("run", n))
-            arrived.append(True)
+        return files
 
-    monkeypatch.setattr(maintenance, "write_by_day", slow_write)
-    assert maintenance.compact(lake, "connectivity_events")["status"] == "ok"
+    monkeypatch.setattr(Lake, "write_files", slow_write)
+    result = maintenance.compact(lake, "connectivity_events")
+    assert result["status"] == "ok" and result["files_replaced"] >= 3
     numbers = [r[0] for r in lake.read("connectivity_events").select("sequence_number").collect()]
     assert sorted(numbers) == [1, 1, 2, 2, 3, 3, 4, 4, 5, 6]
 
 
-def test_readers_across_the_switch_see_every_row(spark, tmp_path, monkeypatch):
-    """One read is made before the compaction and runs after it; another lists its files
-    while the compaction appears."""
-    lake = _lake(spark, tmp_path / "lake")
-    older, look_up, switched = lake.read("connectivity_events"), Lake.compactions, []
-
-    def switches_after(lake_, table):
-        found = look_up(lake_, table)
-        if not switched:
-            switched.append(True)
-            maintenance.compact(lake, "connectivity_events")
-        return found
-
-    monkeypatch.setattr(Lake, "compactions", switches_after)
-    across = lake.read("connectivity_events")
-    assert switched and look_up(lake, "connectivity_events")
-    assert older.count() == across.count() == lake.read("connectivity_events").count() == 8
+def test_readers_across_the_switch_see_every_row_of_one_version(spark, tmp_path):
+    lake, table = _lake(spark, tmp_path / "lake"), "connectivity_events"
+    version = lake.log(table).head()
+    older = lake.read(table, version)
+    maintenance.compact(lake, table)
+    newer = lake.read(table)
+    assert lake.log(table).head().number == version.number + 1
+    assert older.count() == newer.count() == lake.read(table, version).count() == 8
+    for df in (older, newer):
+        plan = df.where("event_day > '2000-01-01'")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan
+    files = [set(maintenance.files(lake, table, v).select("path").toPandas().path)
+             for v in (version, lake.log(table).head())]
+    assert len(files[0] & files[1]) == 1 and len(files[1]) < len(files[0])
 
 
 def test_compactions_follow_each_other_while_old_files_stay(spark, tmp_path):
@@ -104,20 +104,105 @@ def test_compactions_follow_each_other_while_old_files_stay(spark, tmp_path):
         assert maintenance.compact(lake, "connectivity_events")["status"] == "ok"
         route_batch(lake, raw(spark, encoded({**CONNECTIVITY, "sequence_number": n + 1})),
                     batch_name("run", n))
-    assert len(lake.compactions("connectivity_events")) == 2
     stats = maintenance.file_stats(lake, ["connectivity_events"]).first()
     assert stats["records"] == lake.read("connectivity_events").count() == 10
-    maintenance.finish_compactions(lake, "connectivity_events", timedelta(0))
+    assert lake.log("connectivity_events").expire(0) >= 4
     assert lake.read("connectivity_events").count() == 10
 
 
+def test_a_settled_table_is_not_rewritten_again(spark, tmp_path):
+    lake = _lake(spark, tmp_path / "lake")
+    assert maintenance.compact(lake, "connectivity_events")["chunks"] == 1
+    again = maintenance.compact(lake, "connectivity_events")
+    assert (again["chunks"], again["files_replaced"], again["chunks_left"]) == (0, 0, 0)
+
+
 def test_clean_up_leaves_no_empty_folders(spark, tmp_path):
     lake = _lake(spark, tmp_path / "lake")
     maintenance.compact(lake, "connectivity_events", kept_for=timedelta(0))
     stored = tmp_path / "lake" / "connectivity_events"
-    assert len(list(stored.glob("batch_id=run-*"))) == 1 and lake.compactions(
-        "connectivity_events") == []
+    assert len(list(stored.glob("batch_id=run-*"))) == 1
     assert lake.read("connectivity_events").count() == 8
+    assert lake.log("connectivity_events").expire(0) == 0
+
+
+def test_a_large_table_is_worked_off_over_several_runs(spark, tmp_path):
+    """More small bytes than a run may rewrite; a run that dies in between loses nothing."""
+    lake, table = _lake(spark, tmp_path / "lake", batches=9), "connectivity_events"
+    before = maintenance.fingerprint(lake.read(table))
+    sizes = [r["size"] for r in maintenance.files(lake, table).collect()]
+    budget = 3.5 * max(sizes) / maintenance.MB
+    chunk = 3 * (max(sizes) + maintenance.OPENING_BYTES) / maintenance.MB
+    left, runs = [], 0
+    while not left or left[-1]:
+        done = maintenance.compact(lake, table, max_rewrite_mb=budget, chunk_mb=chunk)
+        assert done["status"] == "ok" and (done["mb_left"] > 0) == (done["chunks_left"] > 0)
+        assert maintenance.fingerprint(lake.read(table)) == before
+        left.append(done["chunks_left"])
+        runs += 1
+    assert runs > 1 and left == sorted(left, reverse=True)
+    assert maintenance.files(lake, table).count() < len(sizes)
+
+
+def test_a_compaction_that_dies_at_any_step_leaves_every_row(spark, tmp_path, monkeypatch):
+    from beaconlake.sources.table_log import TableLog
+
+    lake, table = _lake(spark, tmp_path / "lake"), "connectivity_events"
+    before = maintenance.fingerprint(lake.read(table))
+
+    def dies(*_, **__):
+        raise OSError("executor and driver lost")
+
+    for owner, step in ((Lake, "write_files"), (maintenance, "fingerprint"), (storage, "create_once"),
+                        (TableLog, "remove_only_if_live")):
+        with monkeypatch.context() as broken:
+            broken.setattr(owner, step, dies)
+            with pytest.raises(OSError):
+                maintenance.compact(lake, table)
+        assert maintenance.fingerprint(lake.read(table)) == before
+    assert maintenance.compact(lake, table)["files_replaced"] >= 3
+    with monkeypatch.context() as broken:
+        broken.setattr(storage, "delete", dies)
+        with pytest.raises(OSError):
+            lake.log(table).expire(0)
+    assert maintenance.fingerprint(lake.read(table)) == before
+    assert lake.log(table).expire(0) >= 3
+    stored = tmp_path / "lake" / table
+    named = {r["path"] for r in maintenance.files(lake, table).collect()}
+    assert {str(p.relative_to(stored)) for p in stored.glob("batch_id=*/**/*.parquet")} == named
+    assert maintenance.fingerprint(lake.read(table)) == before
+
+
+def test_of_two_compactions_of_the_same_files_one_lands(spark, tmp_path, monkeypatch):
+    lake, table = _lake(spark, tmp_path / "lake"), "connectivity_events"
+    write, other = Lake.write_files, []
+
+    def slow_write(lake_, *args):
+        files = write(lake_, *args)
+        if not other:
+            other.append(True)
+            other.append(maintenance.compact(lake, table))
+        return files
+
+    monkeypatch.setattr(Lake, "write_files", slow_write)
+    first = maintenance.compact(lake, table)
+    assert first["files_replaced"] == 0 and other[1]["files_replaced"] >= 3
+    assert lake.read(table).count() == 8
+
+
+def test_statistics_equal_the_footers(spark, tmp_path):
+    import duckdb
+
+    lake = _lake(spark, tmp_path / "lake", batches=3)
+    maintenance.compact(lake, "connectivity_events")
+    for table in STREAMED_TABLES:
+        listed = {str(tmp_path / "lake" / table / r["path"]): (r["rows"], r["size"])
+                  for r in maintenance.files(lake, table).collect()}
+        for path, (rows, size) in listed.items():
+            footer = duckdb.sql(f"SELECT num_rows FROM parquet_file_metadata('{path}')").fetchall()[0]
+            assert (rows, size) == (footer[0], os.path.getsize(path))
+    listing = maintenance.file_listing(lake, ["connectivity_events"]).collect()
+    assert sum(r["rows"] for r in listing) == lake.read("connectivity_events").count() == 6
 
 
 def test_a_table_without_files_has_nothing_to_compact(spark, tmp_path):
@@ -134,24 +219,6 @@ def test_doubles_survive_an_export(spark, tmp_path):
     assert sorted(map(repr, read)) == sorted(map(repr, values))
 
 
-def test_readers_see_one_copy_when_compaction_dies_before_the_clean_up(
-        spark, tmp_path, monkeypatch):
-    lake = _lake(spark, tmp_path / "lake")
-    before = maintenance.fingerprint(lake.read("connectivity_events"))
-
-    def dies(spark_, path):
-        raise OSError("executor and driver lost")
-
-    with monkeypatch.context() as broken:
-        broken.setattr(storage, "delete", dies)
-        with pytest.raises(OSError):
-            maintenance.compact(lake, "connectivity_events", kept_for=timedelta(0))
-    assert maintenance.fingerprint(lake.read("connectivity_events")) == before
-    assert maintenance.finish_compactions(lake, "connectivity_events") == 0  # not yet
-    assert maintenance.finish_compactions(lake, "connectivity_events", timedelta(0)) >= 3
-    assert maintenance.fingerprint(lake.read("connectivity_events")) == before
-
-
 def test_csv_reads_back_and_tampering_shows(spark, tmp_path):
     """Texts that need quoting, and every kind of value, next to Python's own CSV reader."""
     texts = ["plain", "a,b", 'quote " inside', " spaced ", "ünï"]

@@ -85,7 +85,7 @@ def test_day_bounds_prune_partitions(spark, tmp_path):
     assert "event_timestamp" in plan.split("PushedFilters: [")[1].split("]")[0]
 
 
-def test_reports_and_checks_prune_every_event_scan(spark, tmp_path):
+def test_reports_and_checks_prune_every_event_scan(spark, sf_dir, tmp_path):
     from datetime import timedelta
 
     from pyspark.sql import functions as F
@@ -94,13 +94,21 @@ def test_reports_and_checks_prune_every_event_scan(spark, tmp_path):
     from beaconlake.plans import accounting
     lake = Lake(spark, str(tmp_path / "lake"))
     route_batch(lake, raw_rows(spark, encoded(CONNECTIVITY)), "run-0000000000")
-    tables, now = lake.tables(), F.lit(ARRIVED.replace(hour=22))
+    inventory = benchdata.network_tables(spark, sf_dir)
+    tables = lake.tables(devices=inventory.devices, sites=inventory.sites)
+    now = F.lit(ARRIVED.replace(hour=22))
 
     def days_filtered(df):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         return plan.count("_day#") > 0 and plan.count("isnull(arrival_day#") + plan.count(
             "isnull(event_day#") >= len(EVENT_TABLES)
 
+    for report in (accounting.accepted_event_totals, accounting.reconciliation):
+        plan = report(tables)._jdf.queryExecution().optimizedPlan().toString()
+        scans = [line for line in plan.splitlines() if "Relation [" in line and "_kafka_topic" in line]
+        assert scans and plan.count("isnull(event_day#") + plan.count("isnull(arrival_day#") >= len(scans)
+        assert "scalar-subquery" not in plan and "Anti" not in plan
+    assert accounting.accepted_event_totals(tables).first()["event_count"] == 1
     assert days_filtered(accounting.duplicate_origin(tables, as_of=now))
     assert days_filtered(accounting.late_records(tables, as_of=now))
     probes = {p.checks[0]: p for p in quality.event_probes(tables, timedelta(hours=6), now)
