@@ -19,11 +19,13 @@ Rows that repeat are scored alike. Only `doc_id` and `text` are read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +45,9 @@ RATE = 0.1
 SHRINK = 1e-6
 # A sentence from this probability on is reported.
 OFFENDING = 0.5
+# A longer text is read in pieces of about so many bytes, cut between sentences.
+PIECE_BYTES = 1 << 20
+_STOP = re.compile(rb"[.!?\n]")
 
 
 class Model(NamedTuple):
@@ -99,6 +104,39 @@ class Reader:
             np.searchsorted(lead, words.first), words.start[lead], words.end[last] if n else lead)
 
 
+class Piece(NamedTuple):
+    """A chunk of whole sentences: for each of its documents, which of the given texts it is (or is
+    a part of)."""
+    chunk: tb.Chunk
+    owner: np.ndarray
+
+
+def _cut(text: bytes) -> Iterator[bytes]:
+    begin = 0
+    while len(text) - begin > PIECE_BYTES:
+        stop = _STOP.search(text, begin + PIECE_BYTES)
+        if stop is None:
+            break
+        yield text[begin: stop.end()]
+        begin = stop.end()
+    yield text[begin:]
+
+
+def pieces(texts: pa.Array) -> Iterator[Piece]:
+    """All texts in order, about a megabyte at a time; no sentence is in two pieces."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    long = pc.greater(pc.binary_length(texts), PIECE_BYTES).to_numpy(zero_copy_only=False)
+    at = 0
+    for stop in [*np.flatnonzero(long).tolist(), len(texts)]:
+        for chunk in tb.chunks(texts[at:stop]):
+            yield Piece(chunk, at + chunk.first_row + np.arange(len(chunk.offsets) - 1))
+        if stop < len(texts):
+            for part in _cut(texts[stop].as_py().encode()):
+                for chunk in tb.chunks(pa.array([part], pa.large_binary()).cast(pa.large_string())):
+                    yield Piece(chunk, np.array([stop]))
+        at = stop + 1
+
+
 def _sums(values: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Sum of each run of values that begins at `start`; no run is empty."""
     return np.add.reduceat(values, start) if len(start) else np.zeros(0, values.dtype)
@@ -108,38 +146,63 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _log_clean(p: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Logarithm of the chance that none of the sentences between two entries of `first` is toxic."""
+    logs = np.concatenate([[0.0], np.cumsum(np.log1p(-np.minimum(p, 1 - 1e-12)))])
+    return logs[first[1:]] - logs[first[:-1]]
+
+
 def _noisy_or(p: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Of the sentences between each two entries of `first`; 0 where there are none."""
-    logs = np.concatenate([[0.0], np.cumsum(np.log1p(-np.minimum(p, 1 - 1e-12)))])
-    return -np.expm1(logs[first[1:]] - logs[first[:-1]])
-
-
-def telling(features: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Which features differ between the labels by more than chance, by documents they are in."""
-    held = np.unique(doc.astype(np.int64) * FEATURES + features)
-    in_toxic = np.bincount(held % FEATURES, toxic[held // FEATURES], FEATURES)
-    in_any = np.bincount(held % FEATURES, minlength=FEATURES).astype(float)
-    n, share = len(toxic), toxic.mean()
-    expected = in_any * share
-    spread = expected * (1 - share) * np.maximum(1 - in_any / n, 1 / n)
-    chi2 = (in_toxic - expected) ** 2 / np.maximum(spread, 1e-9)
-    return (in_any >= LEAST_DOCS) & (chi2 >= LEAST_CHI2)
-
-
-def fit(features: np.ndarray, start: np.ndarray, first: np.ndarray, toxic: np.ndarray,
-        weight: np.ndarray) -> Model:
-    """Gradient descent (Adam) on the documents' weighted cross-entropy with a small weight decay."""
-    sentence = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(features))))
-    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    chosen = telling(features, doc[sentence], toxic)
-    names = np.flatnonzero(chosen)
-    part = chosen[features]
-    features, sentence = np.searchsorted(names, features[part]), sentence[part]
+    return -np.expm1(_log_clean(p, first))
+
+
+class Telling:
+    """Which features differ between the labels by more than chance, by documents they are in;
+    counted piece by piece."""
+
+    def __init__(self, toxic: np.ndarray):
+        self.toxic = toxic
+        self.in_any, self.in_toxic = np.zeros(FEATURES), np.zeros(FEATURES)
+        self.open, self.seen = -1, np.zeros(0, np.int64)
+
+    def add(self, owner: np.ndarray, features: np.ndarray) -> None:
+        """Documents (in order) and the features in them; the last one may go on."""
+        if not len(owner):
+            return
+        held = np.unique(owner.astype(np.int64) * FEATURES + features)
+        if self.open >= 0:
+            held = np.union1d(held, self.seen)
+        self.open = int(held[-1] // FEATURES)
+        ready = int(np.searchsorted(held, self.open * FEATURES))
+        self._count(held[:ready])
+        self.seen = held[ready:].copy()
+
+    def _count(self, held: np.ndarray) -> None:
+        names = held % FEATURES
+        self.in_any += np.bincount(names, minlength=FEATURES)
+        self.in_toxic += np.bincount(names, self.toxic[held // FEATURES], FEATURES)
+
+    def chosen(self) -> np.ndarray:
+        self._count(self.seen)
+        self.open, self.seen = -1, self.seen[:0]
+        n, share = len(self.toxic), self.toxic.mean()
+        expected = self.in_any * share
+        spread = expected * (1 - share) * np.maximum(1 - self.in_any / n, 1 / n)
+        chi2 = (self.in_toxic - expected) ** 2 / np.maximum(spread, 1e-9)
+        return (self.in_any >= LEAST_DOCS) & (chi2 >= LEAST_CHI2)
+
+
+def fit(names: np.ndarray, features: np.ndarray, sentence: np.ndarray, doc: np.ndarray,
+        toxic: np.ndarray, weight: np.ndarray) -> Model:
+    """Gradient descent (Adam) on the documents' weighted cross-entropy with a small weight decay.
+    `features` are places in `names`, each in its `sentence`; `doc` is the document of a sentence."""
     weights, bias = np.zeros(len(names)), -5.0
+    first = np.searchsorted(doc, np.arange(len(toxic) + 1))
     each = weight / weight.sum()
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for step in range(1, STEPS + 1):
-        p = _logistic(np.bincount(sentence, weights[features], len(start)) + bias)
+        p = _logistic(np.bincount(sentence, weights[features], len(doc)) + bias)
         whole = np.clip(_noisy_or(p, first), 1e-9, 1 - 1e-9)
         # d loss / d logit of a sentence: p for a clean document, -p (1 - P) / P for a toxic one.
         slope = np.where(toxic, -(1 - whole) / whole, 1.0) * each
@@ -154,28 +217,45 @@ def fit(features: np.ndarray, start: np.ndarray, first: np.ndarray, toxic: np.nd
     return Model(whole, bias)
 
 
+def fit_texts(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray) -> Model:
+    """Read twice: to count in how many documents each feature is, and to keep the few features
+    that tell the labels apart. So memory follows those and the number of sentences."""
+    reader, counts = Reader(), Telling(toxic)
+    for piece in pieces(texts):
+        s = reader.sentences(piece.chunk)
+        doc = piece.owner[np.searchsorted(s.first, np.arange(len(s.start)), "right") - 1]
+        counts.add(np.repeat(doc, np.diff(np.append(s.start, len(s.features)))), s.features)
+    chosen = counts.chosen()
+    names = np.flatnonzero(chosen)
+    features, sentence, docs, n = [], [], [], 0
+    for piece in pieces(texts):
+        s = reader.sentences(piece.chunk)
+        docs.append(piece.owner[np.searchsorted(s.first, np.arange(len(s.start)), "right") - 1].astype(np.int32))
+        part = chosen[s.features]
+        features.append(np.searchsorted(names, s.features[part]).astype(np.int32))
+        of = np.repeat(np.arange(len(s.start)), np.diff(np.append(s.start, len(s.features))))
+        sentence.append((of[part] + n).astype(np.int32))
+        n += len(s.start)
+    none = [np.zeros(0, np.int32)]
+    return fit(names, *(np.concatenate(none + x) for x in (features, sentence, docs)), toxic, weight)
+
+
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The model of all rows of a partition; texts in a fixed order, so that sums do not depend on
     the order in which tasks answered."""
     rows, of_label = [], {}
     for batch in batches:
-        toxic, labelled, texts = (batch.column(c).to_pylist() for c in ("toxic", "labelled", "text"))
-        rows += zip(toxic, texts)
+        toxic, labelled = (batch.column(c).to_pylist() for c in ("toxic", "labelled"))
+        rows += zip(toxic, batch.column("text").cast(pa.binary()).to_pylist())
         of_label.update(zip(toxic, labelled))
     rows.sort()
     toxic = np.array([t for t, _ in rows]) == 1
     if len(rows) == 0 or toxic.all() or not toxic.any():
         return
-    reader = Reader()
-    features, start, first, held = [], [], [np.zeros(1, np.int64)], 0
-    for chunk in tb.chunks(pa.array([t for _, t in rows], pa.string())):
-        s = reader.sentences(chunk)
-        features.append(s.features)
-        start.append(s.start + held)
-        first.append(s.first[1:] + first[-1][-1])
-        held += len(s.features)
+    texts = pa.array([t for _, t in rows], pa.large_binary()).cast(pa.large_string())
+    rows.clear()
     weight = np.where(toxic, of_label[1] / toxic.sum(), of_label[0] / (~toxic).sum())
-    model = fit(np.concatenate(features), np.concatenate(start), np.concatenate(first), toxic, weight)
+    model = fit_texts(texts, toxic, weight)
     names = np.flatnonzero(model.weights)
     yield pa.RecordBatch.from_arrays([
         pa.array([names.tolist()], pa.list_(pa.int32())),
@@ -226,25 +306,25 @@ def _scorer(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
-            scores, counts, spans = [], [], []
-            for chunk in tb.chunks(batch.column("text")):
+            n = batch.num_rows
+            clean, counts, read = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+            spans: list[list[dict]] = [[] for _ in range(n)]
+            for piece in pieces(batch.column("text")):
+                chunk, owner = piece
                 s = reader.sentences(chunk)
                 p = _logistic(_sums(weights[s.features].astype(np.float64), s.start) + bias)
-                scores.append(_noisy_or(p, s.first))
-                counts.append(np.diff(s.first))
+                clean[owner] += _log_clean(p, s.first)
+                counts[owner] += np.diff(s.first)
                 points = np.concatenate([[0], np.cumsum((chunk.buf & 0xC0) != 0x80)])
-                found: list[list[dict]] = [[] for _ in range(len(s.first) - 1)]
                 for i in np.flatnonzero(p >= OFFENDING).tolist():
-                    doc = int(np.searchsorted(s.first, i, "right")) - 1
-                    base = points[chunk.offsets[doc]]
-                    found[doc].append({"start": int(points[s.begin[i]] - base),
-                                       "end": int(points[s.end[i]] - base),
-                                       "score": round(float(p[i]), 9)})
-                spans.extend(found)
-            none = [np.zeros(0)]
+                    part = int(np.searchsorted(s.first, i, "right")) - 1
+                    base = points[chunk.offsets[part]] - read[owner[part]]
+                    spans[owner[part]].append({
+                        "start": int(points[s.begin[i]] - base), "end": int(points[s.end[i]] - base),
+                        "score": round(float(p[i]), 9)})
+                read[owner] += np.diff(points[chunk.offsets])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.round(np.concatenate(none + scores), 9)),
-                 pa.array(np.concatenate(none + counts).astype(np.int64)),
+                [batch.column("doc_id"), pa.array(np.round(-np.expm1(clean), 9)), pa.array(counts),
                  pa.array(spans, _SPANS)], names=["doc_id", "score", "n_sentences", "offending"])
     return score
 
@@ -269,12 +349,12 @@ def _flagger(model: Model):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
-            scores = [np.zeros(0)]
-            for chunk in tb.chunks(batch.column(batch.schema.names.index("text"))):
+            logs = np.zeros(batch.num_rows)
+            for chunk, owner in pieces(batch.column(batch.schema.names.index("text"))):
                 s = reader.sentences(chunk)
                 p = _logistic(_sums(weights[s.features].astype(np.float64), s.start) + bias)
-                scores.append(_noisy_or(p, s.first))
-            yield batch.filter(pa.array(np.round(np.concatenate(scores), 9) < 0.5))
+                logs[owner] += _log_clean(p, s.first)
+            yield batch.filter(pa.array(np.round(-np.expm1(logs), 9) < 0.5))
     return clean
 
 

@@ -392,3 +392,82 @@ def test_digests_of_many_ends(spark, monkeypatch):
 def test_sql_is_given_where_it_can_say_it():
     """Tokenizing is beyond SQL."""
     assert {"op12_prefix_trie", "op13_line_dedup"} <= set(ORACLE)
+
+
+# 3 toxicity: texts in pieces
+
+def test_long_texts_are_read_in_pieces_of_whole_sentences(spark, docs, monkeypatch):
+    from beaconlake.llm import toxicity
+
+    marks = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = toxicity.train(docs, marks)
+    rows = spark.createDataFrame(
+        [(r["doc_id"], r["text"]) for r in docs.collect()] + [(-1, "Ein Satz. " * 500 + "é ü!" * 90)],
+        "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(toxicity, "OFFENDING", 1e-4)
+    whole = toxicity.scored(rows, model).orderBy("doc_id").collect()
+    batch = rows.toArrow().combine_chunks().to_batches()[0]
+    monkeypatch.setattr(toxicity, "PIECE_BYTES", 300)
+    parts = list(toxicity._scorer(model)([batch]))[0]
+    got = {d: (s, n, o) for d, s, n, o in zip(*(c.to_pylist() for c in parts.columns))}
+    for r in whole:
+        score, n, spans = got[r["doc_id"]]
+        assert n == r["n_sentences"] and abs(score - r["score"]) < 1e-8
+        assert [(x["start"], x["end"]) for x in spans] == [(x["start"], x["end"]) for x in r["offending"]]
+    assert sum(len(o) for *_, o in got.values()) > 0
+
+
+def test_the_fit_does_not_depend_on_pieces(monkeypatch):
+    import pyarrow as pa
+
+    from beaconlake.llm import toxicity
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    texts, toxic = [], []
+    for i in range(60):
+        text = [" ".join(rng.choices(words, k=6)) for _ in range(rng.choice([1, 3, 30]))]
+        if i % 3 == 0:
+            text.insert(rng.randrange(len(text) + 1), "böse worte hier " + rng.choice(words))
+        texts.append(". ".join(text))
+        toxic.append(i % 3 == 0)
+    args = pa.array(texts, pa.large_string()), np.array(toxic), np.ones(60)
+    whole = toxicity.fit_texts(*args)
+    monkeypatch.setattr(toxicity, "PIECE_BYTES", 64)
+    parts = toxicity.fit_texts(*args)
+    assert whole.weights.any() and np.allclose(whole.weights, parts.weights) and np.isclose(whole.bias, parts.bias)
+    # Features by documents, the plain way.
+    counts = toxicity.Telling(np.array(toxic))
+    held = [(0, 5), (0, 5), (0, 7), (1, 5), (1, 9), (2, 7)]
+    for k in range(0, 6, 2):
+        counts.add(np.array([d for d, _ in held[k:k + 2]]), np.array([f for _, f in held[k:k + 2]]))
+    counts.chosen()
+    assert (counts.in_any[[5, 7, 9]] == [2, 2, 1]).all()
+
+
+def test_the_fit_stays_small_on_64_mb():
+    """Peak of the process above what the texts take, in a process of its own."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from beaconlake.llm import toxicity
+toxicity.STEPS = 3
+rng = np.random.default_rng(1)
+words = np.array([f"wort{i}" for i in range(50_000)])
+texts = []
+for i in range(2000):
+    w = words[rng.integers(0, 50_000, 3200)]
+    w[::12] = np.char.add(w[::12], ".")
+    texts.append(" ".join(w) + (" boese worte" if i % 2 else ""))
+texts = pa.array(texts, pa.large_string())
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+toxicity.fit_texts(texts, np.arange(2000) % 2 == 1, np.ones(2000))
+after = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+print(texts.nbytes >> 20, (after - before) >> 10)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=200, check=True)
+    size, more = map(int, out.stdout.split())
+    assert size >= 55 and more < 400
