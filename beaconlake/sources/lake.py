@@ -130,6 +130,11 @@ class Lake:
             lambda name: self.read(name, version(name)) if name in STREAMED_TABLES else reference[name],
             newest=newest)
 
+    def create_views(self) -> None:
+        """The streamed tables by name for SQL, each as of its newest version."""
+        for table in STREAMED_TABLES:
+            self.read(table).createOrReplaceTempView(table)
+
     def ready(self) -> None:
         """Make the streamed tables there, with a first version, before anything is written."""
         for table in STREAMED_TABLES:

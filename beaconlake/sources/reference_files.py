@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..model import REFERENCE_DDL, schema_of
 from ..operators import reference_rules
 from ..session import ensure_checkpoint_dir
-from . import catalog, storage
+from . import catalog, intents, storage
 
 # Where each table's file and manifest are, and how the manifest counts.
 FILES = {
@@ -150,9 +150,11 @@ def table_checksum(bundle: Bundle) -> dict[str, str]:
 
 
 def publish_reference(bundle: Bundle, database: str, warehouse: str) -> dict[str, str]:
-    """Replace each table unless it already holds this very source; action per table."""
+    """Replace each table unless it already holds this very source; action per table. A location
+    is written once: one that is complete, and may be live, is never written again."""
     spark, actions = bundle.spark, {}
     for table, sha in table_checksum(bundle).items():
+        catalog.finish_publishing(spark, database, table, f"{warehouse}/{table}")
         held = catalog.published_properties(spark, database, table)
         if held.get(SHA_PROPERTY) == sha and held.get(VERSION_PROPERTY) == LOADER_VERSION:
             actions[table] = "unchanged"
@@ -162,7 +164,8 @@ def publish_reference(bundle: Bundle, database: str, warehouse: str) -> dict[str
             "_source_file": F.lit("/".join(FILES[table])), "_source_sha256": F.lit(sha),
             "_loaded_at": F.current_timestamp(),
         })
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(location)
+        if not intents.complete(spark, location):
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(location)
         catalog.publish(spark, database, table, location,
                         {SHA_PROPERTY: sha, VERSION_PROPERTY: LOADER_VERSION})
         actions[table] = "loaded"
