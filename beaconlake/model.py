@@ -90,6 +90,8 @@ CLOCK_DAYS = {"event_timestamp": "event_day", "_kafka_timestamp": "arrival_day"}
 EVENT_TABLES = tuple(f.table for f in FAMILIES)
 REFERENCE_TABLES = tuple(REFERENCE_DDL)
 REJECT_TABLE = "rejected_events"
+# Every accepted event once, of all families: envelope and lineage.
+CURATED_TABLE = "curated_events"
 ALL_TABLES = (
     *EVENT_TABLES, REJECT_TABLE, "sites", "devices", "device_dependencies", "census_block_groups",
 )
@@ -119,6 +121,8 @@ def table_schema(table: str) -> T.StructType:
         return event_schema(table)
     if table == REJECT_TABLE:
         return schema_of(REJECTED_DDL)
+    if table == CURATED_TABLE:
+        return schema_of(f"table_name string, {ENVELOPE_DDL}, {LATE_LINEAGE_DDL}")
     return schema_of(f"{REFERENCE_DDL[table]}, {REFERENCE_LINEAGE_DDL}")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import (
-    ALL_TABLES, CLOCK_DAYS, EVENT_TABLES, REJECT_TABLE, NetworkTables, table_schema,
+    ALL_TABLES, CLOCK_DAYS, CURATED_TABLE, EVENT_TABLES, REJECT_TABLE, NetworkTables, table_schema,
 )
 from . import storage
 from .table_log import TableLog, Version
@@ -35,6 +35,12 @@ MAX_RECORDS_PER_FILE = 5_000_000
 LOGGED_CLOCKS = {"event_timestamp": "event", "_kafka_timestamp": "arrival"}
 
 
+def logged_path() -> Column:
+    """The path of a row's file as the log has it."""
+    path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    return F.regexp_replace(path, r"^.*?(batch_id=[^/]*/write_id=)", "$1")
+
+
 def day_sources(table: str) -> dict[str, str]:
     """Partition columns of a table, outermost first, and the clocks they are the days of.
     Nearly all records arrive on the day they were measured, so the second day of events
@@ -54,7 +60,7 @@ class Lake:
     root: str
 
     def path(self, table: str) -> str:
-        if table not in ALL_TABLES:
+        if table not in (*ALL_TABLES, CURATED_TABLE):
             raise ValueError(f"unknown table {table!r}; known: {', '.join(ALL_TABLES)}")
         return f"{self.root}/{table}"
 
@@ -80,10 +86,8 @@ class Lake:
         write_by_day(rows, table, folder)
         days = list(day_sources(table))
         clocks = {c: name for c, name in LOGGED_CLOCKS.items() if c in table_schema(table).names}
-        path = F.regexp_replace(F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")),
-                                r"^.*?(batch_id=[^/]*/write_id=)", "$1")
         found = self._read(table, [folder]).groupBy(
-            path.alias("path"), F.col("_metadata.file_size").alias("size"), *days).agg(
+            logged_path().alias("path"), F.col("_metadata.file_size").alias("size"), *days).agg(
             F.count(F.lit(1)).alias("rows"),
             *[f(F.unix_micros(F.col(c).cast("timestamp"))).alias(f"{side}_{name}")
               for c, name in clocks.items() for f, side in ((F.min, "first"), (F.max, "last"))])

@@ -8,15 +8,17 @@ import uuid
 from datetime import timedelta
 from functools import partial, reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.model import REFERENCE_DDL, newest, schema_of
+from beaconlake.model import CURATED_TABLE, REFERENCE_DDL, newest, schema_of
 from beaconlake.operators import export, maintenance
 from beaconlake.plans import accounting
 from beaconlake.session import work_folder
 from beaconlake.sources import benchdata, catalog, raw, reference_files, storage
 from beaconlake.sources.lake import STREAMED_TABLES, Lake, day_source
+from beaconlake.streaming import curate_stream
 from beaconlake.streaming.ingest_stream import batch_name, route_batch, start_ingest
 
 ALL_HISTORY = timedelta(days=60)
@@ -202,6 +204,38 @@ def lake_duplicate_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounting.duplicate_origin(tables, now, ALL_HISTORY, ALL_HISTORY)
 
 
+def curated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event once: a run that dies after its first merge, its restart, and all records again
+    under the same and under later coordinates."""
+    folder, name = work_folder(spark), f"c{uuid.uuid4().hex[:8]}"
+    path = _raw_folder(spark, sf_dir, folder)
+    lake, died = Lake(spark, f"{folder}/lake"), []
+
+    def dying(target: Lake, batch: DataFrame, batch_id: str) -> None:
+        curate_stream.merge(target, batch, batch_id)
+        if not died:
+            died.append(batch_id)
+            raise RuntimeError("lost before the commit")
+
+    def run(records: DataFrame, checkpoint: str, number: int) -> None:
+        curate_stream.start_curation(
+            records, lake, checkpoint, f"{name}_{number}", None, benchdata.ACCESS_DIGITS, dying
+        ).awaitTermination()
+
+    try:
+        run(raw.file_records(spark, path, 3), f"{folder}/checkpoint", 0)
+    except StreamingQueryException:
+        run(raw.file_records(spark, path, 3), f"{folder}/checkpoint", 0)
+    rows = spark.read.parquet(path)
+    resent = rows.withColumns({"offset": F.col("offset") + 1_000_000_000,
+                               "timestamp": F.col("timestamp") + F.expr("INTERVAL 1 DAY")})
+    rows.unionByName(resent).write.parquet(f"{folder}/again")
+    run(raw.file_records(spark, f"{folder}/again", 8), f"{folder}/checkpoint-again", 1)
+    return lake.read(CURATED_TABLE).select(
+        "table_name", "event_id", "event_timestamp", "device_id", "sequence_number", "_kafka_partition",
+        "_kafka_offset", "event_day")
+
+
 def compact_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _ingested(spark, sf_dir)
     results = []
@@ -350,6 +384,7 @@ QUERIES = {
     "compact": compact,
     "compact_during_ingest": compact_during_ingest,
     "compact_large": compact_large,
+    "curated_events": curated_events,
     "compact_verify": compact_verify,
     "file_listing": file_listing,
     "lake_accepted_totals": lake_accepted_totals,

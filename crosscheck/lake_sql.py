@@ -54,6 +54,11 @@ SQL: dict[str, str] = {
     "compact": COMPACTED,
     "compact_during_ingest": COMPACTED,
     "compact_large": COMPACTED,
+    "curated_events": m("""
+        SELECT DISTINCT ON (event_id) table_name, event_id, event_timestamp, device_id,
+               sequence_number, _kafka_partition, _kafka_offset, event_timestamp::DATE AS event_day
+        FROM accepted
+        ORDER BY event_id, _kafka_timestamp, _kafka_topic, _kafka_partition, _kafka_offset"""),
     "file_listing": m("""
         SELECT table_name, event_timestamp::DATE AS day, count(*) AS rows,
                max(_kafka_timestamp) AS last_arrival, true AS has_bytes FROM accepted GROUP BY 1, 2
