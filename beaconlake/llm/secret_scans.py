@@ -4,16 +4,19 @@ The grammar is a probabilistic automaton over character classes, inferred as by
 credentials build a prefix tree with counts; states whose endings and continuations are
 statistically compatible (Hoeffding bound, recursively) are merged, red-blue order. A second one is
 inferred from all strings of the corpus that no base rule marks. A candidate is a run of LEAST
-or more token characters with a digit in it; its format likelihood is the difference of the mean
-log-probabilities per character under both. Candidates that reach the threshold and overlap no base span
-become spans of kind `format`.
-
-Labelled credentials are the values of base matches, of which a documented, bounded sample
-(EXAMPLES, the first by hash) is learned from; unmarked strings are the other distinct candidates,
-and all count. Those that are as likely as the labelled ones are set aside. Of the others Spark
-counts the prefixes, to a depth of LONGEST_EXAMPLE; a prefix that less than one in RESOLUTION of
-them have is a leaf of the tree. The threshold lets at most FALSE_SHARE of them pass, by a
-histogram of all their scores. Every candidate of every whole text is scored.
+or more token characters with a digit and a letter in it; a bare number is none. Its format likelihood
+is the difference of the mean log-probabilities per character under both. Candidates that reach the
+threshold and overlap no base span become spans of kind `format`.
+
+Labelled credentials are the values of base matches that would be candidates themselves, of which a
+documented, bounded sample (EXAMPLES, the first by hash) is learned from; unmarked strings are the
+other distinct candidates, and all count. An unmarked string that is as likely as the labelled ones
+may be a credential and is set aside, unless its format is common: a format is the string with each
+run of letters and digits as its length and sort, and a common one has over COMMON times as many
+unmarked strings as labelled ones. Of the others Spark counts the prefixes, to a depth of
+LONGEST_EXAMPLE; a prefix that less than one in RESOLUTION of them have is a leaf of the tree. The
+threshold lets at most FALSE_SHARE of them pass, by a histogram of all their scores. Every candidate
+of every whole text is scored.
 
 Cases: a null or empty text has no spans. Without examples of either sort nothing is added. Rows
 that repeat are scanned alike. Only `doc_id` and `text` are read. Offsets are code points.
@@ -51,11 +54,14 @@ ALPHA = 0.05
 FALSE_SHARE = 0.002
 LONGEST_EXAMPLE = 256
 RESOLUTION = 1000
+COMMON = 20
 # Scores are counted in steps of this width for the threshold.
 STEP = 0.001
 # Distinct prefixes that a task holds before it passes their counts on.
 HELD = 200_000
 _END = -1
+_DIGIT, _LETTER = re.compile(rb"[0-9]"), re.compile(rb"[A-Za-z]")
+_RUN, _BEYOND_HEX = re.compile(rb"[A-Za-z0-9]+"), re.compile(rb"[^0-9a-f]")
 
 
 class Span(NamedTuple):
@@ -121,11 +127,24 @@ def base_spans(raw: bytes, runs: list[tuple[int, int]]) -> tuple[list[Span], lis
     return spans, values
 
 
+def is_candidate(value: bytes) -> bool:
+    return len(value) >= LEAST and _DIGIT.search(value) is not None and _LETTER.search(value) is not None
+
+
 def free_candidates(raw: bytes, runs: list[tuple[int, int]], spans: list[Span]) -> list[tuple[int, int]]:
-    return [(a, b) for a, b in runs if any(48 <= c <= 57 for c in raw[a:b])
+    return [(a, b) for a, b in runs if is_candidate(raw[a:b])
             and not any(s.start < b and a < s.end for s in spans)]
 
 
+def format_of(value: bytes) -> bytes:
+    """Each run of letters and digits as its length and sort: digits, letters, hexadecimal, mixed."""
+    def run(m: re.Match) -> bytes:
+        x = m.group()
+        sort = b"9" if x.isdigit() else b"l" if x.isalpha() else b"h" if not _BEYOND_HEX.search(x) else b"m"
+        return str(len(x)).encode() + sort
+    return _RUN.sub(run, value)
+
+
 _ROOT = 0
 
 
@@ -244,12 +263,13 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: set[tuple[bool, bytes]] = set()
         for raw, runs in long_runs(batch.column("text")):
             spans, values = base_spans(raw, runs)
-            rows |= {(True, v[:LONGEST_EXAMPLE]) for v in values}
+            rows |= {(True, v) for v in values if is_candidate(v)}
             rows |= {(False, raw[a:b]) for a, b in free_candidates(raw, runs, spans)}
         ordered = sorted(rows)
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in ordered], pa.bool_()),
-                                          pa.array([r[1] for r in ordered], pa.binary())],
-                                         names=["secret", "value"])
+                                          pa.array([r[1] for r in ordered], pa.binary()),
+                                          pa.array([format_of(r[1]) for r in ordered], pa.binary())],
+                                         names=["secret", "value", "format"])
 
 
 def _prefixes(credentials: Automaton, usual: float):
@@ -257,8 +277,8 @@ def _prefixes(credentials: Automaton, usual: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[tuple[int, int]] = Counter()
         for batch in batches:
-            for value in batch.column("value").to_pylist():
-                if credentials.mean_log(value) >= usual:
+            for value, common in zip(batch.column("value").to_pylist(), batch.column("common").to_pylist()):
+                if not common and credentials.mean_log(value) >= usual:
                     continue
                 name = _ROOT
                 for sign in [*value.translate(CLASSES), _END][:LONGEST_EXAMPLE]:
@@ -280,9 +300,9 @@ def _steps(grammar: Grammar, usual: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[int] = Counter()
         for batch in batches:
-            for value in batch.column("value").to_pylist():
+            for value, common in zip(batch.column("value").to_pylist(), batch.column("common").to_pylist()):
                 likely = grammar.credentials.mean_log(value)
-                if likely < usual:
+                if common or likely < usual:
                     counts[math.floor((likely - grammar.others.mean_log(value)) / STEP)] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()),
                                           pa.array(list(counts.values()), pa.int64())], names=["step", "n"])
@@ -291,7 +311,8 @@ def _steps(grammar: Grammar, usual: float):
 
 def infer(docs: DataFrame, examples: int = EXAMPLES) -> Grammar | None:
     """The grammar, or None without examples of both sorts."""
-    found = saved(docs.select("text").mapInArrow(_examples, "secret boolean, value binary").distinct())
+    found = saved(docs.select("text").mapInArrow(
+        _examples, "secret boolean, value binary, format binary").distinct())
     labelled = [bytes(r["value"]) for r in found.where("secret").orderBy(
         F.xxhash64("value"), "value").limit(examples).select("value").collect()]
     if not labelled:
@@ -299,7 +320,9 @@ def infer(docs: DataFrame, examples: int = EXAMPLES) -> Grammar | None:
     credentials = Automaton(labelled)
     # An unmarked string that is as likely as labelled credentials is no counter-example.
     usual = sorted(credentials.mean_log(v) for v in labelled)[len(labelled) // 20]
-    others = found.where("not secret").select("value")
+    formats = found.groupBy("format").agg((
+        F.count_if(~F.col("secret")) > COMMON * (F.count_if("secret") + 1)).alias("common"))
+    others = saved(found.where("not secret").join(formats, "format").select("value", "common"))
     counts = saved(others.mapInArrow(_prefixes(credentials, usual), "name long, sign int, n long").groupBy(
         "name", "sign").agg(F.sum("n").alias("n")))
     total = counts.where(F.col("name") == _ROOT).agg(F.sum("n")).first()[0]

@@ -471,3 +471,46 @@ print(texts.nbytes >> 20, (after - before) >> 10)
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=200, check=True)
     size, more = map(int, out.stdout.split())
     assert size >= 55 and more < 400
+
+
+# 8 secrets: what the grammar adds
+
+def test_precision_and_recall_on_planted_formats_and_decoys(spark):
+    """Credentials of a labelled format without a keyword, among strings that look like them."""
+    from beaconlake.llm import secret_scans
+
+    rng = random.Random(11)
+    letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789"
+    hexes = "0123456789abcdef"
+
+    def some(signs, n):
+        return "".join(rng.choices(signs, k=n))
+
+    formats = [lambda: "ghp_" + some(letters, 36), lambda: "sk-live-" + some(letters, 24),
+               lambda: some(letters + "+/", 40)]
+    decoys = [
+        lambda: some("0123456789", 16), lambda: "-".join(some("0123456789", 4) for _ in range(4)),
+        lambda: f"20{some('012', 2)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}T1{rng.randint(0, 9)}.{some('0123456789', 6)}",
+        lambda: "-".join(some(hexes, n) for n in (8, 4, 4, 4, 12)),
+        lambda: f"order-{some('0123456789', 8)}-eu-west", lambda: f"img/2024/photo_{some('0123456789', 5)}.jpeg",
+        lambda: f"www.beispiel.org/seite/{rng.randint(1, 9999)}", lambda: some("0123456789", 22),
+    ]
+    rows = [(i, f'api_key = "{formats[i % 3]()}"') for i in range(300)]
+    planted = [(10_000 + i, f"gefunden {formats[i % 3]()} im text") for i in range(60)]
+    ordinary = [(20_000 + i, f"nummer {decoys[i % len(decoys)]()} im text") for i in range(4000)]
+    got = secret_scans.scanned(spark.createDataFrame(rows + planted + ordinary, "doc_id long, text string")).toPandas()
+    found = got[(got.doc_id >= 10_000) & (got.n_format > 0)].doc_id
+    right = (found < 20_000).sum()
+    assert right / 60 >= 0.9 and right / len(found) >= 0.8
+    numbers = {20_000 + i for i in range(4000) if i % len(decoys) in (0, 1, 7)}
+    assert not numbers & set(found)
+
+
+def test_long_labelled_values_are_whole(spark):
+    from beaconlake.llm import secret_scans
+
+    value = "Ab3" * 500
+    rows = list(secret_scans._examples(iter([spark.createDataFrame(
+        [(f"token={value}x y",), (f"token={value}z y",)], "text string").toArrow().combine_chunks().to_batches()[0]])))
+    assert sorted(map(len, rows[0].column("value").to_pylist())) == [1501, 1501]
+    assert secret_scans.format_of(b"sk-12ab_GH9/77") == b"2l-4h_3m/29"
