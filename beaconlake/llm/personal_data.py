@@ -5,10 +5,14 @@ word-shape features: the token's shape and squeezed shape, its length, and the s
 Its chain is a stretch of text: the tokens that hold a digit or `@` with NEAR tokens on either
 side, overlapping ones joined; what is outside is O, as personal data of these kinds cannot do
 without either sign. It is trained by gradient descent on the conditional likelihood of a small
-labelled table: the distinct chains of the corpus, tagged by the base spans, are dealt by the set of kinds
-in them, of each set the first CHAINS by hash are taken, and each weighs as many as it stands for.
-All chains of all texts are decoded by Viterbi, in numpy over many chains at once. Tagged runs
-that overlap no base span are added.
+labelled table of two parts. LABELLED is written by hand: spellings that the base patterns miss, and
+numbers that look like them. The distinct chains of the corpus, tagged by the base spans, are dealt by
+the set of kinds in them, of each set the first CHAINS by hash are taken, and each weighs as many as
+it stands for; the hand-written part weighs LABELLED_SHARE of them together. Chains with a token
+that has an `@` or a card's checksum but no base span are not learned from, as nobody labelled them. All chains of all texts are
+decoded by Viterbi, in numpy over many chains at once. Tagged runs that overlap no base span are
+added if they hold what their kind needs: a card number its checksum, an address four numbers up
+to 255, a phone 8 to 15 digits, an e-mail a sign before its domain.
 
 Cases: a null or empty text has no spans. Tokens count whole, and chains of any length are decoded
 whole; only to learn from they are cut into stretches of LONGEST tokens. Without
@@ -51,6 +55,46 @@ STEPS = 120
 RATE = 0.1
 SHRINK = 1e-3
 CELLS = 1 << 17
+LABELLED_SHARE = 1.0
+# The hand-labelled part of the table. Marked is what the kind before it means.
+LABELLED = """
+call me at phone[0171 2345678] tomorrow
+my number is phone[0049 30 12345678] thanks
+phone[030 / 123 456 78] is the office
+reach us under phone[(030) 123-45678] or
+tel phone[0171/2345678] abends
+ring phone[555-867-5309] after six
+fax phone[040-1234567] und
+mobile phone[0664 123 45 67] bitte
+the card is card[4111.1111.1111.1111] and
+paid with card[4111 / 1111 / 1111 / 1111] today
+card number card[5500_0000_0000_0004] valid
+visa card[4012  8888  8888  1881] ok
+amex and card[6011.1111.1111.1117] both
+write to email[anna @ example.org] please
+mail email[jan.berg @ post.example.com] now
+contact email[info@ example.net] or
+send it to email[kontakt @haus.example] bald
+host ip[10 . 0 . 0 . 12] answers
+from ip[192. 168. 0. 17] again
+at ip[172 .16 .254 .1] port
+order 2023-1234567 was sent
+invoice 4711 0815 from may
+paid 1234.50 for 12 items
+on 2024-05-17 at 10.30 we met
+version 3.14.159 is out
+pages 120 to 345 of 1024
+isbn 978-3-16-148410-0 in stock
+between 1914 and 1918 there
+he scored 21 of 25 points
+room 12 . 4 on floor 3
+code 0000 1111 2222 3333 is void
+number 1234567890123456 is a lot
+serial 9876543210987654 on it
+meet @ 10 or @ 12 today
+about 30 000 people in 2021
+see table 4 . 2 and 4 . 3
+"""
 
 
 class Span(NamedTuple):
@@ -154,8 +198,9 @@ def _token_features(raw: bytes, tokens: list[tuple[int, int]], shape: bytes) ->
         before = short[i - 1] if i else b"^"
         after = short[i + 1] if i + 1 < len(short) else b"$"
         digits = s.count(b"9")
+        sums = 16 <= digits <= 19 and luhn(_digits(raw[tokens[i][0]: tokens[i][1]]))
         names = (b"s" + s, b"q" + short[i], b"p" + before, b"n" + after,
-                 b"l%d,%d" % (min(len(s), 24), digits), b"b" + before + b" " + short[i])
+                 b"l%d,%d,%d" % (min(len(s), 24), digits, sums), b"b" + before + b" " + short[i])
         out[i] = [zlib.crc32(n) % FEATURES for n in names]
     return out
 
@@ -268,6 +313,9 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for tokens in found:
                 features = _token_features(raw, tokens, shape).astype(np.int16)
                 tags = _tags(tokens, spans).astype(np.int8)
+                if any(t == 0 and (b"@" in raw[a:b] or b - a >= 16 and holds("card", raw[a:b]))
+                       for t, (a, b) in zip(tags, tokens)):
+                    continue
                 for at in range(0, len(tokens), LONGEST):
                     rows.add((features[at: at + LONGEST].tobytes(), tags[at: at + LONGEST].tobytes()))
         ordered = sorted(rows)
@@ -311,12 +359,54 @@ def training_sample(docs: DataFrame, limit: int = CHAINS) -> list[tuple[bytes, b
     return out
 
 
+_MARKED = re.compile(r"(\w+)\[([^\]]*)\]")
+
+
+def labelled_chains() -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features and tags of the hand-labelled part of the table."""
+    _, shape = _signs()
+    out = []
+    for line in LABELLED.strip().splitlines():
+        text, spans, at = "", [], 0
+        for m in _MARKED.finditer(line):
+            text += line[at: m.start()]
+            spans.append(Span(m.group(1), len(text), len(text) + len(m.group(2))))
+            text, at = text + m.group(2), m.end()
+        raw = (text + line[at:]).encode()
+        (_, found), = chains(pa.array([raw.decode()]))
+        for tokens in found:
+            out.append((_token_features(raw, tokens, shape), _tags(tokens, sorted(spans, key=lambda s: s.start))))
+    return out
+
+
 def train(docs: DataFrame, limit: int = CHAINS) -> Field | None:
     rows = training_sample(docs, limit)
     if not rows:
         return None
-    return fit([np.frombuffer(f, np.int16).astype(np.int64).reshape(-1, PER_TOKEN) for f, _, _ in rows],
-               [np.frombuffer(t, np.int8) for _, t, _ in rows], np.array([w for _, _, w in rows]))
+    by_hand = labelled_chains()
+    weights = np.array([w for _, _, w in rows])
+    each = weights.sum() * LABELLED_SHARE / len(by_hand)
+    return fit([np.frombuffer(f, np.int16).astype(np.int64).reshape(-1, PER_TOKEN) for f, _, _ in rows]
+               + [f for f, _ in by_hand],
+               [np.frombuffer(t, np.int8) for _, t, _ in rows] + [t.astype(np.int8) for _, t in by_hand],
+               np.concatenate([weights, np.full(len(by_hand), each)]))
+
+
+_NUMBER = re.compile(rb"[0-9]+")
+_SIGN_AND_DOMAIN = re.compile(rb"[A-Za-z0-9._%+-]\x20*@\x20*[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+
+
+def holds(kind: str, value: bytes) -> bool:
+    """Whether a tagged run has what its kind cannot be without."""
+    digits = _digits(value)
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and luhn(digits)
+    if kind == "phone":
+        return 8 <= len(digits) <= 15
+    if kind == "ip":
+        numbers = _NUMBER.findall(value)
+        return len(numbers) == 4 and all(len(n) <= 3 and int(n) <= 255 for n in numbers)
+    return _SIGN_AND_DOMAIN.search(value) is not None
 
 
 def _runs(tokens: list[tuple[int, int]], tags: np.ndarray) -> Iterator[Span]:
@@ -373,7 +463,8 @@ def _scanner(field: Field | None):
             for raw, found in texts:
                 base = base_spans(raw)
                 added = [s for tokens in found for s in _runs(tokens, next(tags))
-                         if not any(b.start < s.end and s.start < b.end for b in base)]
+                         if holds(s.kind, raw[s.start:s.end])
+                         and not any(b.start < s.end and s.start < b.end for b in base)]
                 known, more = _places(raw, base), _places(raw, added)
                 rows.append((*[sum(s.kind == kind for s in known) for kind in KINDS],
                              hashlib.sha256(_written(known).encode()).hexdigest(),
