@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import banded, distance_km, stable_uniform
+from ..functions.grid import nearest
 from ..model import ACCESS_ROLE, NetworkTables
 from ..session import ensure_checkpoint_dir
 
@@ -89,6 +90,15 @@ def nearest_devices(tables: NetworkTables, anchor_id: str, n: int = 40) -> DataF
     ).orderBy("distance_km", "device_id").limit(n)
 
 
+def nearest_devices_all(tables: NetworkTables, anchors: DataFrame, n: int = 40) -> DataFrame:
+    """The n access devices nearest to each anchor device (`anchor_id`), ties by id."""
+    places = located_access_devices(tables).select(
+        F.col("device_id").alias("place_id"), "latitude", "longitude")
+    located = anchors.join(tables.devices.select(F.col("device_id").alias("anchor_id"), "site_id"),
+                           "anchor_id").join(tables.sites.select("site_id", "latitude", "longitude"), "site_id")
+    return nearest(located, places, n).withColumnRenamed("place_id", "device_id")
+
+
 def eligible_cohorts(tables: NetworkTables, router_id: str, anchor_id: str) -> DataFrame:
     """What can take part in a comparison next to the incidents of one router:
     (kind, cohort, devices).

@@ -213,7 +213,7 @@ def run(spark: SparkSession, probes: Iterable[Probe]) -> DataFrame:
             row = probe.build().first()
             found += [(c, row[c], None) for c in probe.checks]
         except Exception as error:  # a broken probe is a finding, not the end of the run
-            found += [(c, None, str(error)[:500]) for c in probe.checks]
+            found += [(c, None, str(error)) for c in probe.checks]
     return evaluated(spark.createDataFrame(found, "name string, value double, error string"))
 
 
@@ -275,10 +275,10 @@ def transition_order(tables: NetworkTables) -> DataFrame:
         allowed = reduce(lambda a, b: a | b, [(low == x) & (high == y) for x, y in steps])
         return F.coalesce(allowed, F.lit(False))
 
-    order, day = ["event_timestamp", "event_id"], F.date_trunc("day", "event_timestamp")
+    order, hour = ["event_timestamp", "event_id"], F.date_trunc("hour", "event_timestamp")
     states = tables.connectivity_state_events.select(
         F.col("device_id").alias("subject"), *order, "previous_state", "new_state").distinct()
-    chained = with_previous_value(states, ["subject"], order, "new_state", day, "_before")
+    chained = with_previous_value(states, ["subject"], order, "new_state", hour, "_before")
     moves = chained.select(
         "subject", "event_id", F.col("previous_state").alias("from_step"),
         F.col("new_state").alias("to_step"),
@@ -287,7 +287,7 @@ def transition_order(tables: NetworkTables) -> DataFrame:
         .alias("broken_chain"))
     kinds = tables.infrastructure_events.select(
         F.col("incident_id").alias("subject"), *order, "event_kind").distinct()
-    followed = with_previous_value(kinds, ["subject"], order, "event_kind", day, "_before")
+    followed = with_previous_value(kinds, ["subject"], order, "event_kind", hour, "_before")
     came_from = F.coalesce("_before", F.lit(""))
     stages = followed.select(
         "subject", "event_id", came_from.alias("from_step"), F.col("event_kind").alias("to_step"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timing import before, micros_between, since
@@ -76,3 +76,13 @@ def reject_reasons(tables: NetworkTables) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("records"))
         .orderBy(F.desc("records"), "rejection_reason")
     )
+
+
+def reject_samples(tables: NetworkTables, per_reason: int = 3) -> DataFrame:
+    """The earliest rejected records of each reason with payload and coordinates. A reason with
+    most of the rejects is cut down to a few rows in each task before any are shuffled."""
+    coordinates = ["_kafka_timestamp", "_kafka_topic", "_kafka_partition", "_kafka_offset"]
+    place = F.row_number().over(Window.partitionBy("rejection_reason").orderBy(*coordinates))
+    return tables.rejected_events.select(
+        "rejection_reason", *coordinates, "raw_payload", place.alias("place")
+    ).where(F.col("place") <= per_reason)

@@ -35,7 +35,7 @@ def connectivity_availability(
     )
     held = with_next_value(
         states, ["device_id"], ["event_timestamp", "event_id"],
-        F.date_trunc("day", "event_timestamp"), "_until",
+        F.date_trunc("hour", "event_timestamp"), "_until",
     ).select(
         "device_id", F.col("new_state").alias("state"),
         micros_between(F.col("event_timestamp"), F.coalesce("_until", ended_at)).alias("held"),

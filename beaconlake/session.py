@@ -35,19 +35,27 @@ def local_session(name: str, cpus: int = 8) -> SparkSession:
     return spark
 
 
+def _machine_local(spark: SparkSession, prefix: str) -> str:
+    """A temporary folder of this machine, where one machine is all there is."""
+    master = spark.sparkContext.master
+    if not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
+    return tempfile.mkdtemp(prefix=prefix)
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables: in the shared folder the cluster names in
-    `spark.checkpoint.dir`, or machine-local where that is unset (tests)."""
+    `spark.checkpoint.dir`, or machine-local where that is unset and the master is local (tests)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return f"{shared.rstrip('/')}/beaconlake-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="beaconlake-")
+    return _machine_local(spark, "beaconlake-")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let `DataFrame.checkpoint()` work where the cluster has not set a folder (tests)."""
     context = spark.sparkContext
     if not context.getConf().get("spark.checkpoint.dir") and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="beaconlake-checkpoint-"))
+        context.setCheckpointDir(_machine_local(spark, "beaconlake-checkpoint-"))

@@ -298,6 +298,14 @@ SQL: dict[str, str] = {
         f"""SELECT device_id, {r('distance_km', 6)} AS distance_km FROM (
               SELECT device_id, {HAVERSINE} AS distance_km FROM located_, anchor_ a
               ORDER BY 2, 1 LIMIT 40)""", located_=LOCATED, anchor_=ANCHOR),
+    "nearest_devices_all": m(
+        f"""SELECT anchor_id, device_id, place, {r('distance_km', 6)} AS distance_km FROM (
+              SELECT a.anchor_id, device_id, {HAVERSINE} AS distance_km, row_number() OVER (
+                PARTITION BY a.anchor_id ORDER BY {HAVERSINE}, device_id)::INT AS place
+              FROM located_, anchors_ a) WHERE place <= 5""",
+        located_=LOCATED, anchors_="""SELECT d.device_id AS anchor_id, s.latitude AS lat, s.longitude AS lon
+            FROM devices d JOIN sites s ON s.site_id = d.site_id
+            WHERE d.infrastructure_role <> 'subscriber_edge'"""),
     "eligible_cohorts": m(
         f"""SELECT 'provider_technology' AS kind, provider_id || '|' || technology AS cohort,
               count(*) AS devices FROM located_

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.model import EVENT_TABLES, NetworkTables, newest
+from beaconlake.model import ACCESS_ROLE, EVENT_TABLES, NetworkTables, newest
 from beaconlake.operators import geography, ingest, quality, reference_rules
 from beaconlake.plans import accounting, exploring, incidents, performance
 from beaconlake.sources import benchdata
@@ -165,6 +165,21 @@ def nearest_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.withColumn("distance_km", F.round("distance_km", 6))
 
 
+def nearest_devices_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five access devices nearest to every other device of the network."""
+    tables = benchdata.network_tables(spark, sf_dir)
+    anchors = tables.devices.where(F.col("infrastructure_role") != ACCESS_ROLE).select(
+        F.col("device_id").alias("anchor_id"))
+    return geography.nearest_devices_all(tables, anchors, 5).withColumn(
+        "distance_km", F.round("distance_km", 6))
+
+
+def reject_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exploring.reject_samples(benchdata.network_tables(spark, sf_dir), 2)
+    return found.select("rejection_reason", "place", "_kafka_topic", "_kafka_partition", "_kafka_offset",
+                        (F.col("raw_payload").isNotNull()).alias("has_payload"))
+
+
 def hash_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return geography.hash_bands(events, 42, "event_type", "user_id", "event_id")
@@ -225,6 +240,8 @@ QUERIES: dict[str, Query] = {
         lambda tables: geography.density_percentile(tables.census_block_groups)),
     "developed_score": developed_score,
     "nearest_devices": nearest_devices,
+    "nearest_devices_all": nearest_devices_all,
+    "reject_samples": reject_samples,
     "eligible_cohorts": _on_tables(
         lambda tables: geography.eligible_cohorts(tables, "agg-00", "device-0000")),
     "hash_bands": hash_bands,
