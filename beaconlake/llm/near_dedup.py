@@ -35,6 +35,8 @@ PERCENT = 75
 BANDS, ROWS = 64, 5
 BINS = BANDS * ROWS
 BLOCK = 256
+# Left blocks of a bucket that one task compares with the whole bucket.
+TOGETHER = 8
 # Of 320 bins 240 agree on average at the threshold, with a deviation below 7.8.
 LIKELY = 0.62
 
@@ -210,14 +212,18 @@ def cross_links(texts: DataFrame, buckets: DataFrame, member: DataFrame,
 
 def _met_in_blocks(rows: DataFrame, carried: list[str]) -> DataFrame:
     """`key`, `left`, `right`: each block of a bucket's apart rows with each block of all. One
-    exchange by bucket serves both sides and their join; a large bucket streams through its task
-    block by block."""
-    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK)).alias("block")
-    inside = rows.select("key", block, "apart", F.struct(
-        "doc_id", "component", *carried).alias("m")).repartition("key")
-    right = inside.groupBy("key", "block").agg(F.collect_list("m").alias("right"))
-    left = inside.where("apart").groupBy("key", "block").agg(F.collect_list("m").alias("left"))
-    return left.select("key", "left").join(right.select("key", "right"), "key")
+    exchange serves both sides and their join. A bucket of more than TOGETHER blocks is dealt over
+    several tasks: each has so many of its left blocks, and all right ones stream through it."""
+    blocks = F.ceil(F.col("size") / BLOCK)
+    shares = F.sequence(F.lit(0).cast("bigint"), F.floor((blocks - 1) / TOGETHER))
+    inside = rows.select("key", F.pmod(F.xxhash64("doc_id"), blocks).alias("block"), "apart", F.struct(
+        "doc_id", "component", *carried).alias("m"), F.explode(shares).alias("share")).repartition("key", "share")
+    right = inside.groupBy("key", "share", "block").agg(F.collect_list("m").alias("right"))
+    own = F.floor(F.col("block") / TOGETHER) == F.col("share")
+    left = inside.where(F.col("apart") & own).groupBy("key", "share", "block").agg(
+        F.collect_list("m").alias("left"))
+    return left.select("key", "share", "left").join(
+        right.select("key", "share", "right"), ["key", "share"]).select("key", "left", "right")
 
 
 class _Members:

@@ -35,6 +35,8 @@ PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
 ANCHOR = WINDOW - PERIOD + 1
 BLOCK_BYTES = 4 << 20
+# More blocks than these (200 GB of text) share partitions, and follow each other in a task.
+PARTITIONS = 50_000
 
 
 def _short(h: np.ndarray) -> np.ndarray:
@@ -228,7 +230,8 @@ def repeated_passages(docs: DataFrame, with_text: bool = False,
     blocks = block_count(docs, block_bytes)
     # The length deals copies of a doc_id and neighbours apart as well.
     block = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int")
-    texts = docs.select("doc_id", "text", block.alias("block")).repartition(blocks, "block")
+    texts = docs.select("doc_id", "text", block.alias("block")).repartition(
+        min(blocks, PARTITIONS), "block")
     grouped: Callable = texts.groupBy("block")
     # One plan, so that the exchange of the texts is run once and read three times.
     anchors = _repeated(grouped.applyInArrow(

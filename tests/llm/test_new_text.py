@@ -514,3 +514,31 @@ def test_long_labelled_values_are_whole(spark):
         [(f"token={value}x y",), (f"token={value}z y",)], "text string").toArrow().combine_chunks().to_batches()[0]])))
     assert sorted(map(len, rows[0].column("value").to_pylist())) == [1501, 1501]
     assert secret_scans.format_of(b"sk-12ab_GH9/77") == b"2l-4h_3m/29"
+
+
+# 10 near duplicates: a template that a third of the rows share, below the threshold
+
+def test_a_large_bucket_is_dealt_over_tasks(spark, monkeypatch):
+    from beaconlake.llm import near_dedup
+
+    rng = random.Random(12)
+    template = [f"muster{i}" for i in range(100)]
+    rows = []
+    for i in range(150):
+        own = [f"eigen{rng.randint(0, 10**6)}" for _ in range(25)]
+        rows.append((i, " ".join(template + own)))
+        if i % 10 == 0:  # and some true links among them
+            rows.append((1000 + i, " ".join(template + own[:-1] + ["anders"])))
+    rows += [(2000 + i, " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(60))) for i in range(60)]
+    want = plain.near_components(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    for together in (1, 3):
+        monkeypatch.setattr(near_dedup, "TOGETHER", together)
+        got = near_dedup.near_duplicates(df).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == want
+    pairs = spark.createDataFrame([(1, d, 64, d, d % 2 == 0) for d in range(64)],
+                                  "key long, doc_id long, size long, component long, apart boolean")
+    met = near_dedup._met_in_blocks(pairs, [])
+    seen = [(a["doc_id"], b["doc_id"]) for r in met.collect() for a in r["left"] for b in r["right"]]
+    assert len(seen) == len(set(seen)) == 32 * 64
