@@ -326,3 +326,30 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     keep = near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null")
     named = docs.join(keep.select("doc_id").distinct(), "doc_id", "left_semi")
     return named.unionByName(docs.where("doc_id is null"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END)
+    AS shingle
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)),
+both_ AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT a AS root, b AS node FROM both_
+  UNION SELECT root, b FROM reached JOIN both_ ON a = node),
+component AS (SELECT node, min(root) AS root FROM reached GROUP BY node)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(root, doc_id)) AS component_id,
+       doc_id <= coalesce(root, doc_id) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN component ON node = doc_id
+"""

@@ -86,7 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_substring_dedup": substring_dedup.ORACLE_SQL,
     "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op10_minhash_near_dedup": near_dedup.ORACLE_SQL,
     "op12_prefix_trie": prefix_trie.ORACLE_SQL,
     "op13_line_dedup": line_dedup.ORACLE_SQL,
 }

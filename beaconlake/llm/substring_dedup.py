@@ -242,3 +242,23 @@ def repeated_passages(docs: DataFrame, with_text: bool = False,
     return grouped.cogroup(windows.groupBy("block")).applyInArrow(
         lambda left, right: _results(left, right, with_text),
         schema + (", kept_text string" if with_text else ""))
+
+
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+n AS (
+  SELECT r, i, count(*) OVER (PARTITION BY array_to_string(list_slice(w, i, i + 34), ' ')) AS times
+  FROM s),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS place FROM n WHERE times > 1),
+word AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY place) AS text FROM word ANTI JOIN gone USING (r, place)
+  GROUP BY r),
+lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(lost.n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN lost USING (r)
+"""
