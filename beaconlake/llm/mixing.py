@@ -7,9 +7,9 @@ its documents; it cannot pass 1, so a full cell stays full and the others make u
 next turn. A document is drawn if the hash of its id is below that probability: a draw repeats,
 and does not depend on how rows are dealt.
 
-Only cells are raked, never documents. The cells stay a DataFrame: a turn is three aggregations by
-a margin of sums that tasks have added up first, and a source with a third of all rows is a few
-cells like any other.
+Only cells are raked, never documents: tasks add up the tokens of their documents per cell before
+anything is shuffled. The cells stay a DataFrame, and a turn is a window over the cells of each
+margin. A source with a third of all rows is a few cells like any other.
 
 The topic of a document is where its hashed word profile lies to TOPIC_BITS random directions;
 texts with similar vocabulary share it. Any column can take its place: `rake` and `sample` work on
@@ -20,8 +20,8 @@ budget of BUDGET of all tokens.
 
 Cases: a null source or language is a value of its own; a null or empty text has no token, topic 0
 and, as it costs nothing, the probability of its cell, or BUDGET in a cell without tokens. Rows
-that repeat are drawn alike. A null doc_id is drawn as a value of its own. Names of other columns
-do not matter.
+that repeat are drawn alike. A null doc_id is drawn as a value of its own. Other columns may
+have any name that does not begin with `_mix_`, which are the operator's own.
 """
 
 from __future__ import annotations

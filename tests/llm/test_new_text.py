@@ -542,3 +542,57 @@ def test_a_large_bucket_is_dealt_over_tasks(spark, monkeypatch):
     met = near_dedup._met_in_blocks(pairs, [])
     seen = [(a["doc_id"], b["doc_id"]) for r in met.collect() for a in r["left"] for b in r["right"]]
     assert len(seen) == len(set(seen)) == 32 * 64
+
+
+# 1 mixing, 3 toxicity: plain versions of what is fitted
+
+def test_raking_equals_plain_proportional_fitting(spark):
+    from beaconlake.llm import mixing
+
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(50, 900, (4, 3, 2)).astype(float)
+    rows = [(f"s{i}", f"l{j}", k, int(tokens[i, j, k])) for i, j, k in np.ndindex(tokens.shape)]
+    goals = [np.array([0.4, 0.3, 0.2, 0.1]), np.array([0.5, 0.3, 0.2]), np.array([0.6, 0.4])]
+    budget = 0.4 * tokens.sum()
+    weight = tokens.copy()
+    for _ in range(mixing.MAX_TURNS):
+        for axis, goal in enumerate(goals):
+            others = tuple(x for x in range(3) if x != axis)
+            scale = goal * budget / weight.sum(axis=others)
+            weight = np.minimum(tokens, weight * scale.reshape([-1 if x == axis else 1 for x in range(3)]))
+    cells = spark.createDataFrame(rows, "source string, lang string, topic int, tokens long")
+    names = [[f"s{i}" for i in range(4)], [f"l{i}" for i in range(3)], [0, 1]]
+    targets = {d: spark.createDataFrame([(v, float(t)) for v, t in zip(n, goal)],
+                                        f"value {'int' if d == 'topic' else 'string'}, target double")
+               for d, n, goal in zip(mixing.DIMENSIONS, names, goals)}
+    got = {(r["source"], r["lang"], r["topic"]): r["weight"]
+           for r in mixing.rake(cells, targets, budget).collect()}
+    for i, j, k in np.ndindex(tokens.shape):
+        assert abs(got[f"s{i}", f"l{j}", k] - weight[i, j, k]) < 3 * mixing.CLOSE * budget
+
+
+def test_noisy_or_and_its_fit_equal_plain_ones():
+    from beaconlake.llm import toxicity
+
+    p, first = np.array([0.1, 0.5, 0.2, 0.9]), np.array([0, 2, 2, 4])
+    want = [1 - 0.9 * 0.5, 0.0, 1 - 0.8 * 0.1]
+    assert np.allclose(toxicity._noisy_or(p, first), want)
+    # Six documents of two sentences; feature 0 is in one sentence of each toxic one.
+    sentence = np.repeat(np.arange(12), 2)
+    features = np.array([[0, 1], [1, 2]] * 3 + [[1, 2], [2, 1]] * 3).reshape(-1)
+    doc, toxic = np.repeat(np.arange(6), 2), np.arange(6) < 3
+    model = toxicity.fit(np.array([5, 6, 7]), features, sentence, doc, toxic, np.ones(6))
+
+    def loss(w, bias):
+        x = np.zeros(12)
+        np.add.at(x, sentence, w[features])
+        q = 1 - np.array([np.prod([1 - 1 / (1 + np.exp(-(x[s] + bias))) for s in np.flatnonzero(doc == d)])
+                          for d in range(6)])
+        return -np.mean(np.log(np.where(toxic, q, 1 - q))) + toxicity.SHRINK / 2 * (w**2).sum()
+
+    w = model.weights[[5, 6, 7]]
+    assert w[0] > 1 and loss(w, model.bias) < 0.05
+    for step in np.eye(4) * 0.5:  # no step away is better by more than the fit's own remainder
+        for sign in (1, -1):
+            moved = np.append(w, model.bias) + sign * step
+            assert loss(moved[:3], moved[3]) > loss(w, model.bias) - 0.01
