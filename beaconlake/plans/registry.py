@@ -24,7 +24,6 @@ REPORTS: dict[str, Callable[..., DataFrame]] = {
     "arrival_delay_by_minute": exploring.arrival_delay_by_minute,
     "speed_vs_plan": exploring.speed_vs_plan,
     "reject_reasons": exploring.reject_reasons,
-    "reject_samples": exploring.reject_samples,
 }
 
 
