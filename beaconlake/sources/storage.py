@@ -34,6 +34,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(status.getPath()) for status in (found or []))
 
 
+def matching_times(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """Matching paths and when each was last changed, in seconds since 1970: one listing."""
+    fs, p = _path(spark, pattern)
+    return sorted((str(status.getPath()), status.getModificationTime() / 1000)
+                  for status in (fs.globStatus(p) or []))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)
