@@ -9,7 +9,9 @@ and does not depend on how rows are dealt.
 
 Only cells are raked, never documents: tasks add up the tokens of their documents per cell before
 anything is shuffled. The cells stay a DataFrame, and a turn is a window over the cells of each
-margin. A source with a third of all rows is a few cells like any other.
+margin. A source with a third of all rows is a few cells like any other. Cells are counted and
+measured first: up to FEW_CELLS of at most FEW_BYTES are raked in one task and sent to the
+documents, whose texts then stay where they are; more are raked and joined by shuffles.
 
 The topic of a document is where its hashed word profile lies to TOPIC_BITS random directions;
 texts with similar vocabulary share it. Any column can take its place: `rake` and `sample` work on
@@ -43,6 +45,8 @@ TOPIC_BITS = 3
 MAX_TURNS = 40
 TURNS_PER_CHECK = 4
 CLOSE = 1e-3
+FEW_CELLS = 65_536
+FEW_BYTES = 16 << 20
 SEED = 42
 _PROFILE = "_mix_profile"
 
@@ -87,6 +91,13 @@ def _margin(dimension: str) -> Column:
     return F.sum("weight").over(Window.partitionBy(dimension))
 
 
+def are_few(cells: DataFrame) -> bool:
+    """Whether there are at most FEW_CELLS cells, with at most FEW_BYTES of values."""
+    values = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in cells.columns]
+    count, size = cells.agg(F.count(F.lit(1)), F.sum(sum(values, F.lit(0)))).first()
+    return count <= FEW_CELLS and (size or 0) <= FEW_BYTES
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> DataFrame:
     """Cells (the dimensions and `tokens`) with `weight`: tokens to take from each, at most all.
     It ends when all margins are met to CLOSE of the budget, or when full cells keep them from
@@ -97,6 +108,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> Data
                            F.col(d).eqNullSafe(F.col(f"{d}_value")), "left").drop(f"{d}_value")
         cells = cells.withColumn(f"{d}_target", F.coalesce(f"{d}_target", F.lit(0.0)) * budget)
     cells = saved(cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")))
+    # Windows over one partition need no exchange.
+    few = are_few(cells)
+    cells = cells.coalesce(1) if few else cells
     worst = np.inf
     for _ in range(0, MAX_TURNS, TURNS_PER_CHECK):
         for _ in range(TURNS_PER_CHECK):
@@ -104,6 +118,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> Data
                 scaled = F.col("weight") * F.col(f"{d}_target") / F.greatest(_margin(d), F.lit(1e-9))
                 cells = cells.withColumn("weight", F.least(F.col("tokens").cast("double"), scaled))
         cells = saved(cells)
+        cells = cells.coalesce(1) if few else cells
         off = [F.abs(_margin(d) - F.col(f"{d}_target")) / budget for d in targets]
         before, worst = worst, cells.select(
             F.greatest(*off, F.lit(0.0)).alias("off")).agg(F.max("off")).first()[0] or 0.0
@@ -132,6 +147,8 @@ def probabilities(docs: DataFrame, powers: dict[str, float] = POWERS,
     raked = rake(cells, targets, max(total * budget, 1e-9)).select(
         *[F.col(d).alias(f"_mix_{d}") for d in powers],
         (F.col("weight") / F.col("tokens")).alias("_mix_probability"))
+    if are_few(cells):
+        raked = F.broadcast(raked)
     same = [columns[d].eqNullSafe(F.col(f"_mix_{d}")) for d in powers]
     met = read.join(raked, on=_all(same), how="left").drop(*[f"_mix_{d}" for d in powers])
     return met.withColumn("_mix_probability", F.coalesce("_mix_probability", F.lit(budget)))

@@ -107,6 +107,19 @@ def test_mixing_of_odd_rows(odd, none):
     assert mixing.mixed(none).count() == mixing.sampled_documents(none).count() == 0
 
 
+def test_mixing_by_shuffles_draws_as_in_one_task(docs, monkeypatch):
+    def draw():
+        rows = mixing.mixed(docs).toPandas().sort_values("doc_id", ignore_index=True)
+        return rows.doc_id.tolist(), rows.probability.to_numpy()
+
+    few = draw()
+    assert "BroadcastHashJoin" in mixing.mixed(docs)._jdf.queryExecution().toString()
+    monkeypatch.setattr(mixing, "FEW_CELLS", 0)
+    many = draw()
+    assert few[0] == many[0]
+    assert abs(few[1] - many[1]).max() < 1e-6
+
+
 # 2 packing
 
 def test_plan_is_best_fit_decreasing():
