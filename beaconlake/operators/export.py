@@ -8,7 +8,7 @@ import json
 import re
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import report
@@ -16,11 +16,9 @@ from ..sources import storage
 
 # The CSV contract (UTF-8, header, CRLF, quotes only where needed and
 # doubled inside, NULL and empty text as an empty field, ISO timestamps in UTC).
-CSV_OPTIONS = {
-    "header": "true", "encoding": "UTF-8", "lineSep": "\r\n", "quote": '"', "escape": '"',
-    "nullValue": "", "emptyValue": "", "dateFormat": "yyyy-MM-dd",
-    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-}
+READ_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
+LINE_END = "\r\n"
+NEEDS_QUOTES = '[",\r\n]'
 ISO = {"timestamp": ("yyyy-MM-dd'T'HH:mm:ss", "xxx"), "timestamp_ntz": ("yyyy-MM-dd'T'HH:mm:ss", "")}
 ROWS_PER_FILE = 1_000_000
 
@@ -30,23 +28,48 @@ def export_folder(out_root: str, name: str, run_id: str, attempt: int) -> str:
     return f"{out_root}/{name}__{re.sub(r'[^A-Za-z0-9._-]', '_', run_id)}__try{attempt}"
 
 
-def _writable(df: DataFrame) -> DataFrame:
-    """Doubles as the shortest text that reads back as the same number, timestamps in ISO form
-    with a fraction only where there is one, nested values as JSON."""
+def _texts(df: DataFrame) -> list[Column]:
+    """The values as text: doubles as the shortest text that reads back as the same number,
+    timestamps in ISO form with a fraction only where there is one, nested values as JSON."""
     columns = []
     for name, kind in df.dtypes:
-        column = F.col(f"`{name}`")
-        if kind in ("double", "float"):
-            column = column.cast("string")
-        elif kind in ISO:
+        column = F.col("`" + name.replace("`", "``") + "`")
+        if kind in ISO:
             seconds, zone = ISO[kind]
             column = F.when(
                 F.date_format(column, "SSSSSS") == "000000", F.date_format(column, seconds + zone)
             ).otherwise(F.date_format(column, f"{seconds}.SSSSSS{zone}"))
         elif kind.startswith(("array", "map", "struct")):
             column = F.to_json(column)
-        columns.append(column.alias(name))
-    return df.select(*columns)
+        columns.append(column.cast("string"))
+    return columns
+
+
+def _field(text: Column) -> Column:
+    doubled = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.coalesce(F.when(text.rlike(NEEDS_QUOTES), doubled).otherwise(text), F.lit(""))
+
+
+def _line(texts: list[Column]) -> Column:
+    """A record; one of a single empty field is quoted, as an empty line is no record."""
+    line = F.concat_ws(",", *[_field(t) for t in texts])
+    return F.when(line == "", F.lit('""')).otherwise(line) if len(texts) == 1 else line
+
+
+def _header(names: list[str]) -> str:
+    return ",".join(
+        '"' + n.replace('"', '""') + '"' if re.search(NEEDS_QUOTES, n) else n for n in names)
+
+
+def _lines(df: DataFrame) -> DataFrame:
+    """The CSV lines. Spark's CSV writer changes line breaks inside values, so lines are written
+    as text. A task starts a file at its first row and after each ROWS_PER_FILE; these rows have
+    the header before them."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    header = F.lit(_header(df.columns) + LINE_END)
+    line = _line(_texts(df))
+    return df.select(
+        F.when(row % ROWS_PER_FILE == 0, F.concat(header, line)).otherwise(line).alias("value"))
 
 
 def file_checksums(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,8 +84,8 @@ def file_checksums(spark: SparkSession, folder: str) -> DataFrame:
 def export_rows(df: DataFrame, folder: str, details: dict | None = None) -> dict:
     """Write a result to a new folder and its sidecar next to it.
 
-    An existing folder is refused. Parts appear when the whole job has committed, so a
-    failed export leaves no readable CSV.
+    An existing folder is refused. Parts get their names as CSV when the whole job has
+    committed, so a failed export leaves no readable CSV; one without a sidecar is not whole.
     """
     if len(set(df.columns)) != len(df.columns):
         raise ValueError(f"duplicate column names: {df.columns}")
@@ -70,10 +93,17 @@ def export_rows(df: DataFrame, folder: str, details: dict | None = None) -> dict
     started = datetime.now(timezone.utc).isoformat()
     counted = Observation()
     (
-        _writable(df).observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("errorifexists").options(**CSV_OPTIONS)
-        .option("maxRecordsPerFile", ROWS_PER_FILE).csv(folder)
+        _lines(df.observe(counted, F.count(F.lit(1)).alias("rows")))
+        .write.mode("errorifexists").option("lineSep", LINE_END)
+        .option("maxRecordsPerFile", ROWS_PER_FILE).text(folder)
     )
+    # Spark writes a file for its first task also when that has no row, and no header then.
+    sizes = storage.matching_sizes(spark, f"{folder}/part-*.txt")
+    storage.delete_all(spark, [path for path, size in sizes if size == 0])
+    written = [path for path, size in sizes if size > 0]
+    storage.rename_all(spark, [(path, path.removesuffix("txt") + "csv") for path in written])
+    if not written:
+        storage.write_text(spark, f"{folder}/part-00000.csv", _header(df.columns) + LINE_END)
     parts = [r.asDict() for r in file_checksums(spark, folder).orderBy("file").collect()]
     metadata = {
         **(details or {}), "folder": folder, "columns": df.columns, "rows": counted.get["rows"],
@@ -98,9 +128,7 @@ def export_report(
 
 def read_export(spark: SparkSession, folder: str) -> DataFrame:
     """The exported rows as text columns."""
-    options = {k: v for k, v in CSV_OPTIONS.items()
-               if k in ("header", "encoding", "quote", "escape")}
-    return spark.read.options(**options, multiLine="true").csv(folder)
+    return spark.read.options(**READ_OPTIONS, multiLine="true").csv(folder)
 
 
 def verify_export(spark: SparkSession, metadata: dict) -> DataFrame:

@@ -41,6 +41,12 @@ def matching_times(spark: SparkSession, pattern: str) -> list[tuple[str, float]]
                   for status in (fs.globStatus(p) or []))
 
 
+def matching_sizes(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Matching paths and their bytes: one listing."""
+    fs, p = _path(spark, pattern)
+    return sorted((str(status.getPath()), status.getLen()) for status in (fs.globStatus(p) or []))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)
@@ -83,6 +89,14 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def rename_all(spark: SparkSession, pairs: Sequence[tuple[str, str]]) -> None:
+    """(source, target) pairs, several at a time."""
+    if pairs:
+        with ThreadPoolExecutor(DELETERS) as pool:
+            list(pool.map(inheritable_thread_target(spark)(
+                lambda pair: rename(spark, *pair)), pairs))
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A new small text file; fails when it exists."""
     fs, p = _path(spark, path)

@@ -1,6 +1,8 @@
 import csv
+import io
 import json
 import os
+import random
 import re
 from datetime import datetime, timedelta
 
@@ -246,13 +248,47 @@ def test_csv_reads_back_and_tampering_shows(spark, tmp_path):
     assert not tampered["sha256_matches"] and not tampered["row_count_matches"]
 
 
-@pytest.mark.xfail(strict=True, reason="the CSV writer changes line breaks inside values")
 @pytest.mark.parametrize("value", ["two\nlines", "tail\r"])
 def test_line_breaks_inside_a_value_survive_an_export(spark, tmp_path, value):
     df = spark.createDataFrame([(value,)], "t string")
     export.export_rows(df, str(tmp_path / "out"))
     part, = (tmp_path / "out").glob("*.csv")
     assert f'"{value}"'.encode() in part.read_bytes()
+    assert [r["t"] for r in export.read_export(spark, str(tmp_path / "out")).collect()] == [value]
+
+
+def test_exported_lines_equal_those_of_a_plain_writer(spark, tmp_path, monkeypatch):
+    """Hostile texts over several files, each with a header, next to Python's own CSV writer."""
+    monkeypatch.setattr(export, "ROWS_PER_FILE", 7)
+    rng = random.Random(8)
+    rows = [(i, rng.choice([None, "", "".join(rng.choices('ab,"\r\n é\\#', k=rng.randint(1, 9)))]),
+             rng.choice([None, "x"])) for i in range(60)]
+    names = ["n", 'odd, "name"', "last`one"]
+    df = spark.createDataFrame(rows, "a int, b string, c string").repartition(3).toDF(*names)
+    metadata = export.export_rows(df, str(tmp_path / "out"))
+    parts = sorted((tmp_path / "out").glob("*.csv"))
+    assert len(parts) == len(metadata["files"]) >= 60 // 7 and metadata["rows"] == 60
+    got = []
+    for part in parts:
+        text = part.read_bytes().decode()
+        head, *body = list(csv.reader(io.StringIO(text, newline="")))
+        plain = io.StringIO(newline="")
+        csv.writer(plain, lineterminator="\r\n").writerows([head, *body])
+        assert head == names and text == plain.getvalue() and 0 < len(body) <= 7
+        got += body
+    assert sorted(got, key=lambda r: int(r[0])) == [[str(a), b or "", c or ""] for a, b, c in rows]
+    assert export.verify_export(spark, metadata).first()["row_count_matches"]
+
+
+def test_exports_of_nothing_and_of_one_empty_field(spark, tmp_path):
+    none = export.export_rows(spark.range(0), str(tmp_path / "none"))
+    assert none["rows"] == 0 and none["bytes"] == len("id\r\n") and len(none["files"]) == 1
+    assert export.read_export(spark, none["folder"]).columns == ["id"]
+    empty = export.export_rows(
+        spark.createDataFrame([(None,), ("",), ("x",)], "t string").coalesce(1), str(tmp_path / "one"))
+    part, = (tmp_path / "one").glob("*.csv")
+    assert part.read_bytes() == b't\r\n""\r\n""\r\nx\r\n'
+    assert export.verify_export(spark, empty).first()["row_count_matches"]
 
 
 def test_exports_refuse_duplicate_columns_and_leave_nothing_on_failure(spark, tmp_path):
