@@ -13,6 +13,7 @@ from ..contracts import ACCESS_DIGITS
 from ..model import REJECT_TABLE
 from ..operators.ingest import accepted_rows, classify, rejected_rows
 from ..sources.lake import STREAMED_TABLES, Lake
+from .progress import record_progress
 
 
 def route_batch(
@@ -36,6 +37,7 @@ def route_batch(
         with ThreadPoolExecutor(len(STREAMED_TABLES)) as writers:
             for written in [writers.submit(write, t) for t in STREAMED_TABLES]:
                 written.result()
+        record_progress(lake, classified, batch_id)
     finally:
         classified.unpersist()
 

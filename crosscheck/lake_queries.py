@@ -20,6 +20,7 @@ from beaconlake.sources import benchdata, catalog, raw, reference_files, storage
 from beaconlake.sources.lake import STREAMED_TABLES, Lake, day_source
 from beaconlake.streaming import curate_stream
 from beaconlake.streaming.ingest_stream import batch_name, route_batch, start_ingest
+from beaconlake.streaming.progress import lost_records
 
 ALL_HISTORY = timedelta(days=60)
 route = partial(route_batch, access_digits=benchdata.ACCESS_DIGITS)
@@ -65,6 +66,12 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(rejects)
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offsets that the stream has noted, next to the oldest ones of the broker."""
+    _, earliest = benchdata.offset_tables(spark, sf_dir)
+    return lost_records(_ingested(spark, sf_dir), earliest)
+
+
 def route_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark)
     lake = Lake(spark, f"{folder}/lake")
@@ -375,6 +382,7 @@ def verify_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "stream_ingest": stream_ingest,
+    "stream_progress": stream_progress,
     "route_batch": route_one_batch,
     "replay_batch": replay_batch,
     "partition_summary": partition_summary,

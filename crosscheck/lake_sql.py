@@ -37,6 +37,16 @@ SQL: dict[str, str] = {
            UNION ALL
            SELECT 'rejected_events', NULL, NULL, _kafka_partition, _kafka_offset,
                   rejection_reason FROM rejects"""),
+    "stream_progress": m(
+        """SELECT topic, partition, committed_offset, earliest_offset,
+                  greatest(earliest_offset - committed_offset, 0) AS lost_records
+           FROM reached_ JOIN earliest_ USING (topic, partition)""",
+        reached_="""SELECT _kafka_topic AS topic, _kafka_partition AS partition,
+                  max(_kafka_offset) + 1 AS committed_offset FROM delivered GROUP BY 1, 2""",
+        earliest_="""SELECT _kafka_topic AS topic, _kafka_partition AS partition,
+                  min(_kafka_offset) FILTER (day(_kafka_timestamp) > 8 + _kafka_partition * 2)
+                    AS earliest_offset
+            FROM delivered GROUP BY 1, 2 HAVING earliest_offset IS NOT NULL"""),
     "route_batch": m(DAYS),
     "replay_batch": m(TOTALS, days_=DAYS),
     "partition_summary": m(DAYS),
