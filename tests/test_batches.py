@@ -2,14 +2,24 @@
 
 import re
 
-from beaconlake.sources import benchdata
+from beaconlake.sources import benchdata, storage
 from beaconlake.sources.lake import Lake
 from beaconlake.streaming.ingest_stream import route_batch
+from crosscheck import lake_queries
 
 from .records import CONNECTIVITY, encoded
 from .records import raw as raw_rows
 
 
+def test_the_archive_has_more_files_with_more_records(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake_queries, "RECORDS_PER_FILE", 50)
+    path = lake_queries._raw_folder(spark, sf_dir, str(tmp_path))
+    files = storage.matching(spark, f"{path}/*.parquet")
+    records = benchdata.raw_records(spark, sf_dir).count()
+    assert spark.read.parquet(path).count() == records
+    assert len(files) >= 0.9 * benchdata.event_count(spark, sf_dir) / 50 > 6
+
+
 def test_generated_methods_of_raw_records_are_small_enough_to_be_compiled(spark, sf_dir):
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
