@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import components, hash_slot, id_filter, in_filter, saved
+from .common import components, hash_slot, id_filter, in_filter, saved, written
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -174,11 +174,13 @@ def links(texts: DataFrame, sketches: DataFrame) -> DataFrame:
     """(`node`, `component`) of every document that is linked with a different set."""
     rows = sketches.where("doc_id is not null and n_shingles > 0")
     nodes = rows.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"))
-    nodes = rows.join(nodes, ["set_a", "set_b", "doc_id"], "left_semi")
+    # Every step below looks at the nodes; unsaved, each would shuffle all sketches for them.
+    nodes = saved(rows.join(nodes, ["set_a", "set_b", "doc_id"], "left_semi").select("doc_id", "bands", "minima"))
     banded = nodes.select("doc_id", F.explode("bands").alias("key"))
     hubs = banded.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("size"))
     hubs = hubs.where("size > 1")
-    buckets = saved(banded.join(hubs, "key"))
+    # BANDS rows for a document with copies: the most rows of all that is kept, so kept compressed.
+    buckets = written(banded.join(hubs, "key"))
     stars = buckets.where("doc_id > hub").select(
         F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     found = saved(confirmed(texts, saved(likely(stars, nodes))))
