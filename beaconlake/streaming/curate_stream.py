@@ -59,12 +59,13 @@ def merge(lake: Lake, rows: DataFrame, batch_id: str) -> dict[str, int]:
         there = base.files.where(F.col("event_day").isin(days)) if base.number >= 0 and days else None
         paths = [r["path"] for r in there.select("path").collect()] if there is not None else []
         held = lake.read_files(CURATED_TABLE, paths)
-        held = held.select("event_id", _record().alias("held"), logged_path().alias("path")) if paths \
+        held = held.select("event_id", _record().alias("held"), F.col("_metadata.file_path").alias("path")) if paths \
             else held.select("event_id", _record().alias("held"), F.lit("").alias("path"))
         met = new.select("event_id", _record().alias("new")).join(held, "event_id").checkpoint()
         older = met.where("new >= held").select("event_id")
         replaced = met.where("new < held").select("event_id", "path")
-        touched = [r["path"] for r in replaced.select("path").distinct().collect()]
+        touched = [r["path"] for r in replaced.select("path").distinct().select(
+            logged_path("path").alias("path")).collect()]
         kept = lake.read_files(CURATED_TABLE, touched).select(*new.columns).join(
             replaced.select("event_id"), "event_id", "left_anti")
         put = kept.unionByName(new.join(older, "event_id", "left_anti"))

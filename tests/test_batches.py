@@ -3,6 +3,7 @@
 import re
 
 from beaconlake.sources import benchdata, storage
+from beaconlake.sources import lake as lake_module
 from beaconlake.sources.lake import Lake
 from beaconlake.streaming.ingest_stream import route_batch
 from crosscheck import lake_queries
@@ -48,3 +49,43 @@ def test_a_batch_is_validated_before_its_tables_are_written(spark, tmp_path):
     assert lake.read("connectivity_events").count() == 1
     rejects = lake.read("rejected_events").select("raw_value", "rejection_reason").collect()
     assert [bytes(r["raw_value"]) for r in rejects] == [b""]
+
+
+def test_records_are_dealt_over_files_before_their_text_is_made(spark, sf_dir):
+    dealt, whole = benchdata.raw_records(spark, sf_dir, 7), benchdata.raw_records(spark, sf_dir)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("named_struct(body") < plan.index("RepartitionByExpression")
+    assert dealt.rdd.getNumPartitions() == 7
+    assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+
+
+def test_a_batch_is_held_as_three_columns(spark, tmp_path):
+    plans = []
+
+    class Watching(Lake):
+        def write_batch(self, table, rows, batch_id):
+            plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+            super().write_batch(table, rows, batch_id)
+
+    lake = Watching(spark, str(tmp_path / "lake"))
+    route_batch(lake, raw_rows(spark, encoded(CONNECTIVITY)), "run-0000000000")
+    held = [re.search(r"InMemoryRelation \[(.*?)\]", plan).group(1).split(",") for plan in plans]
+    assert {len(columns) for columns in held} == {3}
+    assert lake.read("connectivity_events").count() == 1
+
+
+def test_paths_are_made_once_a_file(spark, tmp_path, monkeypatch):
+    lake, rows = Lake(spark, str(tmp_path / "a + b %41")), []
+    made = lake_module.logged_path
+
+    def watched(file_path):
+        rows.append(file_path)
+        return made(file_path)
+
+    monkeypatch.setattr(lake_module, "logged_path", watched)
+    batch = raw_rows(spark, *[encoded(CONNECTIVITY)] * 3)
+    route_batch(lake, batch, "run-0000000000")
+    assert set(rows) == {"path"}
+    files = lake.log("connectivity_events").head().files.collect()
+    assert sum(f["rows"] for f in files) == 3
+    assert all((tmp_path / "a + b %41" / "connectivity_events" / f["path"]).exists() for f in files)
