@@ -4,6 +4,7 @@ import json
 import os
 import random
 import re
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -343,3 +344,19 @@ def test_warnings_never_fail_a_run(spark):
     assert [r["name"] for r in quality.ordered_findings(found).collect()] == [
         "reject_pct", "devices_orphan_site"]
     assert len(quality.CHECKS) == 22
+
+
+def test_tables_are_compacted_side_by_side(spark, tmp_path, monkeypatch):
+    meet = threading.Barrier(2)
+
+    def compacted(lake, table, small_file_bytes):
+        meet.wait(20)
+        if table == "state_events":
+            raise ValueError("lost")
+        return {"table": table, "status": "ok"}
+
+    monkeypatch.setattr(maintenance, "compact", compacted)
+    plan = spark.createDataFrame(
+        [("connectivity_events", "compact"), ("state_events", "compact"), ("x", "skip")], "table string, action string")
+    results = maintenance.compact_planned(Lake(spark, str(tmp_path)), plan, 1)
+    assert {r["table"]: r["status"] for r in results} == {"connectivity_events": "ok", "state_events": "failed"}
