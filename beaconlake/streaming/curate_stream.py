@@ -4,7 +4,8 @@ An event that is delivered again, as a replay of the same record or as a resend
 offset, keeps its earliest record. The stream's state drops replays of a record within
 `STATE_FOR`; everything else is merged into the table, whatever its age: files whose events have
 an earlier record now are written anew without them, new events are added, in one commit. Merging
-a batch again changes nothing, so a restart leaves one copy.
+a batch again changes nothing, so a restart leaves one copy. The merge drops replays as well, so a
+run over an archive does without state, which would hold all of its records.
 """
 
 from __future__ import annotations
@@ -90,15 +91,19 @@ def merge(lake: Lake, rows: DataFrame, batch_id: str) -> dict[str, int]:
 def start_curation(
     records: DataFrame, lake: Lake, checkpoint: str, run: str = "curate",
     every: str | None = "1 minute", access_digits: str = ACCESS_DIGITS, merge_batch=merge,
+    state_for: str | None = STATE_FOR,
 ) -> StreamingQuery:
     """Keep the curated table up to date with the records; `every=None` works off what is there.
 
     State is kept by the time of processing, on which no record is late: late measurements and old
-    records pass on to the merge.
+    records pass on to the merge. Of an archive worked off within `state_for` the state would hold all
+    records; `state_for=None` keeps none and leaves replays to the merge too. A checkpoint goes on as it
+    began, with state or without.
     """
-    sound = accepted_envelopes(classify(records, access_digits)).withColumn("_seen", F.current_timestamp())
-    once = sound.withWatermark("_seen", STATE_FOR).dropDuplicatesWithinWatermark(
-        ["event_id", *RECORD]).drop("_seen")
+    once = accepted_envelopes(classify(records, access_digits))
+    if state_for:
+        once = once.withColumn("_seen", F.current_timestamp()).withWatermark(
+            "_seen", state_for).dropDuplicatesWithinWatermark(["event_id", *RECORD]).drop("_seen")
 
     def write(batch: DataFrame, number: int) -> None:
         merge_batch(lake, batch, f"{run}-{number:010d}")

@@ -6,6 +6,7 @@ from beaconlake.model import CURATED_TABLE, table_schema
 from beaconlake.operators import maintenance
 from beaconlake.operators.ingest import classify
 from beaconlake.sources.lake import Lake
+from beaconlake.sources.raw import file_records
 from beaconlake.streaming import curate_stream
 
 from .records import ARRIVED, CONNECTIVITY, encoded, raw
@@ -77,3 +78,17 @@ def test_a_merge_that_dies_leaves_the_version_before(spark, tmp_path, monkeypatc
     assert held(lake) == [(0, 1), (1, 51)]
     assert maintenance.compact(lake, CURATED_TABLE, kept_for=timedelta(0))["status"] == "ok"
     assert held(lake) == [(0, 1), (1, 51)]
+
+
+def test_without_state_the_merge_drops_replays(spark, tmp_path):
+    archive, held_as = str(tmp_path / "raw"), {}
+    once = raw(spark, encoded(CONNECTIVITY)).coalesce(1)
+    for _ in range(2):
+        once.unionByName(once).coalesce(1).write.mode("append").parquet(archive)
+    for name, given in {"state": {}, "none": {"state_for": None}}.items():
+        lake, at = Lake(spark, str(tmp_path / name)), str(tmp_path / f"{name}-checkpoint")
+        stream = curate_stream.start_curation(file_records(spark, archive, 1), lake, at, name, None, **given)
+        stream.awaitTermination()
+        held_as[name] = [r["_kafka_offset"] for r in lake.read(CURATED_TABLE).collect()]
+        assert (tmp_path / f"{name}-checkpoint" / "state").exists() == (name == "state")
+    assert held_as["none"] == held_as["state"] and len(held_as["none"]) == 1
