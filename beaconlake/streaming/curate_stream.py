@@ -38,10 +38,11 @@ def accepted_envelopes(classified: DataFrame) -> DataFrame:
 
 
 def earliest(rows: DataFrame) -> DataFrame:
-    """One row per event, its earliest record. Copies are reduced before they are shuffled."""
+    """One row per event, its earliest record; of records at one place, which a broker does not have,
+    that with the smallest sequence number. Copies are reduced before they are shuffled."""
     columns = [c for c in table_schema(CURATED_TABLE).names]
-    return rows.groupBy("event_id").agg(
-        F.min_by(F.struct(*columns), _record()).alias("row")).select("row.*")
+    return rows.groupBy("event_id").agg(F.min_by(
+        F.struct(*columns), F.struct(_record(), "sequence_number")).alias("row")).select("row.*")
 
 
 def merge(lake: Lake, rows: DataFrame, batch_id: str) -> dict[str, int]:

@@ -92,3 +92,11 @@ def test_without_state_the_merge_drops_replays(spark, tmp_path):
         held_as[name] = [r["_kafka_offset"] for r in lake.read(CURATED_TABLE).collect()]
         assert (tmp_path / f"{name}-checkpoint" / "state").exists() == (name == "state")
     assert held_as["none"] == held_as["state"] and len(held_as["none"]) == 1
+
+
+def test_of_records_at_one_place_the_smallest_sequence_number_stays(spark):
+    one = rows(spark, (0, 5, 50))
+    for numbers in ((7, 5, 6), (5, 6, 7), (6, 7, 5)):
+        copies = [one.selectExpr("* except (sequence_number)", f"{n}L as sequence_number") for n in numbers]
+        met = copies[0].unionByName(copies[1]).unionByName(copies[2]).coalesce(1)
+        assert [r["sequence_number"] for r in curate_stream.earliest(met).collect()] == [5]
