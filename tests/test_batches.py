@@ -89,3 +89,16 @@ def test_paths_are_made_once_a_file(spark, tmp_path, monkeypatch):
     files = lake.log("connectivity_events").head().files.collect()
     assert sum(f["rows"] for f in files) == 3
     assert all((tmp_path / "a + b %41" / "connectivity_events" / f["path"]).exists() for f in files)
+
+
+def test_a_version_is_compacted_once_while_the_stream_runs(spark, sf_dir, monkeypatch):
+    versions = []
+
+    def compacted(lake, table):
+        versions.append(lake.log(table).head().number)
+
+    monkeypatch.setattr(lake_queries.maintenance, "compact", compacted)
+    rows = lake_queries.compact_during_ingest(spark, sf_dir)
+    # The first version is empty, three batches follow, and once more it is compacted at the end.
+    assert versions == sorted(versions) and len(versions) <= 5
+    assert rows.count() > 0
